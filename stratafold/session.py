@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -37,11 +38,15 @@ def scratch_root(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
-        root = tempfile.mkdtemp(prefix="stratafold-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="stratafold-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the scratch folder that no other run uses."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -79,21 +79,25 @@ def read_items(
     reader = reader.format("text").option("wholetext", str(layout == ARRAY).lower())
     # a stream takes one folder or glob, a batch read any number of paths
     lines = reader.load(files if isinstance(files, str) or streaming else list(files))
-    # a line is read as an array of its own, so both layouts follow one rule
-    text = F.col("value") if layout == ARRAY else F.concat(F.lit("["), F.col("value"), F.lit("]"))
     path = F.col("_metadata.file_path")
-    parsed = lines.select(
+    named = lines.select(
         paths.canonical_path(path).alias("gcs_path"),
         paths.path_account(path).alias("account_id"),
         paths.path_day(path).alias("fecha_archivo"),
-        text.alias("text"),
-    ).withColumn("items", F.from_json("text", array_schema(fields)))
-    judged = parsed.select(
-        "gcs_path", "account_id", "fecha_archivo",
-        file_fault(F.col("text"), F.col("items")).alias("file_fault"), "items",
+        "value",
     )
+    return open_items(named, fields, layout)
+
+
+def open_items(texts: DataFrame, fields: Sequence[str], layout: str = LINES) -> DataFrame:
+    """Rows with JSON text in ``value`` to one row per item, other columns kept."""
+    others = [c for c in texts.columns if c != "value"]
+    # a line is read as an array of its own, so both layouts follow one rule
+    text = F.col("value") if layout == ARRAY else F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    parsed = texts.select(*others, text.alias("text")).withColumn("items", F.from_json("text", array_schema(fields)))
+    judged = parsed.select(*others, file_fault(F.col("text"), F.col("items")).alias("file_fault"), "items")
     usable = F.when(F.col("file_fault").isNull(), F.col("items"))
-    return judged.select("gcs_path", "account_id", "fecha_archivo", "file_fault", F.explode_outer(usable).alias("item"))
+    return judged.select(*others, "file_fault", F.explode_outer(usable).alias("item"))
 
 
 def land_items(items: DataFrame, root: str) -> None:
