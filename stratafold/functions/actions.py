@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
-from stratafold.functions import json_fields as jf
+from stratafold.functions.json_fields import Field, open_scalars, to_integer, to_number
+
+ACTION_LIST = "array<struct<action_type:string,value:variant>>"
 
 
 def first_value(items: Column, action_type: str = fv.PURCHASE) -> Column:
@@ -15,35 +19,41 @@ def first_value(items: Column, action_type: str = fv.PURCHASE) -> Column:
     return match["value"]
 
 
-def first_action(
-    name: str, field: Column, *, money: bool, action_type: str = fv.PURCHASE
-) -> tuple[Column, Column]:
-    """``(value, error)`` of the first matching element of a VARIANT list.
+def open_actions(df: DataFrame, fields: Sequence[str], item: str = "item", action_type: str = fv.PURCHASE) -> DataFrame:
+    """Adds, per list field, where reading stops and the value found there.
 
-    Only the elements up to the match are looked at. No match, a missing list
-    and a match without ``value`` all count as zero; a null list, an element
-    that is not an object, and an unreadable value are errors.
+    Reading stops at the first match, or at an element that is not an object
+    (NULL after the cast); elements behind that are never looked at.
     """
-    items = F.try_variant_get(field, "$", "array<variant>")
+    def stops_here(x: Column) -> Column:
+        return x.isNull() | F.coalesce(x["action_type"] == action_type, F.lit(False))
+
+    lists = df.withColumns(
+        {
+            f"stops_{f}": F.filter(F.try_variant_get(F.col(item)[f], "$", ACTION_LIST), stops_here)
+            for f in fields
+        }
+    )
+    # only a field that is no list is looked at as a whole
+    shapes = lists.withColumns(
+        {f"shape_{f}": F.when(F.col(f"stops_{f}").isNull(), F.to_json(F.col(item)[f])) for f in fields}
+    )
+    return open_scalars(shapes, {f: F.get(F.col(f"stops_{f}"), F.lit(0))["value"] for f in fields})
 
-    def stops_here(item: Column) -> Column:
-        kind = F.try_variant_get(item, "$.action_type", "string")
-        return ~jf.is_object(item) | F.coalesce(kind == action_type, F.lit(False))
 
-    stop = F.get(F.filter(items, stops_here), F.lit(0))
-    value_field = F.try_variant_get(stop, "$.value", "variant")
-    read = jf.to_number(value_field) if money else jf.to_integer(value_field)
-    zero = F.lit(0.0) if money else F.lit(0).cast("bigint")
+def first_action(field: Field, *, money: bool) -> tuple[Column, Column]:
+    """Value of the first matching element, after ``open_actions``.
 
-    nothing_listed = jf.is_missing(field) | F.coalesce(
-        F.when(jf.is_string(field), jf.as_text(field) == "").otherwise(jf.as_text(field) == "{}"), F.lit(False)
-    )
+    No match, a missing list and a match without ``value`` all count as zero; a
+    null list, an element that is not an object and an unreadable value are errors.
+    """
+    stops, shape = F.col(f"stops_{field.name}"), F.col(f"shape_{field.name}")
+    zero = F.lit(0.0) if money else F.lit(0).cast("bigint")
+    no_list = F.when(shape.isNull() | shape.isin('""', "{}"), zero)
+    found = F.when(F.get(stops, F.lit(0)).isNull(), F.lit(None)).when(field.missing, zero)
     value = (
-        F.when(nothing_listed, zero)
-        .when(items.isNull(), F.lit(None))
-        .when(stop.isNull(), zero)
-        .when(~jf.is_object(stop), F.lit(None))
-        .when(value_field.isNull(), zero)
-        .otherwise(read)
+        F.when(stops.isNull(), no_list)
+        .when(F.size(stops) == 0, zero)
+        .otherwise(found.otherwise(to_number(field) if money else to_integer(field)))
     )
-    return value, F.when(value.isNull(), F.lit(f"{name}: unreadable action list"))
+    return value, F.lit(False)

@@ -1,108 +1,170 @@
-"""Reading VARIANT fields whose key may be missing, null or present.
+"""Reading JSON fields whose key may be missing, null or present.
 
-A field column is SQL NULL when the key is missing and a VARIANT null when the
-key holds JSON null. Each reader returns ``(value, error)``: the error is NULL
-for a good value and a short reason otherwise.
+Fields arrive as VARIANT columns: SQL NULL when the key is missing, a VARIANT
+null when it holds JSON null. ``open_scalars`` turns each into a kind and a text
+once; the readers below work on those two columns only, so a field is taken out
+of its VARIANT a single time however many rules look at it.
+
+Each reader returns ``(value, may_be_null)``: a NULL value is an error unless the
+state of the field allows it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratafold.functions.times import parse_instant
+
 DIGITS = r"\d+(_\d+)*"
-INTEGER_WITH_GROUPS = rf"^\s*[+-]?\d+(_\d+)+\s*$"
+GROUPED_INTEGER = rf"^\s*[+-]?\d+(_\d+)+\s*$"
 DECIMAL_TEXT = (
     rf"^\s*[+-]?(({DIGITS})(\.({DIGITS})?)?|\.{DIGITS})([eE][+-]?{DIGITS})?\s*$"
     r"|^\s*[+-]?(?i:inf|infinity|nan)\s*$"
 )
+DAY_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
 
 
-def as_text(field: Column) -> Column:
-    return F.try_variant_get(field, "$", "string")
+@dataclass(frozen=True)
+class Field:
+    """A scalar field after ``open_scalars``."""
 
+    name: str
 
-def is_missing(field: Column) -> Column:
-    return field.isNull()
+    @property
+    def kind(self) -> Column:
+        """STRING, BOOLEAN, BIGINT, DECIMAL(..), VOID for null, NULL when missing, ..."""
+        return F.col(f"kind_{self.name}")
 
+    @property
+    def text(self) -> Column:
+        return F.col(f"text_{self.name}")
 
-def is_json_null(field: Column) -> Column:
-    return F.is_variant_null(field)
+    @property
+    def missing(self) -> Column:
+        return self.kind.isNull()
 
+    @property
+    def is_text(self) -> Column:
+        return self.kind == "STRING"
 
-def is_string(field: Column) -> Column:
-    return F.schema_of_variant(field) == "STRING"
 
+def open_scalars(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
+    """Adds kind and text of each VARIANT column, named after the given keys."""
+    columns = {}
+    for name, variant in fields.items():
+        columns[f"kind_{name}"] = F.schema_of_variant(variant)
+        columns[f"text_{name}"] = F.try_variant_get(variant, "$", "string")
+    return df.withColumns(columns)
 
-def is_object(field: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(field).startswith("OBJECT"), F.lit(False))
 
-
-def is_falsy(field: Column) -> Column:
-    """Missing, null, empty text, zero, false, empty list or empty object."""
-    text = as_text(field)
-    empty = F.when(is_string(field), text == "").otherwise(
-        text.isin("false", "[]", "{}") | (F.try_variant_get(field, "$", "double") == 0)
-    )
-    return is_missing(field) | is_json_null(field) | F.coalesce(empty, F.lit(False))
+def _without_groups(text: Column) -> Column:
+    return F.replace(text, F.lit("_"), F.lit(""))
 
 
-def to_integer(field: Column) -> Column:
+def to_integer(field: Field) -> Column:
     """Whole-number text, or a number cut to its whole part; NULL otherwise."""
-    text = as_text(field)
-    grouped = F.when(text.rlike(INTEGER_WITH_GROUPS), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
-    return F.coalesce(F.try_variant_get(field, "$", "bigint"), grouped)
+    text, whole = field.text, field.text.try_cast("bigint")
+    grouped = F.when(
+        F.contains(text, F.lit("_")) & text.rlike(GROUPED_INTEGER), _without_groups(text).try_cast("bigint")
+    )
+    return (
+        F.when(field.kind == "BOOLEAN", (text == "true").cast("bigint"))
+        .when(field.is_text, F.coalesce(whole, grouped))
+        .otherwise(F.coalesce(whole, text.try_cast("double").try_cast("bigint")))
+    )
 
 
-def to_number(field: Column) -> Column:
-    """Decimal text or a number as a double; NULL otherwise."""
-    text = as_text(field)
-    from_text = F.when(text.rlike(DECIMAL_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.when(is_string(field), from_text).otherwise(F.try_variant_get(field, "$", "double"))
+def to_number(field: Field) -> Column:
+    """Decimal text or a number as a double; NULL otherwise.
+
+    The JVM also reads a type suffix and hexadecimal digits as part of a number;
+    only text that could hold those, or digit groups, is checked by pattern.
+    """
+    text = field.text
+    checked = F.when(text.rlike(DECIMAL_TEXT), _without_groups(text).try_cast("double"))
+    unusual = F.lower(F.right(F.trim(text), F.lit(1))).isin("d", "f") | (F.translate(text, "xX_", "") != text)
+    return (
+        F.when(field.is_text, F.when(unusual, checked).otherwise(text.try_cast("double")))
+        .when(field.kind == "BOOLEAN", (text == "true").cast("double"))
+        .otherwise(text.try_cast("double"))
+    )
 
 
-def _checked(name: str, value: Column, accepted: Column, reason: str) -> tuple[Column, Column]:
-    error = F.when(~accepted & value.isNull(), F.lit(f"{name}: {reason}"))
-    return value, error
+def is_falsy(field: Field) -> Column:
+    """Missing, null, empty text, zero, false, empty list or empty object."""
+    zero = F.coalesce(field.text.try_cast("double") == 0, F.lit(False))
+    empty = F.when(field.is_text, field.text == "").otherwise(field.text.isin("false", "[]", "{}") | zero)
+    return field.text.isNull() | empty
 
 
-def integer_or_zero(name: str, field: Column) -> tuple[Column, Column]:
-    value = F.when(is_missing(field), F.lit(0).cast("bigint")).otherwise(to_integer(field))
-    return _checked(name, value, is_missing(field), "not a whole number")
+def integer_or_zero(field: Field) -> tuple[Column, Column]:
+    return F.when(field.missing, F.lit(0).cast("bigint")).otherwise(to_integer(field)), F.lit(False)
 
 
-def number_or_zero(name: str, field: Column) -> tuple[Column, Column]:
-    value = F.when(is_missing(field), F.lit(0.0)).otherwise(to_number(field))
-    return _checked(name, value, is_missing(field), "not a number")
+def number_or_zero(field: Field) -> tuple[Column, Column]:
+    return F.when(field.missing, F.lit(0.0)).otherwise(to_number(field)), F.lit(False)
 
 
-def cents_or_null(name: str, field: Column, per_unit: int) -> tuple[Column, Column]:
+def cents_or_null(field: Field, per_unit: int) -> tuple[Column, Column]:
     """An amount in cents as units; anything falsy is no amount."""
-    value = F.when(~is_falsy(field), to_number(field) / F.lit(float(per_unit)))
-    return _checked(name, value, is_falsy(field), "not a number")
-
+    falsy = is_falsy(field)
+    return F.when(~falsy, to_number(field) / F.lit(float(per_unit))), falsy
 
-def instant_or_null(name: str, field: Column) -> tuple[Column, Column]:
-    from stratafold.functions.times import parse_instant
 
-    value = F.when(~is_falsy(field) & is_string(field), parse_instant(as_text(field)))
-    return _checked(name, value, is_falsy(field), "not a timestamp")
+def instant_or_null(field: Field) -> tuple[Column, Column]:
+    return F.when(field.is_text, parse_instant(field.text)), is_falsy(field)
 
 
-def flag_or_false(name: str, field: Column) -> tuple[Column, Column]:
+def flag_or_false(field: Field) -> tuple[Column, Column]:
     """False when missing, NULL when null; text must read true or false."""
-    text = F.lower(F.trim(as_text(field)))
-    from_text = F.when(text.isin("true", "false"), text == "true")
-    given = F.when(is_string(field), from_text).otherwise(F.try_variant_get(field, "$", "boolean"))
-    value = F.when(is_missing(field), F.lit(False)).otherwise(given)
-    return _checked(name, value, is_missing(field) | is_json_null(field), "not a flag")
+    word = F.lower(F.trim(field.text))
+    value = (
+        F.when(field.missing, F.lit(False))
+        .when(field.is_text | (field.kind == "BOOLEAN"), F.when(word.isin("true", "false"), word == "true"))
+        .otherwise(field.text.try_cast("double") != 0)
+    )
+    return value, field.kind == "VOID"
+
+
+def day_required(field: Field) -> tuple[Column, Column]:
+    return F.when(field.text.rlike(DAY_TEXT), field.text.try_cast("date")), F.lit(False)
 
 
-def day_required(name: str, field: Column) -> tuple[Column, Column]:
-    text = as_text(field)
-    value = F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"), text.try_cast("date"))
-    return _checked(name, value, F.lit(False), "not a date")
+@dataclass(frozen=True)
+class Rule:
+    """How one output column is read: its source field, reader and complaint."""
+
+    column: str
+    field: str
+    read: object
+    complaint: str
+
+
+def read_fields(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Adds each rule's column and, in a second step, its ``error_`` column.
+
+    Two steps keep every value computed once: the errors only look at them.
+    """
+    values, allowed = {}, {}
+    for rule in rules:
+        value, may_be_null = rule.read(Field(rule.field))
+        values[rule.column] = value
+        allowed[f"null_ok_{rule.column}"] = may_be_null
+    read = df.withColumns({**values, **allowed})
+    return read.withColumns(
+        {
+            f"error_{r.column}": F.when(
+                F.col(r.column).isNull() & ~F.col(f"null_ok_{r.column}"), F.lit(f"{r.field}: {r.complaint}")
+            )
+            for r in rules
+        }
+    )
 
 
-def first_error(errors: list[Column]) -> Column:
-    return F.coalesce(*errors, F.lit(None).cast("string"))
+def first_error(rules: Sequence[Rule]) -> Column:
+    """The first complaint in rule order, NULL when there is none."""
+    return F.coalesce(*[F.col(f"error_{r.column}") for r in rules], F.lit(None).cast("string"))

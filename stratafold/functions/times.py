@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 
 def parse_instant(text: Column) -> Column:
-    """ISO date or date-time text as an instant; text without an offset is UTC."""
+    """ISO date or date-time text as an instant; text without an offset is UTC.
+
+    Plain string functions rather than patterns: this runs several times a row.
+    """
     clean = F.trim(text)
-    with_offset = F.when(
-        clean.rlike(r"^\d{4}-\d{2}-\d{2}[T ].*(Z|z|[+-]\d{2}(:?\d{2})?)$"), clean
-    ).when(
-        clean.rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), F.concat(clean, F.lit("Z"))
-    ).when(
-        clean.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(clean, F.lit("T00:00:00Z"))
-    )
-    return F.upper(with_offset).try_cast("timestamp")
+    dated = (F.substring(clean, 5, 1) == "-") & (F.substring(clean, 8, 1) == "-")
+    clock = F.substring(clean, 11, 64)
+    has_offset = F.contains(clock, F.lit("+")) | F.contains(clock, F.lit("-")) | F.upper(clock).endswith("Z")
+    in_utc = F.when(clock == "", F.concat(clean, F.lit("T00:00:00Z"))).otherwise(F.concat(clean, F.lit("Z")))
+    return F.when(dated, F.when(has_offset, F.upper(clean)).otherwise(in_utc)).try_cast("timestamp")
 
 
 def utc_date(instant: Column) -> Column:

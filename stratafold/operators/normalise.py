@@ -11,16 +11,18 @@ Output: the table's columns plus
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
 from stratafold.functions import json_fields as jf
-from stratafold.functions.actions import first_action
+from stratafold.functions.actions import first_action, open_actions
 from stratafold.functions.hashing import row_hash
+from stratafold.functions.json_fields import Field, Rule, first_error, open_scalars, read_fields
+from stratafold.schemas import CAMPAIGN_FIELDS, CAMPAIGNS, INSIGHT_FIELDS, TableSpec
 
 Normaliser = Callable[[DataFrame], DataFrame]
 
@@ -31,63 +33,68 @@ HASHED = (
 TRAIL = ("gcs_path", "fecha_archivo", "item_id", "row_error", "file_error", "has_item")
 
 
-def _item_id(field: Column) -> Column:
-    return F.when(jf.is_missing(field), F.lit(fv.UNKNOWN_ITEM)).otherwise(jf.as_text(field))
+CAMPAIGN_RULES = (
+    Rule("campaign_id", "id", lambda f: (f.text, F.lit(False)), "missing"),
+    *[
+        Rule(name, name, lambda f: jf.cents_or_null(f, fv.CENTS_PER_UNIT), "not a number")
+        for name in ("daily_budget", "lifetime_budget")
+    ],
+    *[
+        Rule(name, name, jf.instant_or_null, "not a timestamp")
+        for name in ("start_time", "stop_time", "created_time", "updated_time")
+    ],
+)
+# broken by a good row, these fail the whole file
+CAMPAIGN_FILE_RULES = (Rule("budget_rebalance_flag", "budget_rebalance_flag", jf.flag_or_false, "not a flag"),)
+
+INSIGHT_RULES = (
+    Rule("impressions", "impressions", jf.integer_or_zero, "not a whole number"),
+    Rule("clicks", "clicks", jf.integer_or_zero, "not a whole number"),
+    Rule("spend", "spend", jf.number_or_zero, "not a number"),
+    Rule("purchases", "actions", lambda f: first_action(f, money=False), "unreadable action list"),
+    Rule("value_purchases", "action_values", lambda f: first_action(f, money=True), "unreadable action list"),
+)
+INSIGHT_FILE_RULES = (
+    Rule("campaign_id", "campaign_id", lambda f: (f.text, F.lit(False)), "missing"),
+    Rule("date_information", "date_stop", jf.day_required, "not a date"),
+)
+
 
+def _judge(df: DataFrame, id_field: str, row_rules: Sequence[Rule], file_rules: Sequence[Rule]) -> DataFrame:
+    """Read the fields and attach the verdicts.
 
-def _judged(df: DataFrame, row_error: Column, cause: Column, columns: list[Column], item_id: Column) -> DataFrame:
-    """Attach the verdicts; a row that is left out gives no cause to fail its file."""
+    A row that is left out gives no cause to fail its file.
+    """
     has_item = F.col("item").isNotNull()
-    row_error = F.when(has_item, row_error)
-    file_error = F.coalesce("file_fault", F.when(has_item & row_error.isNull(), cause))
-    return df.select(
-        *columns, "platform", "gcs_path", "fecha_archivo",
-        F.when(has_item, item_id).alias("item_id"), row_error.alias("row_error"),
-        file_error.alias("file_error"), has_item.alias("has_item"),
+    read = read_fields(df, [*row_rules, *file_rules]).withColumns(
+        {
+            "has_item": has_item,
+            "item_id": F.when(
+                has_item, F.when(Field(id_field).missing, F.lit(fv.UNKNOWN_ITEM)).otherwise(Field(id_field).text)
+            ),
+            "row_error": F.when(has_item, first_error(row_rules)),
+        }
     )
+    cause = F.when(has_item & F.col("row_error").isNull(), first_error(file_rules))
+    return read.withColumn("file_error", F.coalesce("file_fault", cause))
+
+
+def _open(items: DataFrame, fields: Sequence[str]) -> DataFrame:
+    return open_scalars(items, {f: F.col("item")[f] for f in fields})
 
 
 def normalise_campaigns(items: DataFrame) -> DataFrame:
-    def field(name: str) -> Column:
-        return F.col("item").getField(name)
-
-    campaign_id = jf.as_text(field("id"))
-    errors = [F.when(campaign_id.isNull(), F.lit("id: missing"))]
-    columns = [F.col("account_id"), campaign_id.alias("campaign_id"), jf.as_text(field("name")).alias("campaign_name")]
-    columns += [jf.as_text(field(name)).alias(name) for name in ("status", "objective")]
-    flag, flag_error = jf.flag_or_false("budget_rebalance_flag", field("budget_rebalance_flag"))
-    columns.append(flag.alias("budget_rebalance_flag"))
-    for name in ("daily_budget", "lifetime_budget"):
-        value, error = jf.cents_or_null(name, field(name), fv.CENTS_PER_UNIT)
-        columns.append(value.alias(name))
-        errors.append(error)
-    for name in ("start_time", "stop_time", "created_time", "updated_time"):
-        value, error = jf.instant_or_null(name, field(name))
-        columns.append(value.alias(name))
-        errors.append(error)
-    return _judged(items, jf.first_error(errors), flag_error, columns, _item_id(field("id")))
+    opened = _open(items, [name for name, kind in CAMPAIGN_FIELDS.items() if kind == "variant"])
+    texts = {"campaign_name": "name", "status": "status", "objective": "objective"}
+    named = opened.withColumns({column: F.col("item")[f] for column, f in texts.items()})
+    rows = _judge(named, "id", CAMPAIGN_RULES, CAMPAIGN_FILE_RULES)
+    return rows.select(*[c for c in CAMPAIGNS.columns if c != "loaded_at"], *TRAIL)
 
 
 def normalise_insights(items: DataFrame) -> DataFrame:
-    def field(name: str) -> Column:
-        return F.col("item").getField(name)
-
-    campaign_id = jf.as_text(field("campaign_id"))
-    day, day_error = jf.day_required("date_stop", field("date_stop"))
-    columns = [F.col("account_id"), campaign_id.alias("campaign_id"), day.alias("date_information")]
-    errors = []
-    for name, reader in (
-        ("impressions", jf.integer_or_zero), ("clicks", jf.integer_or_zero), ("spend", jf.number_or_zero),
-    ):
-        value, error = reader(name, field(name))
-        columns.append(value.alias(name))
-        errors.append(error)
-    for name, source, money in (("purchases", "actions", False), ("value_purchases", "action_values", True)):
-        value, error = first_action(source, field(source), money=money)
-        columns.append(value.alias(name))
-        errors.append(error)
-    cause = F.coalesce(F.when(campaign_id.isNull(), F.lit("campaign_id: missing")), day_error)
-    rows = _judged(items, jf.first_error(errors), cause, columns, _item_id(field("campaign_id")))
+    lists = ("actions", "action_values")
+    opened = open_actions(_open(items, [f for f in INSIGHT_FIELDS if f not in lists]), lists)
+    rows = _judge(opened, "campaign_id", INSIGHT_RULES, INSIGHT_FILE_RULES).select(*HASHED, *TRAIL)
     return rows.withColumn("row_hash", row_hash(rows, HASHED))
 
 
@@ -104,13 +111,25 @@ def dispatch(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*parts, unsupported(other)])
 
 
-def fail_unsupported(items: DataFrame) -> DataFrame:
-    """One row per file of a platform without a normaliser: the file fails."""
-    return items.select(
-        "gcs_path", "fecha_archivo", "account_id", "platform",
-        F.concat(F.lit("no normaliser for platform "), F.coalesce("platform", F.lit("?"))).alias("file_error"),
-        F.lit(False).alias("has_item"),
-    ).distinct()
+def normaliser_for(platform: str, normalisers: Mapping[str, Normaliser]) -> Normaliser | None:
+    """A platform's normaliser, compared without case."""
+    return {name.lower(): normalise for name, normalise in normalisers.items()}.get(platform.lower())
+
+
+def fail_unsupported(files: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row per file of a platform without a normaliser: the file fails unread."""
+    known = ("gcs_path", "fecha_archivo", "account_id", "platform")
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema.fields if f.name not in known}
+    reason = F.concat(F.lit("no normaliser for platform "), F.col("platform"))
+    return files.select(*known).distinct().withColumns(
+        {
+            **blank,
+            "item_id": F.lit(None).cast("string"),
+            "row_error": F.lit(None).cast("string"),
+            "file_error": reason,
+            "has_item": F.lit(False),
+        }
+    )
 
 
 def good_rows(rows: DataFrame) -> DataFrame:

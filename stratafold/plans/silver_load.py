@@ -18,7 +18,7 @@ from stratafold.operators.error_log import account_errors
 from stratafold.operators.ledger import FILE_KEY, file_outcomes, not_yet_loaded, unfinished
 from stratafold.operators.merge import LATEST, MergeRule
 from stratafold.operators.normalise import (
-    Normaliser, bad_rows, dispatch, fail_unsupported, good_rows, normalise_campaigns, normalise_insights,
+    Normaliser, bad_rows, fail_unsupported, good_rows, normalise_campaigns, normalise_insights, normaliser_for,
 )
 from stratafold.plans.lake import Lake, Staging, staging
 from stratafold.schemas import CAMPAIGN_FIELDS, CAMPAIGNS, INSIGHT_FIELDS, INSIGHTS, TableSpec
@@ -34,7 +34,7 @@ class LoadJob:
     """What differs between the two loads."""
 
     kind: str
-    fields: tuple[str, ...]
+    fields: Mapping[str, str]
     normalisers: Mapping[str, Normaliser]
     spec: TableSpec
     keys: tuple[str, ...]
@@ -134,24 +134,30 @@ def load_files(
     """List, gate, read, normalise, upsert, log, and close the ledger entries."""
     with staging(lake.spark) as stage:
         due = stage.write(due_files(lake, job, run_date, layout=layout, same_day_only=same_day_only), "due-files")
-        items = _items_of(lake, job, due, layout)
-        if items is None:
+        platforms = sorted(r[0] for r in due.select("platform").distinct().collect())
+        if not platforms:
             return LoadOutcome()
-        rows = stage.write(dispatch(items, job.normalisers, fail_unsupported), "rows")
-        return _apply(lake, job, rows, stage, run_ts)
-
-
-def _items_of(lake: Lake, job: LoadJob, due: DataFrame, layout: str) -> DataFrame | None:
-    """The items of the due files; a long list is read by day and joined instead."""
-    paths = [r[0] for r in due.select("file_path").limit(MAX_LISTED_FILES + 1).collect()]
-    if not paths:
-        return None
-    wanted = due.select("gcs_path", "platform").distinct()
-    if len(paths) > MAX_LISTED_FILES:
-        seen = due.select("platform", "fecha_archivo").distinct().collect()
-        paths = [day_glob(lake.root, r[0], job.kind, r[1], layout) for r in seen]
-    items = read_items(lake.spark, paths, job.fields, layout)
-    return items.join(wanted, "gcs_path")
+        parts = [_rows_of(lake, job, due.where(F.col("platform") == p), p, layout) for p in platforms]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return _apply(lake, job, stage.write(rows, "rows"), stage, run_ts)
+
+
+def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, platform: str, layout: str) -> DataFrame:
+    """Normalised rows of one platform's due files; without a normaliser none is read.
+
+    A long list of files is read by day and joined instead of being named.
+    """
+    normalise = normaliser_for(platform, job.normalisers)
+    if normalise is None:
+        return fail_unsupported(due, job.spec)
+    files = [r[0] for r in due.select("file_path").limit(MAX_LISTED_FILES + 1).collect()]
+    whole_days = len(files) > MAX_LISTED_FILES
+    if whole_days:
+        files = [day_glob(lake.root, platform, job.kind, day, layout) for day in source_days(due, "fecha_archivo")]
+    items = read_items(lake.spark, files, job.fields, layout).withColumn("platform", F.lit(platform))
+    if whole_days:
+        items = items.join(due.select("gcs_path").distinct(), "gcs_path", "left_semi")
+    return normalise(items)
 
 
 def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, run_ts: dt.datetime) -> LoadOutcome:

@@ -250,6 +250,21 @@ def control(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def nation_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations as accounts; region and name decide when they were last extracted."""
+    last = (
+        F.when(F.col("n_regionkey") == 4, F.lit(dt.datetime(2001, 6, 1, 3)))
+        .when(F.col("n_regionkey") == 3, F.lit(dt.datetime(2001, 5, 31, 3)))
+        .when(F.col("n_regionkey") == 1, F.lit(dt.datetime(2001, 6, 1, 4)))
+    )
+    status = F.when(F.col("n_regionkey") == 4, fv.ACCOUNT_OK).when(F.col("n_regionkey") > 0, fv.ACCOUNT_FAILED)
+    return table(spark, sf, "nation").select(
+        text("n_nationkey").alias("account_id"), F.col("n_name").alias("account_name"),
+        F.lit(fv.PLATFORM).alias("platform"), (F.col("n_regionkey") >= 0).alias("activo"),
+        status.alias("extraction_status"), last.cast("timestamp").alias("ultima_extraccion"),
+    )
+
+
 def nation_campaigns(spark: SparkSession, sf: str) -> DataFrame:
     """Campaigns with the customer's nation as their account: few, large groups."""
     nations = table(spark, sf, "customer").select(

@@ -397,7 +397,7 @@ def extraction_cycle(spark: SparkSession, sf: str) -> DataFrame:
     """
     lake = new_lake(spark)
     lake.subitems.publish(fr.subitems(spark, sf))
-    lake.campaigns.publish(fr.campaigns(spark, sf))
+    lake.campaigns.publish(fr.nation_campaigns(spark, sf))
     lake.control.publish(fr.control(spark, sf))
     planned = plan_extraction(lake, fr.ORDERS_DAY)
     price = table(spark, sf, "orders").select(text("o_orderkey").alias("campaign_id"), "o_totalprice")
@@ -414,14 +414,23 @@ def extraction_cycle(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def account_run(spark: SparkSession, sf: str) -> DataFrame:
-    """One account cycle: customers as accounts, their orders as fetched pages."""
+    """One account cycle: nations as accounts, their customers' orders as fetched pages.
+
+    Urgent orders of two regions poison their nation.
+    """
     lake = new_lake(spark)
-    lake.accounts.append(fr.accounts(spark, sf), fr.EARLY_TS)
-    body = F.when(F.col("o_totalprice") > 480000, F.lit('{"error":{"message":"limit"}}')).otherwise(
+    lake.accounts.append(fr.nation_accounts(spark, sf), fr.EARLY_TS)
+    nations = table(spark, sf, "customer").join(
+        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select("c_custkey", "c_nationkey", "n_regionkey")
+    poisoned = (F.col("n_regionkey") < 2) & (F.col("o_orderpriority") == "1-URGENT")
+    body = F.when(poisoned, F.lit('{"error":{"message":"limit"}}')).otherwise(
         F.concat(F.lit('{"data":[{"id":"'), text("o_orderkey"), F.lit('"}]}'))
     )
-    pages = table(spark, sf, "orders").select(
-        text("o_custkey").alias("account_id"), F.col("o_orderkey").alias("page"), body.alias("body")
+    pages = (
+        table(spark, sf, "orders")
+        .join(nations, F.col("o_custkey") == F.col("c_custkey"))
+        .select(text("c_nationkey").alias("account_id"), F.col("o_orderkey").alias("page"), body.alias("body"))
     )
     account_cycle(lake, pages, dt.date(2001, 6, 1), dt.datetime(2001, 6, 1, 6))
     return lake.accounts.read().select(

@@ -149,7 +149,7 @@ def work(name: str, campaigns: str, condition: str = "TRUE") -> str:
 
 NATION_CAMPAIGNS = """
 nation_campaigns AS (
-  SELECT c.campaign_id, CAST(k.c_nationkey AS VARCHAR) AS account_id, c.start_time
+  SELECT c.campaign_id, CAST(k.c_nationkey AS VARCHAR) AS account_id, c.start_time, c.platform
   FROM campaigns c JOIN customer k ON c.account_id = CAST(k.c_custkey AS VARCHAR))"""
 
 
@@ -353,7 +353,7 @@ SELECT o_orderpriority AS account_id, {CAMPAIGN_COLUMNS}, CAST(NULL AS VARCHAR)
 SELECT DISTINCT 'raw/meta/insights/' || account_id || '/2024-01-31/data.json' AS gcs_path, 'Meta' AS business_line,
   account_id AS entity_id, DATE '2024-01-31' AS fecha_archivo, 'completado' AS status,
   CAST(NULL AS VARCHAR) AS error_mensaje, '2024-01-31 06:00:00' AS fecha_carga FROM late""",
-    "extraction_cycle": f"""WITH {CAMPAIGNS}, {CONTROL}, {work('work', 'campaigns', "c.platform = 'Meta'")}, {lots('work')},
+    "extraction_cycle": f"""WITH {CAMPAIGNS}, {CONTROL}, {NATION_CAMPAIGNS}, {work('work', 'nation_campaigns', "c.platform = 'Meta'")}, {lots('work')},
 lot_ends AS (
   SELECT l.account_id, l.mode, l.lot, max(o_totalprice) > 450000 AS failed
   FROM lots l JOIN orders ON l.campaign_id = CAST(o_orderkey AS VARCHAR) GROUP BY l.account_id, l.mode, l.lot),
@@ -369,13 +369,11 @@ SELECT coalesce(t.campaign_id, s.campaign_id) AS campaign_id, coalesce(t.account
   CASE WHEN s.campaign_id IS NULL THEN t.extraction_status ELSE s.status END AS extraction_status,
   CASE WHEN s.campaign_id IS NULL THEN t.ultima_extraccion ELSE '2001-01-01 06:00:00' END AS ultima_extraccion
 FROM control t FULL OUTER JOIN s ON t.campaign_id = s.campaign_id""",
-    "account_run": f"""WITH {ACCOUNTS},
-fetched AS (SELECT CAST(o_custkey AS VARCHAR) AS account_id, max(o_totalprice) > 480000 AS failed FROM orders GROUP BY o_custkey),
-run AS (
-  SELECT d.account_id, CASE WHEN coalesce(failed, TRUE) THEN 'fallido' ELSE 'exitoso' END AS status
-  FROM due d LEFT JOIN fetched f ON d.account_id = f.account_id
-  WHERE motivo IN ('primera_extraccion', 'reintento', 'extraccion_nueva'))
-SELECT a.account_id, a.platform, a.activo, coalesce(r.status, a.extraction_status) AS extraction_status,
-  CASE WHEN r.account_id IS NULL THEN strftime(a.ultima_extraccion, '%Y-%m-%d %H:%M:%S') ELSE '2001-06-01 06:00:00' END AS ultima_extraccion
-FROM accounts a LEFT JOIN run r ON a.account_id = r.account_id""",
+    "account_run": f"""WITH fetched AS (
+  SELECT c_nationkey, bool_or(n_regionkey < 2 AND o_orderpriority = '1-URGENT') AS failed
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY c_nationkey)
+SELECT CAST(n_nationkey AS VARCHAR) AS account_id, 'Meta' AS platform, TRUE AS activo,
+  CASE WHEN n_regionkey = 4 THEN 'exitoso' WHEN coalesce(failed, TRUE) THEN 'fallido' ELSE 'exitoso' END AS extraction_status,
+  CASE WHEN n_regionkey = 4 THEN '2001-06-01 03:00:00' ELSE '2001-06-01 06:00:00' END AS ultima_extraccion
+FROM nation LEFT JOIN fetched ON n_nationkey = c_nationkey""",
 }

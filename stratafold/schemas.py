@@ -145,9 +145,13 @@ DIM_CAMPAIGNS = TableSpec(
     cluster=("campaign_id",),
 )
 
-# fields asked of the raw campaign and insight files
-CAMPAIGN_FIELDS = (
-    "id", "name", "status", "objective", "budget_rebalance_flag", "daily_budget", "lifetime_budget",
-    "start_time", "stop_time", "created_time", "updated_time",
+# Fields asked of the raw campaign and insight files. VARIANT where missing, null,
+# text and number are to be told apart; plain text where they are not.
+CAMPAIGN_FIELDS = {
+    "id": "variant", "name": "string", "status": "string", "objective": "string",
+    "budget_rebalance_flag": "variant", "daily_budget": "variant", "lifetime_budget": "variant",
+    "start_time": "variant", "stop_time": "variant", "created_time": "variant", "updated_time": "variant",
+}
+INSIGHT_FIELDS = dict.fromkeys(
+    ("campaign_id", "date_stop", "impressions", "clicks", "spend", "actions", "action_values"), "variant"
 )
-INSIGHT_FIELDS = ("campaign_id", "date_stop", "impressions", "clicks", "spend", "actions", "action_values")

@@ -16,6 +16,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # the JVM interprets methods beyond 8000 bytes; Spark splits them instead
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app)

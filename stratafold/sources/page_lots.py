@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
-from stratafold.functions import json_fields as jf
 
 
 def read_envelopes(pages: DataFrame) -> DataFrame:
@@ -16,13 +15,14 @@ def read_envelopes(pages: DataFrame) -> DataFrame:
     body = F.try_parse_json("body")
     opened = pages.withColumn("envelope", body)
     envelope = F.col("envelope")
+    is_object = F.coalesce(F.schema_of_variant(envelope).startswith("OBJECT"), F.lit(False))
     fault = F.try_variant_get(envelope, "$.error", "variant")
     data = F.try_variant_get(envelope, "$.data", "variant")
     items = F.try_variant_get(envelope, "$.data", "array<variant>")
     message = F.coalesce(F.try_variant_get(envelope, "$.error.message", "string"), F.lit(fv.UNKNOWN_PAGE_ERROR))
     return opened.select(
         *pages.columns,
-        F.when(~jf.is_object(envelope), F.lit("page is not a JSON object"))
+        F.when(~is_object, F.lit("page is not a JSON object"))
         .when(fault.isNotNull(), message)
         .when(data.isNotNull() & items.isNull(), F.lit("data is not a list"))
         .alias("page_error"),

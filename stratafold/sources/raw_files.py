@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +47,8 @@ def list_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
     )
 
 
-def array_schema(fields: Sequence[str]) -> str:
-    return "array<struct<" + ",".join(f"`{f}`:variant" for f in fields) + ">>"
+def array_schema(fields: Mapping[str, str]) -> str:
+    return "array<struct<" + ",".join(f"`{name}`:{kind}" for name, kind in fields.items()) + ">>"
 
 
 def file_fault(text: Column, items: Column) -> Column:
@@ -63,13 +63,13 @@ def file_fault(text: Column, items: Column) -> Column:
 def read_items(
     spark: SparkSession,
     files: str | Sequence[str],
-    fields: Sequence[str],
+    fields: Mapping[str, str],
     layout: str = ARRAY,
     *,
     streaming: bool = False,
     files_per_batch: int = 10_000,
 ) -> DataFrame:
-    """One row per array element, as a struct of VARIANT fields named ``item``.
+    """One row per array element, as a struct of the fields named ``item``.
 
     A file that is unusable as a whole, and an empty array, give one row with a
     NULL item, so that every file shows up in the result. Only the named fields
@@ -89,7 +89,7 @@ def read_items(
     return open_items(named, fields, layout)
 
 
-def open_items(texts: DataFrame, fields: Sequence[str], layout: str = LINES) -> DataFrame:
+def open_items(texts: DataFrame, fields: Mapping[str, str], layout: str = LINES) -> DataFrame:
     """Rows with JSON text in ``value`` to one row per item, other columns kept."""
     others = [c for c in texts.columns if c != "value"]
     # a line is read as an array of its own, so both layouts follow one rule

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratafold import fixed_values as fv
-from stratafold.operators.normalise import dispatch, fail_unsupported
+from stratafold.operators.normalise import normaliser_for
 from stratafold.plans.lake import Lake, staging
 from stratafold.plans.silver_load import LoadJob, insight_load, load_rows
 from stratafold.sources.raw_files import ARRAY, day_glob, read_items
@@ -32,6 +32,9 @@ def stream_files(
 ) -> StreamingQuery:
     """Load every raw file not seen before, in bounded batches, then stop."""
     job = job or insight_load()
+    normalise = normaliser_for(platform, job.normalisers)
+    if normalise is None:
+        raise ValueError(f"no normaliser for platform {platform}")
     reader_glob = day_glob(lake.root, platform, job.kind, "*", layout)
     items = read_items(
         lake.spark, reader_glob, job.fields, layout, streaming=True, files_per_batch=files_per_batch
@@ -39,7 +42,7 @@ def stream_files(
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         with staging(lake.spark) as stage:
-            rows = stage.write(dispatch(batch, job.normalisers, fail_unsupported), "stream-rows")
+            rows = stage.write(normalise(batch), "stream-rows")
             load_rows(lake, job, rows, run_ts)
 
     return (
