@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratafold.operators.merge import INSERT, KEEP, NOOP, UPDATE, MergeRule, merge
+from stratafold.operators.merge import INSERT, UPDATE, MergeRule, merge
 from stratafold.sources.tables import MAX_LISTED_DAYS, LakeTable, within_days
 
 # A counted source of at most this many rows is broadcast instead of shuffled.
@@ -17,7 +18,7 @@ MAX_BROADCAST_ROWS = 200_000
 
 @dataclass(frozen=True)
 class Outcome:
-    """Rows per action, and the days that were rewritten."""
+    """Rows per action, where they were counted, and the days that were rewritten."""
 
     actions: dict[str, int] = field(default_factory=dict)
     days: tuple[dt.date, ...] = ()
@@ -27,24 +28,48 @@ class Outcome:
         return self.actions.get(INSERT, 0) + self.actions.get(UPDATE, 0)
 
 
-def commit(table: LakeTable, source: DataFrame, rule: MergeRule, *, small: bool | None = None) -> Outcome:
+def commit(
+    table: LakeTable,
+    source: DataFrame,
+    rule: MergeRule,
+    *,
+    compare: bool = True,
+    rows: int | None = None,
+    days: Sequence[dt.date] | None = None,
+) -> Outcome:
     """Merge ``source`` into ``table``.
 
-    ``source`` is read more than once and should be a written table. ``small``
-    overrides the count that decides whether it is broadcast.
+    ``source`` is read more than once and should be a written table. ``rows``
+    and ``days`` are its size and the days it holds, counted here unless the
+    caller knows them. ``compare=False`` leaves out the pass that counts the
+    actions and finds what changed, for sources in which every row does.
     """
-    if small is None:
-        small = source.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    if table.spec.partition:
-        return _commit_days(table, source, rule, small)
-    return _commit_whole(table, source, rule, small)
+    day = table.spec.partition
+    if rows is None or (day and days is None):
+        rows, days = _size_of(source, day)
+    small = rows <= MAX_BROADCAST_ROWS
+    if not rows:
+        return Outcome()
+    if day is None:
+        return _commit_whole(table, source, rule, small, compare)
+    return _commit_days(table, source, rule, small, compare, days)
+
 
+def _size_of(source: DataFrame, day: str | None) -> tuple[int, list[dt.date]]:
+    """Rows, and the days they lie in: one value per day, whatever the size."""
+    if day is None:
+        return source.count(), []
+    counted = source.groupBy(day).agg(F.count("*").alias("n")).collect()
+    return sum(r["n"] for r in counted), sorted(r[day] for r in counted if r[day] is not None)
 
-def _commit_whole(table: LakeTable, source: DataFrame, rule: MergeRule, small: bool) -> Outcome:
+
+def _commit_whole(table: LakeTable, source: DataFrame, rule: MergeRule, small: bool, compare: bool) -> Outcome:
     merged = merge(table.read(), source, rule, broadcast_source=small)
-    actions = {r["action"]: r["n"] for r in merged.groupBy("action").agg(F.count("*").alias("n")).collect()}
-    outcome = Outcome(actions)
-    if outcome.changed:
+    outcome = Outcome()
+    if compare:
+        counts = merged.groupBy("action").agg(F.count("*").alias("n")).collect()
+        outcome = Outcome({r["action"]: r["n"] for r in counts})
+    if outcome.changed or not compare:
         table.publish(merged.drop("action"))
     return outcome
 
@@ -54,7 +79,9 @@ def source_days(source: DataFrame, column: str) -> list[dt.date]:
     return sorted(r[0] for r in source.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
-def _commit_days(table: LakeTable, source: DataFrame, rule: MergeRule, small: bool) -> Outcome:
+def _commit_days(
+    table: LakeTable, source: DataFrame, rule: MergeRule, small: bool, compare: bool, days: Sequence[dt.date]
+) -> Outcome:
     """Rewrite only the days that hold an insert or an update.
 
     A first pass over the keys and the compared columns of the source's days
@@ -62,16 +89,17 @@ def _commit_days(table: LakeTable, source: DataFrame, rule: MergeRule, small: bo
     the partition column or determine it.
     """
     day = table.spec.partition
-    days = source_days(source, day)
-    if not days:
-        return Outcome()
-    compared = merge(table.read(days), source, rule, broadcast_source=small)
-    counts = compared.groupBy(day, "action").agg(F.count("*").alias("n")).collect()
-    actions = {a: sum(r["n"] for r in counts if r["action"] == a) for a in (KEEP, NOOP, UPDATE, INSERT)}
-    touched = tuple(sorted({r[day] for r in counts if r["action"] in (UPDATE, INSERT)}))
+    actions: dict[str, int] = {}
+    touched = tuple(days)
+    if compare:
+        compared = merge(table.read(days), source, rule, broadcast_source=small)
+        counts = compared.groupBy(day, "action").agg(F.count("*").alias("n")).collect()
+        for r in counts:
+            actions[r["action"]] = actions.get(r["action"], 0) + r["n"]
+        touched = tuple(sorted({r[day] for r in counts if r["action"] in (UPDATE, INSERT)}))
     # beyond a long list the filters turn into ranges: publish in slices that stay exact
     for start in range(0, len(touched), MAX_LISTED_DAYS):
         some = touched[start : start + MAX_LISTED_DAYS]
         merged = merge(table.read(some), within_days(source, day, some), rule, broadcast_source=small)
         table.publish(merged.drop("action"))
-    return Outcome({a: n for a, n in actions.items() if n}, touched)
+    return Outcome(actions, touched)

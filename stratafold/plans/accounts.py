@@ -47,7 +47,7 @@ def account_cycle(lake: Lake, pages: DataFrame, run_date: dt.date, run_ts: dt.da
         marked = due_accounts(lake.accounts.read(), run_date).where("extraer").select("account_id", "platform")
         due = stage.write(marked, "due-accounts")
         rule = rules.account_status(run_ts)
-        commit(lake.accounts, due.select("account_id", F.lit(fv.ACCOUNT_RUNNING).alias("status")), rule)
+        commit(lake.accounts, due.select("account_id", F.lit(fv.ACCOUNT_RUNNING).alias("status")), rule, compare=False)
 
         wanted = pages.join(due.select("account_id"), list(ACCOUNT), "left_semi")
         fetched = stage.write(lot_outcomes(wanted, ACCOUNT), "fetched")
@@ -62,5 +62,5 @@ def account_cycle(lake: Lake, pages: DataFrame, run_date: dt.date, run_ts: dt.da
         ended = stage.write(fetch_status(due, fetched), "account-status")
         failed = ended.where("error IS NOT NULL")
         lake.errors.append(account_errors(failed, fv.PROCESS_GET_CAMPAIGNS, "FetchError", F.col("error")), run_ts)
-        commit(lake.accounts, ended.select("account_id", "status"), rule)
+        commit(lake.accounts, ended.select("account_id", "status"), rule, compare=False)
         return {r["status"]: r["n"] for r in ended.groupBy("status").agg(F.count("*").alias("n")).collect()}

@@ -132,32 +132,42 @@ def load_files(
     same_day_only: bool = False,
 ) -> LoadOutcome:
     """List, gate, read, normalise, upsert, log, and close the ledger entries."""
+    due = due_files(lake, job, run_date, layout=layout, same_day_only=same_day_only)
     with staging(lake.spark) as stage:
-        due = stage.write(due_files(lake, job, run_date, layout=layout, same_day_only=same_day_only), "due-files")
-        platforms = sorted(r[0] for r in due.select("platform").distinct().collect())
-        if not platforms:
+        rows = _rows_of(lake, job, due, layout)
+        if rows is None:
             return LoadOutcome()
-        parts = [_rows_of(lake, job, due.where(F.col("platform") == p), p, layout) for p in platforms]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         return _apply(lake, job, stage.write(rows, "rows"), stage, run_ts)
 
 
-def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, platform: str, layout: str) -> DataFrame:
-    """Normalised rows of one platform's due files; without a normaliser none is read.
+def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, layout: str) -> DataFrame | None:
+    """Normalised rows of the due files; files without a normaliser are not read.
 
-    A long list of files is read by day and joined instead of being named.
+    A long list of files is not named but read by day and joined.
     """
-    normalise = normaliser_for(platform, job.normalisers)
-    if normalise is None:
-        return fail_unsupported(due, job.spec)
-    files = [r[0] for r in due.select("file_path").limit(MAX_LISTED_FILES + 1).collect()]
-    whole_days = len(files) > MAX_LISTED_FILES
+    named = due.select("platform", "fecha_archivo", "file_path").limit(MAX_LISTED_FILES + 1).collect()
+    whole_days = len(named) > MAX_LISTED_FILES
     if whole_days:
-        files = [day_glob(lake.root, platform, job.kind, day, layout) for day in source_days(due, "fecha_archivo")]
-    items = read_items(lake.spark, files, job.fields, layout).withColumn("platform", F.lit(platform))
-    if whole_days:
-        items = items.join(due.select("gcs_path").distinct(), "gcs_path", "left_semi")
-    return normalise(items)
+        named = due.select("platform", "fecha_archivo").distinct().collect()
+    parts = []
+    for platform in sorted({r["platform"] for r in named}):
+        normalise = normaliser_for(platform, job.normalisers)
+        of_platform = due.where(F.col("platform") == platform)
+        if normalise is None:
+            parts.append(fail_unsupported(of_platform, job.spec))
+            continue
+        mine = [r for r in named if r["platform"] == platform]
+        if whole_days:
+            files = [day_glob(lake.root, platform, job.kind, r["fecha_archivo"], layout) for r in mine]
+        else:
+            files = [r["file_path"] for r in mine]
+        items = read_items(lake.spark, files, job.fields, layout).withColumn("platform", F.lit(platform))
+        if whole_days:
+            items = items.join(of_platform.select("gcs_path").distinct(), "gcs_path", "left_semi")
+        parts.append(normalise(items))
+    if not parts:
+        return None
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, run_ts: dt.datetime) -> LoadOutcome:
@@ -170,19 +180,32 @@ def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, run_ts: dt.datetime) ->
 def _apply(lake: Lake, job: LoadJob, rows: DataFrame, stage: Staging, run_ts: dt.datetime) -> LoadOutcome:
     """Data first, ledger last: a run that dies in between is simply repeated."""
     outcomes = stage.write(file_outcomes(rows, job.keys), "outcomes")
+    totals = outcomes.groupBy("fecha_archivo", "status").agg(
+        F.count("*").alias("files"), F.sum("n_bad").alias("bad"), F.sum("n_good").alias("good")
+    ).collect()
+    if not totals:
+        return LoadOutcome()
+    files = {status: sum(r["files"] for r in totals if r["status"] == status) for status in {r["status"] for r in totals}}
+    size = {"rows": sum(files.values()), "days": sorted({r["fecha_archivo"] for r in totals})}
+
     started = outcomes.select(
         "gcs_path", job.business_line.alias("business_line"), F.col("account_id").alias("entity_id"), "fecha_archivo"
     )
-    commit(lake.ledger, started, rules.started_load(run_ts))
+    commit(lake.ledger, started, rules.started_load(run_ts), compare=False, **size)
 
     failed = outcomes.where(F.col("error").isNotNull())
-    loadable = good_rows(rows).join(failed.select("gcs_path"), "gcs_path", "left_anti")
-    source = cast_to(loadable, job.spec, job.stamp, extra=FILE_ORDER)
-    upsert = commit(lake.table(job.spec), source, job.rule(run_ts))
-
-    lake.errors.append(_errors(job, rows, failed), run_ts)
-    commit(lake.ledger, outcomes.select(*FILE_KEY, "status", "error"), rules.finished_load())
-    files = {r["status"]: r["n"] for r in outcomes.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    upsert = Outcome()
+    if sum(r["good"] for r in totals):
+        loadable = good_rows(rows)
+        if fv.LEDGER_FAILED in files:
+            loadable = loadable.join(failed.select("gcs_path"), "gcs_path", "left_anti")
+        source = cast_to(loadable, job.spec, job.stamp, extra=FILE_ORDER)
+        upsert = commit(lake.table(job.spec), source, job.rule(run_ts))
+
+    if fv.LEDGER_FAILED in files or sum(r["bad"] for r in totals):
+        lake.errors.append(_errors(job, rows, failed), run_ts)
+    finished = outcomes.select(*FILE_KEY, "status", "error")
+    commit(lake.ledger, finished, rules.finished_load(), compare=False, **size)
     return LoadOutcome(files, upsert)
 
 
