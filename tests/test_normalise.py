@@ -1,0 +1,187 @@
+"""Every field state of the raw files: missing, null, empty, good and bad values."""
+
+import datetime as dt
+import json
+
+import pytest
+
+from stratafold.operators.normalise import normalise_campaigns, normalise_insights
+from stratafold.schemas import CAMPAIGN_FIELDS, INSIGHT_FIELDS
+from stratafold.sources.raw_files import ARRAY, open_items
+
+UTC = dt.timezone.utc
+
+
+def normalise(spark, items, normaliser, fields):
+    """Rows by position of the item in its file; a text item is taken as raw JSON."""
+    texts = [i if isinstance(i, str) else json.dumps(i) for i in items]
+    data = [(f"p{n:03}", "77", dt.date(2026, 1, 7), "Meta", f"[{t}]") for n, t in enumerate(texts)]
+    df = spark.createDataFrame(data, "gcs_path string, account_id string, fecha_archivo date, platform string, value string")
+    out = normaliser(open_items(df, fields, ARRAY)).collect()
+    return [r for r in sorted(out, key=lambda r: r["gcs_path"])]
+
+
+def campaigns(spark, items):
+    return normalise(spark, items, normalise_campaigns, CAMPAIGN_FIELDS)
+
+
+def insights(spark, items):
+    return normalise(spark, items, normalise_insights, INSIGHT_FIELDS)
+
+
+def test_sample_campaign(spark):
+    (row,) = campaigns(
+        spark,
+        [
+            {
+                "id": "c1", "name": "Spring", "status": "ACTIVE", "objective": "SALES", "daily_budget": "1250",
+                "start_time": "2026-01-02T03:04:05-0600", "updated_time": "2026-01-05T00:00:00+0000",
+            }
+        ],
+    )
+    assert row["daily_budget"] == 12.5 and row["lifetime_budget"] is None
+    assert row["budget_rebalance_flag"] is False and row["account_id"] == "77" and row["platform"] == "Meta"
+    assert row["start_time"] == dt.datetime(2026, 1, 2, 9, 4, 5) and row["stop_time"] is None
+    assert row["row_error"] is None and row["file_error"] is None and row["item_id"] == "c1"
+
+
+@pytest.fixture(scope="module")
+def budget_rows(spark):
+    values = ["", None, "0", 0, 0.0, False, True, "abc", "12d", "0x10", "1_000", " 5 ", "1e3", [], {}, [1], "inf", 150, ".5", "5."]
+    return dict(zip(map(repr, values), campaigns(spark, [{"id": "c", "daily_budget": v} for v in values])))
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("", None), (None, None), ("0", 0.0), (0, None), (0.0, None), (False, None), (True, 0.01), ("1_000", 10.0),
+        (" 5 ", 0.05), ("1e3", 10.0), ([], None), ({}, None), ("inf", float("inf")), (150, 1.5), (".5", 0.005), ("5.", 0.05),
+    ],
+)
+def test_budget_values(budget_rows, value, expected):
+    row = budget_rows[repr(value)]
+    assert row["row_error"] is None and row["daily_budget"] == expected
+
+
+@pytest.mark.parametrize("value", ["abc", "12d", "0x10", [1]])
+def test_bad_budgets(budget_rows, value):
+    assert budget_rows[repr(value)]["row_error"] == "daily_budget: not a number"
+
+
+def test_missing_budget(spark):
+    (row,) = campaigns(spark, [{"id": "c"}])
+    assert row["daily_budget"] is None and row["row_error"] is None
+
+
+def test_campaign_times(spark):
+    cases = {
+        "2026-01-02T03:04:05-0600": dt.datetime(2026, 1, 2, 9, 4, 5),
+        "2026-01-02T03:04:05-06:00": dt.datetime(2026, 1, 2, 9, 4, 5),
+        "2026-01-02T03:04:05Z": dt.datetime(2026, 1, 2, 3, 4, 5),
+        "2026-01-02 03:04:05": dt.datetime(2026, 1, 2, 3, 4, 5),
+        "2026-01-02": dt.datetime(2026, 1, 2),
+        "": None, "soon": "bad", "12:30": "bad", 5: "bad", 0: None,
+    }
+    rows = campaigns(spark, [{"id": "c", "stop_time": v} for v in cases])
+    for row, (value, expected) in zip(rows, cases.items()):
+        if expected == "bad":
+            assert row["row_error"] == "stop_time: not a timestamp", value
+        else:
+            assert row["row_error"] is None and row["stop_time"] == expected, value
+    assert campaigns(spark, [{"id": "c", "stop_time": None}])[0]["row_error"] is None
+
+
+def test_flag(spark):
+    rows = campaigns(spark, [{"id": "c", "budget_rebalance_flag": v} for v in (True, None, "TRUE", "false", 1, "abc")] + [{"id": "c"}])
+    assert [r["budget_rebalance_flag"] for r in rows] == [True, None, True, False, True, None, False]
+    assert [r["file_error"] for r in rows] == [None] * 5 + ["budget_rebalance_flag: not a flag", None]
+
+
+def test_campaign_id(spark):
+    rows = campaigns(spark, [{}, {"id": None}, {"id": 12}, {"id": ""}])
+    assert [r["campaign_id"] for r in rows] == [None, None, "12", ""]
+    assert [r["row_error"] for r in rows] == ["id: missing", "id: missing", None, None]
+    assert [r["item_id"] for r in rows] == ["Desconocido", None, "12", ""]
+
+
+def test_sample_insight(spark):
+    (row,) = insights(
+        spark,
+        [
+            {
+                "campaign_id": "c1", "date_stop": "2026-01-01", "impressions": "100", "clicks": "5", "spend": "12.34",
+                "actions": [{"action_type": "purchase", "value": "3"}, {"action_type": "purchase", "value": "9"}],
+                "action_values": [{"action_type": "purchase", "value": "99.5"}],
+            }
+        ],
+    )
+    assert (row["impressions"], row["clicks"], row["spend"]) == (100, 5, 12.34)
+    assert (row["purchases"], row["value_purchases"]) == (3, 99.5)
+    assert row["date_information"] == dt.date(2026, 1, 1) and len(row["row_hash"]) == 32
+
+
+def test_counts(spark):
+    good = [({}, 0), ({"impressions": 12.7}, 12), ({"impressions": " 12 "}, 12), ({"impressions": True}, 1), ({"impressions": "1_000"}, 1000), ({"impressions": 0}, 0), ({"impressions": -12.7}, -12)]
+    base = {"campaign_id": "c", "date_stop": "2026-01-01"}
+    for row, (_, expected) in zip(insights(spark, [{**base, **g} for g, _ in good]), good):
+        assert row["row_error"] is None and row["impressions"] == expected
+    for row in insights(spark, [{**base, "impressions": v} for v in (None, "12.7", "x", "", [], "1e3")]):
+        assert row["row_error"] == "impressions: not a whole number"
+    for row in insights(spark, [{**base, "spend": v} for v in (None, "x", "", [])]):
+        assert row["row_error"] == "spend: not a number"
+
+
+def test_action_lists(spark):
+    buy = {"action_type": "purchase"}
+    cases = [
+        ([{**buy, "value": "3"}, 7], 3), ([], 0), ([buy], 0), ("", 0), ({}, 0), ([{"action_type": "view", "value": "x"}], 0),
+        ([{"action_type": 5}, {**buy, "value": 12.7}], 12), ([{}, {**buy, "value": True}], 1),
+    ]
+    bad = [None, 5, "abc", {"a": 1}, [7, {**buy, "value": "3"}], [None], [{**buy, "value": None}], [{**buy, "value": "1.5"}]]
+    base = {"campaign_id": "c", "date_stop": "2026-01-01"}
+    for row, (case, expected) in zip(insights(spark, [{**base, "actions": c} for c, _ in cases]), cases):
+        assert row["row_error"] is None and row["purchases"] == expected, case
+    for row, case in zip(insights(spark, [{**base, "actions": c} for c in bad]), bad):
+        assert row["row_error"] == "actions: unreadable action list", case
+
+
+def test_insight_key_fails_the_file(spark):
+    rows = insights(
+        spark,
+        [
+            {"date_stop": "2026-01-01"}, {"campaign_id": None, "date_stop": "2026-01-01"}, {"campaign_id": "c"},
+            {"campaign_id": "c", "date_stop": "soon"}, {"campaign_id": "c", "date_stop": "2026-02-30"},
+            {"date_stop": "soon", "spend": None},
+        ],
+    )
+    assert [r["file_error"] for r in rows] == [
+        "campaign_id: missing", "campaign_id: missing", "date_stop: not a date", "date_stop: not a date",
+        "date_stop: not a date", None,
+    ]
+    assert [r["row_error"] for r in rows][-1] == "spend: not a number"
+
+
+def test_unusable_files(spark):
+    contents = ['{"id":"c"}', "null", "", '[{"id":"c"}, 5]', '[{"id":"c"}, null]', '[{"id":"c"}, [1]]', '[{"id":', "5", "[]"]
+    df = spark.createDataFrame(
+        [(f"p{n}", "7", dt.date(2026, 1, 7), "Meta", c) for n, c in enumerate(contents)],
+        "gcs_path string, account_id string, fecha_archivo date, platform string, value string",
+    )
+    out = {r["gcs_path"]: r for r in normalise_campaigns(open_items(df, CAMPAIGN_FIELDS, ARRAY)).collect()}
+    assert len(out) == len(contents) and not any(r["has_item"] for r in out.values())
+    assert all(out[f"p{n}"]["file_error"] for n in range(8)) and out["p8"]["file_error"] is None
+
+
+def hash_of(spark, **fields):
+    return insights(spark, [{"campaign_id": "c", "date_stop": "2026-01-01", **fields}])[0]["row_hash"]
+
+
+def test_row_hash(spark):
+    buy = [{"action_type": "purchase", "value": "0"}]
+    plain = hash_of(spark)
+    assert hash_of(spark, action_values=buy) == plain, "a purchase worth 0 is no purchase"
+    assert hash_of(spark, spend="0.001") != plain, "less than a cent still counts"
+    assert hash_of(spark, clicks=1) != hash_of(spark, impressions=1)
+    assert hash_of(spark, campaign_name="x") == plain, "only stored fields are hashed"
+    a = insights(spark, [{"campaign_id": "a|b", "date_stop": "2026-01-01"}, {"campaign_id": "a\\|b", "date_stop": "2026-01-01"}])
+    assert a[0]["row_hash"] != a[1]["row_hash"]
