@@ -21,26 +21,43 @@ def clean_path(path: Column) -> Column:
     return F.replace(path, F.lit("\\"), F.lit("/"))
 
 
-def segment(path: Column, from_end: int) -> Column:
-    """A path segment counted from the end (1 is the file name), without ``name=``."""
-    part = F.try_element_at(F.split(clean_path(path), "/"), F.lit(-from_end))
-    named = part.rlike("^[a-z_]+=")
-    return F.when(named, F.try_url_decode(F.regexp_replace(part, "^[a-z_]+=", ""))).otherwise(part)
+def _decoded(text: Column) -> Column:
+    """Percent escapes undone; a plus sign is just that."""
+    plain = F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(text, F.lit("%")), plain).otherwise(text)
 
 
-def path_account(path: Column) -> Column:
-    return segment(path, 3)
+def path_parts(path: Column) -> Column:
+    return F.split(clean_path(path), "/")
 
 
-def path_day(path: Column) -> Column:
-    return segment(path, 2).try_cast("date")
+def uri_parts(uri: Column) -> Column:
+    """Parts of a path that comes as a URI, such as ``_metadata.file_path``."""
+    return F.split(_decoded(uri), "/")
 
 
-def canonical_path(path: Column) -> Column:
+# what a part is called where folders carry ``name=`` prefixes, by position from the end
+PART_NAMES = {5: "source", 4: "tipo", 3: "id", 2: "fecha"}
+
+
+def part(parts: Column, from_end: int) -> Column:
+    """A part counted from the end (1 is the file name), without its ``name=``."""
+    value = F.try_element_at(parts, F.lit(-from_end))
+    prefix = PART_NAMES[from_end] + "="
+    return F.when(value.startswith(prefix), _decoded(F.substring(value, len(prefix) + 1, 4096))).otherwise(value)
+
+
+def part_account(parts: Column) -> Column:
+    return part(parts, 3)
+
+
+def part_day(parts: Column) -> Column:
+    return part(parts, 2).try_cast("date")
+
+
+def canonical_path(parts: Column) -> Column:
     """One name for an account and day, however many part files hold it."""
-    return F.concat_ws(
-        "/", F.lit("raw"), *[segment(path, n) for n in (5, 4, 3, 2)], F.lit(fv.RAW_FILE_NAME)
-    )
+    return F.concat_ws("/", F.lit("raw"), *[part(parts, n) for n in (5, 4, 3, 2)], F.lit(fv.RAW_FILE_NAME))
 
 
 def is_of_day(path: Column, day: dt.date) -> Column:

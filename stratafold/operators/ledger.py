@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
+from stratafold.functions.paths import part, path_parts
 from stratafold.operators.normalise import good_rows
 
 FILE_KEY = ("gcs_path", "fecha_archivo")
@@ -22,12 +23,10 @@ def not_yet_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def unfinished(ledger: DataFrame, kind: str, before: dt.date) -> DataFrame:
     """Ledger entries of earlier days that never completed."""
-    from stratafold.functions.paths import segment
-
     return ledger.where(
         (F.col("status") != fv.LEDGER_DONE)
         & (F.col("fecha_archivo") < F.lit(before))
-        & (segment(F.col("gcs_path"), 4) == kind)
+        & (part(path_parts(F.col("gcs_path")), 4) == kind)
     )
 
 

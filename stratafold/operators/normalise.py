@@ -116,10 +116,10 @@ def normaliser_for(platform: str, normalisers: Mapping[str, Normaliser]) -> Norm
     return {name.lower(): normalise for name, normalise in normalisers.items()}.get(platform.lower())
 
 
-def fail_unsupported(files: DataFrame, spec: TableSpec) -> DataFrame:
+def fail_unsupported(files: DataFrame, spec: TableSpec, *left_out: str) -> DataFrame:
     """One row per file of a platform without a normaliser: the file fails unread."""
     known = ("gcs_path", "fecha_archivo", "account_id", "platform")
-    blank = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema.fields if f.name not in known}
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema.fields if f.name not in (*known, *left_out)}
     reason = F.concat(F.lit("no normaliser for platform "), F.col("platform"))
     return files.select(*known).distinct().withColumns(
         {

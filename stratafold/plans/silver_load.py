@@ -103,7 +103,9 @@ def due_files(
     """
     spark = lake.spark
     ledger = lake.ledger.read()
-    platforms = sorted(r[0] for r in active_platforms(lake.accounts.read(), job.platform).collect())
+    names = sorted((r[0] for r in active_platforms(lake.accounts.read(), job.platform).collect()), reverse=True)
+    # spellings that differ in case share one folder
+    platforms = sorted({name.lower(): name for name in names}.values())
     retries = unfinished(ledger, job.kind, run_date)
     days = [run_date] if same_day_only else [*source_days(retries, "fecha_archivo"), run_date]
     listed = [
@@ -154,7 +156,7 @@ def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, layout: str) -> DataFrame
         normalise = normaliser_for(platform, job.normalisers)
         of_platform = due.where(F.col("platform") == platform)
         if normalise is None:
-            parts.append(fail_unsupported(of_platform, job.spec))
+            parts.append(fail_unsupported(of_platform, job.spec, job.stamp))
             continue
         mine = [r for r in named if r["platform"] == platform]
         if whole_days:

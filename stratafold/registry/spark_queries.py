@@ -279,10 +279,11 @@ def files_of_day(spark: SparkSession, sf: str) -> DataFrame:
     day = dt.date(2024, 1, 9)
     listed = fr.file_paths(spark, sf).where(paths.is_of_day(F.col("gcs_path"), day))
     path = F.replace(F.col("gcs_path"), F.lit("/"), F.lit("\\"))
+    parts = paths.path_parts(path)
     return listed.select(
-        paths.clean_path(path).alias("gcs_path"), paths.path_account(path).alias("account_id"),
-        paths.segment(path, 4).alias("kind"), paths.segment(path, 5).alias("source"),
-        paths.path_day(path).alias("fecha_archivo"),
+        paths.clean_path(path).alias("gcs_path"), paths.part_account(parts).alias("account_id"),
+        paths.part(parts, 4).alias("kind"), paths.part(parts, 5).alias("source"),
+        paths.part_day(parts).alias("fecha_archivo"),
     )
 
 

@@ -37,12 +37,12 @@ def list_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FILE_COLUMNS)
-    path = F.col("path")
-    return listed.select(
-        paths.canonical_path(path).alias("gcs_path"),
-        path.alias("file_path"),
-        paths.path_account(path).alias("account_id"),
-        paths.path_day(path).alias("fecha_archivo"),
+    parts = F.col("parts")
+    return listed.select(paths.uri_parts(F.col("_metadata.file_path")).alias("parts"), "path", "length").select(
+        paths.canonical_path(parts).alias("gcs_path"),
+        F.col("path").alias("file_path"),
+        paths.part_account(parts).alias("account_id"),
+        paths.part_day(parts).alias("fecha_archivo"),
         F.col("length").alias("file_bytes"),
     )
 
@@ -79,11 +79,11 @@ def read_items(
     reader = reader.format("text").option("wholetext", str(layout == ARRAY).lower())
     # a stream takes one folder or glob, a batch read any number of paths
     lines = reader.load(files if isinstance(files, str) or streaming else list(files))
-    path = F.col("_metadata.file_path")
-    named = lines.select(
-        paths.canonical_path(path).alias("gcs_path"),
-        paths.path_account(path).alias("account_id"),
-        paths.path_day(path).alias("fecha_archivo"),
+    parts = F.col("parts")
+    named = lines.select(paths.uri_parts(F.col("_metadata.file_path")).alias("parts"), "value").select(
+        paths.canonical_path(parts).alias("gcs_path"),
+        paths.part_account(parts).alias("account_id"),
+        paths.part_day(parts).alias("fecha_archivo"),
         "value",
     )
     return open_items(named, fields, layout)

@@ -1,0 +1,119 @@
+"""Result pages, lots of ids, and daily rollups against brute force."""
+
+import datetime as dt
+import json
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from stratafold.functions import paths
+from stratafold.operators.worklist import group_sizes, lots, with_lot
+from stratafold.sources.page_lots import flatten_pages, lot_outcomes
+from stratafold.sources.raw_files import ARRAY, LINES, day_glob, land_items, list_files, read_items
+
+
+def test_page_lots(spark):
+    next_page = {"paging": {"next": "x"}}
+    lots_of = {
+        "single": [{"data": [1, 2]}],
+        "three": [{"data": [1], **next_page}, {"data": [], **next_page}, {"data": [{"a": 1}], "paging": {}}],
+        "late error": [{"data": [1], **next_page}, {"data": [2], **next_page}, {"error": {"message": "no"}}],
+        "two errors": [{"error": {"message": "first"}}, {"error": {"message": "second"}}],
+        "no message": [{"error": {}}],
+        "null error": [{"error": None, "data": [1]}],
+        "no data": [{}],
+        "null data": [{"data": None}],
+        "cut off": [{"data": [1], **next_page}],
+        "not json": ["{"],
+        "not object": ["[1]"],
+    }
+    rows = [
+        (lot, n, body if isinstance(body, str) else json.dumps(body)) for lot, pages in lots_of.items() for n, body in enumerate(pages)
+    ]
+    pages = spark.createDataFrame(rows[::-1], "lot string, page int, body string")
+    ended = lot_outcomes(pages)
+    out = {r["lot"]: (r["n_pages"], r["n_rows"], r["error"]) for r in ended.collect()}
+    assert out == {
+        "single": (1, 2, None), "three": (3, 2, None), "late error": (3, 0, "no"), "two errors": (2, 0, "first"),
+        "no message": (1, 0, "Error desconocido"), "null error": (1, 0, "Error desconocido"), "no data": (1, 0, None),
+        "null data": (1, 0, "data is not a list"), "cut off": (1, 0, "last page is missing"),
+        "not json": (1, 0, "page is not a JSON object"), "not object": (1, 0, "page is not a JSON object"),
+    }
+    items = flatten_pages(pages, ended).select("lot", "page", "position", F.to_json("item").alias("item")).collect()
+    assert sorted(map(tuple, items)) == [("single", 0, 0, "1"), ("single", 0, 1, "2"), ("three", 0, 0, "1"), ("three", 2, 0, '{"a":1}')]
+
+
+def test_lots_are_full_and_complete(spark):
+    """One account holds most of the ids; every group is cut into full lots."""
+    work = spark.range(5003).select(
+        F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("a"), (F.col("id") % 40).cast("string"))).alias("account_id"),
+        F.when(F.col("id") % 3 == 0, "maximum").otherwise("last_14d").alias("mode"),
+        F.col("id").cast("string").alias("campaign_id"),
+    )
+    groups = defaultdict(set)
+    for r in work.collect():
+        groups[r["account_id"], r["mode"]].add(r["campaign_id"])
+    seen = defaultdict(list)
+    for r in lots(work).collect():
+        assert r["campaign_ids"] == sorted(r["campaign_ids"])
+        seen[r["account_id"], r["mode"]].append((r["lot"], r["campaign_ids"]))
+    assert set(seen) == set(groups)
+    for key, parts in seen.items():
+        parts.sort()
+        assert [n for n, _ in parts] == list(range(len(parts)))
+        assert all(len(ids) == 10 for _, ids in parts[:-1]) and 1 <= len(parts[-1][1]) <= 10
+        assert sorted(i for _, ids in parts for i in ids) == sorted(groups[key])
+    sizes = {(r["account_id"], r["mode"]): (r["n_campaigns"], r["n_lots"]) for r in group_sizes(work).collect()}
+    assert sizes == {k: (len(v), len(seen[k])) for k, v in groups.items()}
+    again = {(r["campaign_id"], r["lot"]) for r in with_lot(work.repartition(7)).collect()}
+    assert again == {(r["campaign_id"], r["lot"]) for r in with_lot(work).collect()}
+
+
+def test_paths(spark, lake, put_raw):
+    put_raw("insights", "77", "2026-01-10", [])
+    put_raw("insights", "7+8 %41/é".replace("/", "-"), "2026-01-11", [])
+    listed = list_files(spark, f"{lake.root}/raw/meta/insights/*/*/data.json").collect()
+    assert {(r["gcs_path"], r["account_id"], r["fecha_archivo"]) for r in listed} == {
+        ("raw/meta/insights/77/2026-01-10/data.json", "77", dt.date(2026, 1, 10)),
+        ("raw/meta/insights/7+8 %41-é/2026-01-11/data.json", "7+8 %41-é", dt.date(2026, 1, 11)),
+    }
+    read = read_items(spark, [r["file_path"] for r in listed], {"id": "variant"}, ARRAY)
+    assert {r["gcs_path"] for r in read.collect()} == {r["gcs_path"] for r in listed}
+    assert list_files(spark, f"{lake.root}/raw/none/*/data.json").count() == 0
+    cases = [
+        r"raw\meta\insights\7\2026-01-10\data.json",
+        "s3://bucket/lake/raw/source=meta/tipo=insights/id=7/fecha=2026-01-10/part-00000.txt",
+    ]
+    df = spark.createDataFrame([(c,) for c in cases], "p string").select(
+        *[f(paths.path_parts(F.col("p"))) for f in (paths.canonical_path, paths.part_account, paths.part_day)]
+    )
+    assert {tuple(r) for r in df.collect()} == {("raw/meta/insights/7/2026-01-10/data.json", "7", dt.date(2026, 1, 10))}
+    made = spark.range(1).select(
+        paths.raw_path(F.lit("META"), F.lit("campaigns"), F.lit("7"), F.lit(dt.date(2026, 1, 10)))
+    )
+    assert made.first()[0] == "raw/meta/campaigns/7/2026-01-10/data.json"
+
+
+def test_landed_lines_come_back(spark, lake):
+    ids = ["7", "a b", "x:y%z", "p+q"]
+    rows = spark.createDataFrame([(i,) for i in ids], "id string").select(
+        F.lit("META").alias("source"), F.lit("insights").alias("tipo"), "id", F.lit(dt.date(2026, 1, 10)).alias("fecha"),
+        F.parse_json(F.lit('{"k":null,"n":12.70,"s":"12.70"}')).alias("item"),
+    )
+    for _ in range(2):
+        land_items(rows, lake.root)
+    glob = day_glob(lake.root, "Meta", "insights", "2026-01-10", LINES)
+    items = read_items(spark, glob, {"k": "variant", "n": "variant", "s": "variant", "none": "variant"}, LINES).collect()
+    assert sorted(r["account_id"] for r in items) == sorted(ids)
+    assert {r["gcs_path"] for r in items} == {f"raw/meta/insights/{i}/2026-01-10/data.json" for i in ids}
+    assert {(str(r["item"]["k"]), str(r["item"]["s"]), r["item"]["none"]) for r in items} == {("null", '"12.70"', None)}
+    listed = list_files(spark, glob)
+    assert {r["gcs_path"] for r in listed.collect()} == {r["gcs_path"] for r in items}
+
+
+def test_pretty_printed_file_is_one_array(spark, lake, put_raw):
+    put_raw("insights", "7", "2026-01-10", [{"id": n, "name": "Ñandú\n"} for n in range(500)])
+    glob = f"{lake.root}/raw/meta/insights/*/2026-01-10/data.json"
+    items = read_items(spark, glob, {"id": "variant", "name": "string"}, ARRAY)
+    assert items.where("file_fault IS NULL").count() == 500
+    assert items.select(F.col("item")["name"]).distinct().collect()[0][0] == "Ñandú\n"

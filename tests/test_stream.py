@@ -1,0 +1,69 @@
+"""The file stream gives what the batch load gives."""
+
+import datetime as dt
+
+from stratafold.plans.lake import Lake
+from stratafold.plans.silver_load import campaign_load, load_insights
+from stratafold.streaming.silver_stream import stream_files
+
+DAY, TS = dt.date(2026, 1, 10), dt.datetime(2026, 1, 10, 6)
+
+
+def insight(campaign, clicks="1"):
+    return {"campaign_id": campaign, "date_stop": "2026-01-05", "clicks": clicks, "spend": "1.5"}
+
+
+def run(lake, checkpoint, ts=TS, **options):
+    query = stream_files(lake, checkpoint, ts, **options)
+    query.awaitTermination()
+    return query
+
+
+def test_stream_equals_batch(spark, lake, put_raw, rows_of, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    rows = [(f"a{n}", "Meta") for n in range(2)]
+    lake.accounts.append(spark.createDataFrame(rows, "account_id string, platform string"), TS)
+    for account in range(5):
+        put_raw("insights", str(account), DAY, [insight(f"c{account}"), insight(f"d{account}")])
+    bad = put_raw("insights", "9", DAY, "broken")
+    run(lake, checkpoint, files_per_batch=2)
+    streamed = rows_of(lake.insights.read())
+    ledger = rows_of(lake.ledger.read(), "gcs_path", "status", "fecha_archivo", "business_line", "entity_id")
+    assert len(streamed) == 10 and {r["status"] for r in ledger if r["gcs_path"] == bad} == {"fallido"}
+
+    other = Lake(spark, lake.root + "/batch").create_tables()
+    batch = Lake(spark, lake.root)
+    assert load_insights(batch, DAY, TS).files == {"fallido": 1}, "the gate knows what the stream has loaded"
+    other.accounts.append(spark.createDataFrame(rows, "account_id string, platform string"), TS)
+    (tmp_path / "batch" / "raw").symlink_to(tmp_path / "raw", target_is_directory=True)
+    load_insights(other, DAY, TS)
+    assert rows_of(other.insights.read()) == streamed
+    assert rows_of(other.ledger.read(), "gcs_path", "status", "fecha_archivo", "business_line", "entity_id") == ledger
+
+    # nothing new: no work; a rewritten file is not read again
+    put_raw("insights", "0", DAY, [insight("c0", clicks="50")])
+    before = rows_of(lake.insights.read())
+    query = run(lake, checkpoint)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 0 and rows_of(lake.insights.read()) == before
+
+    # a failed file is not offered again by the stream; the batch load retries it
+    put_raw("insights", "9", DAY, [insight("c9")])
+    run(lake, checkpoint)
+    assert "c9" not in {r["campaign_id"] for r in rows_of(lake.insights.read())}
+    assert load_insights(lake, DAY, TS).files == {"completado": 1}
+    assert "c9" in {r["campaign_id"] for r in rows_of(lake.insights.read())}
+
+
+def test_replayed_batch_changes_nothing(lake, put_raw, rows_of, tmp_path):
+    """A lost checkpoint offers every file again; the ledger turns them away."""
+    put_raw("insights", "1", DAY, [insight("c1")])
+    run(lake, str(tmp_path / "one"))
+    before = rows_of(lake.insights.read())
+    run(lake, str(tmp_path / "two"), dt.datetime(2026, 1, 11))
+    assert rows_of(lake.insights.read()) == before
+
+
+def test_campaign_stream(lake, put_raw, tmp_path):
+    put_raw("campaigns", "1", DAY, [{"id": "c1", "daily_budget": "100"}])
+    run(lake, str(tmp_path / "c"), job=campaign_load())
+    assert [(r["campaign_id"], r["daily_budget"]) for r in lake.campaigns.read().collect()] == [("c1", 1.0)]
