@@ -57,7 +57,7 @@ def open_scalars(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
     columns = {}
     for name, variant in fields.items():
         columns[f"kind_{name}"] = F.schema_of_variant(variant)
-        columns[f"text_{name}"] = F.try_variant_get(variant, "$", "string")
+        columns[f"text_{name}"] = variant.cast("string")
     return df.withColumns(columns)
 
 

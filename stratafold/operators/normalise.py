@@ -79,6 +79,15 @@ def _judge(df: DataFrame, id_field: str, row_rules: Sequence[Rule], file_rules:
     return read.withColumn("file_error", F.coalesce("file_fault", cause))
 
 
+def _computed_once(rows: DataFrame) -> DataFrame:
+    """The same rows behind a generator, through which no filter is pushed.
+
+    Selecting good or bad rows would otherwise repeat the reading of every field
+    inside the filter.
+    """
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def _open(items: DataFrame, fields: Sequence[str]) -> DataFrame:
     return open_scalars(items, {f: F.col("item")[f] for f in fields})
 
@@ -88,14 +97,14 @@ def normalise_campaigns(items: DataFrame) -> DataFrame:
     texts = {"campaign_name": "name", "status": "status", "objective": "objective"}
     named = opened.withColumns({column: F.col("item")[f] for column, f in texts.items()})
     rows = _judge(named, "id", CAMPAIGN_RULES, CAMPAIGN_FILE_RULES)
-    return rows.select(*[c for c in CAMPAIGNS.columns if c != "loaded_at"], *TRAIL)
+    return _computed_once(rows.select(*[c for c in CAMPAIGNS.columns if c != "loaded_at"], *TRAIL))
 
 
 def normalise_insights(items: DataFrame) -> DataFrame:
     lists = ("actions", "action_values")
     opened = open_actions(_open(items, [f for f in INSIGHT_FIELDS if f not in lists]), lists)
     rows = _judge(opened, "campaign_id", INSIGHT_RULES, INSIGHT_FILE_RULES).select(*HASHED, *TRAIL)
-    return rows.withColumn("row_hash", row_hash(rows, HASHED))
+    return _computed_once(rows.withColumn("row_hash", row_hash(rows, HASHED)))
 
 
 def dispatch(
