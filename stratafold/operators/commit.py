@@ -5,15 +5,45 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratafold.operators.merge import INSERT, UPDATE, MergeRule, merge
 from stratafold.sources.tables import MAX_LISTED_DAYS, LakeTable, within_days
 
-# A counted source of at most this many rows is broadcast instead of shuffled.
+# A measured source within both bounds is broadcast instead of shuffled.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_TEXT = 32 * 1024 * 1024
+
+
+@dataclass(frozen=True)
+class SourceSize:
+    """Rows, bytes of text, and the days of a source: one value per day."""
+
+    rows: int
+    text: int
+    days: tuple[dt.date, ...] = ()
+
+    @property
+    def small(self) -> bool:
+        return self.rows <= MAX_BROADCAST_ROWS and self.text <= MAX_BROADCAST_TEXT
+
+
+def text_size(source: DataFrame) -> Column:
+    """Aggregate: bytes in all text columns. The other columns have a fixed width."""
+    texts = [f.name for f in source.schema.fields if isinstance(f.dataType, T.StringType)]
+    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts], F.lit(0))
+    return F.coalesce(F.sum(width), F.lit(0)).cast("bigint")
+
+
+def measure(source: DataFrame, day: str | None) -> SourceSize:
+    size = [F.count("*").alias("n"), text_size(source).alias("text")]
+    counted = (source.groupBy(day).agg(*size) if day else source.agg(*size)).collect()
+    days = sorted(r[day] for r in counted if r[day] is not None) if day else ()
+    return SourceSize(sum(r["n"] for r in counted), sum(r["text"] for r in counted), tuple(days))
 
 
 @dataclass(frozen=True)
@@ -34,33 +64,21 @@ def commit(
     rule: MergeRule,
     *,
     compare: bool = True,
-    rows: int | None = None,
-    days: Sequence[dt.date] | None = None,
+    size: SourceSize | None = None,
 ) -> Outcome:
     """Merge ``source`` into ``table``.
 
-    ``source`` is read more than once and should be a written table. ``rows``
-    and ``days`` are its size and the days it holds, counted here unless the
-    caller knows them. ``compare=False`` leaves out the pass that counts the
-    actions and finds what changed, for sources in which every row does.
+    ``source`` is read more than once and should be a written table. It is
+    measured first, unless the caller knows its ``size``. ``compare=False``
+    leaves out the pass that counts the actions and finds what changed, for
+    sources in which every row does.
     """
-    day = table.spec.partition
-    if rows is None or (day and days is None):
-        rows, days = _size_of(source, day)
-    small = rows <= MAX_BROADCAST_ROWS
-    if not rows:
+    size = size or measure(source, table.spec.partition)
+    if not size.rows:
         return Outcome()
-    if day is None:
-        return _commit_whole(table, source, rule, small, compare)
-    return _commit_days(table, source, rule, small, compare, days)
-
-
-def _size_of(source: DataFrame, day: str | None) -> tuple[int, list[dt.date]]:
-    """Rows, and the days they lie in: one value per day, whatever the size."""
-    if day is None:
-        return source.count(), []
-    counted = source.groupBy(day).agg(F.count("*").alias("n")).collect()
-    return sum(r["n"] for r in counted), sorted(r[day] for r in counted if r[day] is not None)
+    if table.spec.partition is None:
+        return _commit_whole(table, source, rule, size.small, compare)
+    return _commit_days(table, source, rule, size.small, compare, size.days)
 
 
 def _commit_whole(table: LakeTable, source: DataFrame, rule: MergeRule, small: bool, compare: bool) -> Outcome:

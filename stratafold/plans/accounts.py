@@ -37,24 +37,26 @@ def fetch_status(due: DataFrame, fetched: DataFrame) -> DataFrame:
     )
 
 
-def account_cycle(lake: Lake, pages: DataFrame, run_date: dt.date, run_ts: dt.datetime) -> dict[str, int]:
+def account_cycle(
+    lake: Lake, pages: DataFrame, run_date: dt.date, run_ts: dt.datetime, platform: str = fv.PLATFORM
+) -> dict[str, int]:
     """Fetched campaign pages (account_id, page, body) of the due accounts.
 
     Marks the due accounts, lands their campaigns, sets the final status and
     logs one error per failed account. Returns accounts per status.
     """
     with staging(lake.spark) as stage:
-        marked = due_accounts(lake.accounts.read(), run_date).where("extraer").select("account_id", "platform")
+        marked = due_accounts(lake.accounts.read(), run_date, platform).where("extraer").select("account_id", "platform")
         due = stage.write(marked, "due-accounts")
         rule = rules.account_status(run_ts)
         commit(lake.accounts, due.select("account_id", F.lit(fv.ACCOUNT_RUNNING).alias("status")), rule, compare=False)
 
         wanted = pages.join(due.select("account_id"), list(ACCOUNT), "left_semi")
         fetched = stage.write(lot_outcomes(wanted, ACCOUNT), "fetched")
-        rows = flatten_pages(wanted, fetched, ACCOUNT).join(due, list(ACCOUNT))
+        rows = flatten_pages(wanted, fetched, ACCOUNT)
         land_items(
             rows.select(
-                F.col("platform").alias("source"), F.lit("campaigns").alias("tipo"),
+                F.lit(platform).alias("source"), F.lit("campaigns").alias("tipo"),
                 F.col("account_id").alias("id"), day_literal(run_date).alias("fecha"), "item",
             ),
             lake.root,

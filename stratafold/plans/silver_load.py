@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stratafold import fixed_values as fv
 from stratafold.operators import rules
 from stratafold.operators.casts import cast_to
-from stratafold.operators.commit import Outcome, commit, source_days
+from stratafold.operators.commit import Outcome, SourceSize, commit, source_days, text_size
 from stratafold.operators.error_log import account_errors
 from stratafold.operators.ledger import FILE_KEY, file_outcomes, not_yet_loaded, unfinished
 from stratafold.operators.merge import LATEST, MergeRule
@@ -183,17 +183,19 @@ def _apply(lake: Lake, job: LoadJob, rows: DataFrame, stage: Staging, run_ts: dt
     """Data first, ledger last: a run that dies in between is simply repeated."""
     outcomes = stage.write(file_outcomes(rows, job.keys), "outcomes")
     totals = outcomes.groupBy("fecha_archivo", "status").agg(
-        F.count("*").alias("files"), F.sum("n_bad").alias("bad"), F.sum("n_good").alias("good")
+        F.count("*").alias("files"), F.sum("n_bad").alias("bad"), F.sum("n_good").alias("good"),
+        text_size(outcomes).alias("text"),
     ).collect()
     if not totals:
         return LoadOutcome()
     files = {status: sum(r["files"] for r in totals if r["status"] == status) for status in {r["status"] for r in totals}}
-    size = {"rows": sum(files.values()), "days": sorted({r["fecha_archivo"] for r in totals})}
+    days = tuple(sorted({r["fecha_archivo"] for r in totals}))
+    size = SourceSize(sum(files.values()), sum(r["text"] for r in totals), days)
 
     started = outcomes.select(
         "gcs_path", job.business_line.alias("business_line"), F.col("account_id").alias("entity_id"), "fecha_archivo"
     )
-    commit(lake.ledger, started, rules.started_load(run_ts), compare=False, **size)
+    commit(lake.ledger, started, rules.started_load(run_ts), compare=False, size=size)
 
     failed = outcomes.where(F.col("error").isNotNull())
     upsert = Outcome()
@@ -207,7 +209,7 @@ def _apply(lake: Lake, job: LoadJob, rows: DataFrame, stage: Staging, run_ts: dt
     if fv.LEDGER_FAILED in files or sum(r["bad"] for r in totals):
         lake.errors.append(_errors(job, rows, failed), run_ts)
     finished = outcomes.select(*FILE_KEY, "status", "error")
-    commit(lake.ledger, finished, rules.finished_load(), compare=False, **size)
+    commit(lake.ledger, finished, rules.finished_load(), compare=False, size=size)
     return LoadOutcome(files, upsert)
 
 

@@ -30,9 +30,10 @@ def files(lake, day):
     return {f for f in os.listdir(folder) if f.endswith(".parquet")}
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_only_changed_days_are_rewritten(spark, lake, monkeypatch, limit):
-    monkeypatch.setattr(commit_module, "MAX_BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("bound, limit", [("ROWS", 0), ("TEXT", 10), ("ROWS", 10_000)])
+def test_only_changed_days_are_rewritten(spark, lake, monkeypatch, bound, limit):
+    monkeypatch.setattr(commit_module, f"MAX_BROADCAST_{bound}", limit)
+    assert commit_module.measure(insights(spark), "date_information").small == (limit > 10)
     first = commit(lake.insights, insights(spark), rules.changed_insight(TS1))
     assert first.actions == {"insert": 100} and first.days == tuple(DAYS)
     before = {d: files(lake, d) for d in DAYS}
