@@ -23,7 +23,7 @@ def parse_instant(text: Column) -> Column:
 
 def utc_date(instant: Column) -> Column:
     """The UTC day of an instant, whatever the session's time zone."""
-    return F.to_date(F.to_utc_timestamp(instant, F.current_timezone()))
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
 
 
 def day_literal(day: dt.date) -> Column:

@@ -37,12 +37,13 @@ def text(name: str) -> Column:
 
 def instant(name: str) -> Column:
     """A zone-less timestamp of the given tables as a UTC instant."""
-    return F.to_utc_timestamp(F.col(name).cast("timestamp"), F.current_timezone())
+    return F.concat(F.col(name).cast("string"), F.lit("Z")).cast("timestamp")
 
 
 def stamp(column: str) -> Column:
     """An instant as text, for results that other engines are to compare."""
-    return F.date_format(F.to_utc_timestamp(column, F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias(column)
+    since = F.make_dt_interval(secs=F.unix_seconds(F.col(column)))
+    return (F.lit("1970-01-01").cast("timestamp_ntz") + since).cast("string").alias(column)
 
 
 # --- daily metrics ----------------------------------------------------------
@@ -212,7 +213,7 @@ def known_campaigns(spark: SparkSession, sf: str) -> DataFrame:
 def pulled_campaigns(spark: SparkSession, sf: str) -> DataFrame:
     """A later pull: campaigns since 1997, finished ones changed a day later, partial ones undated."""
     moved = (
-        F.when(F.col("status") == "F", F.col("created_time") + F.expr("INTERVAL 1 DAY"))
+        F.when(F.col("status") == "F", F.col("created_time") + F.expr("INTERVAL 24 HOURS"))
         .when(F.col("status") == "P", F.lit(None).cast("timestamp"))
         .otherwise(F.col("created_time"))
     )
@@ -346,6 +347,6 @@ def accounts(spark: SparkSession, sf: str) -> DataFrame:
             (F.col("c_acctbal") > 0).alias("activo"),
             F.when(status == "F", fv.ACCOUNT_OK).when(status == "O", fv.ACCOUNT_RUNNING)
             .when(status == "P", fv.ACCOUNT_FAILED).alias("extraction_status"),
-            F.to_utc_timestamp(F.col("last.o_orderdate").cast("timestamp"), F.current_timezone()).alias("ultima_extraccion"),
+            instant("last.o_orderdate").alias("ultima_extraccion"),
         )
     )
