@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from stratafold.registry import spark_queries, sql_queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -32,19 +33,20 @@ def comparable(rows, order):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(spark_queries.QUERIES) == set(sql_queries.QUERIES)
+    assert set(spark_queries.QUERIES) <= set(entry_module.queries())
 
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(spark_queries.QUERIES))
 def test_query(spark, duck, name):
-    frame = entry_module.queries()[name](spark, SF)
+    frame = spark_queries.QUERIES[name](spark, SF)
     columns = sorted(frame.columns)
     found = frame.select(*columns).collect()
-    cursor = duck.execute(entry_module.oracle_sql()[name])
+    cursor = duck.execute(sql_queries.QUERIES[name])
     described = {d[0]: str(d[1]) for d in cursor.description}
     assert sorted(described) == columns
     assert {c: TYPES[t] for c, t in frame.dtypes} == described
