@@ -28,13 +28,14 @@ from stratafold.llm.words import word_hashes
 
 @dataclass(frozen=True)
 class LeakRule:
-    """Passages are ``span`` words at steps of ``step``; an item is found when its words stand in
-    order in a document to ``sure`` of their number, or to ``likely`` with all of its answer.
+    """Passages are of each length in ``spans`` at steps of ``step`` words: long ones for paraphrases,
+    and short ones because a leak that has become common in the corpus has little weight beside
+    any other word, but always holds a short passage without one. An item is found when its words stand in order to ``sure`` of their number, or to ``likely`` with its answer.
     The answer is the item's last sentence. ``energy`` is the least share of an item's squared
     norm in the latent space."""
 
-    span: int = 32
-    step: int = 16
+    spans: tuple[int, ...] = (32, 8)
+    step: int = 4
     cosine: float = 0.3
     sure: float = 0.8
     likely: float = 0.6
@@ -230,24 +231,25 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
-def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple[int, np.ndarray]]:
-    """(first word, cosine to each item) of the passages that can reach the cosine."""
+def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first word, end, cosine to each item) of the passages that can reach the cosine."""
     rows = index.lookup.rows(words)
     inside = rows >= 0
     square = np.where(inside, index.idf[np.where(inside, rows, 0)] ** 2, 0.0)
     whole = np.where(inside, square, index.unknown**2)
     cells = np.arange(0, len(words), rule.step)
-    per = rule.span // rule.step
-    sums = [np.add.reduceat(v, cells) for v in (square, whole)]
-    windows = max(1, len(cells) - per + 1)
-    wide = [np.convolve(s, np.ones(per))[per - 1 : per - 1 + windows] if len(s) >= per else np.array([s.sum()]) for s in sums]
-    # by Cauchy and Schwarz no cosine exceeds the share of the norm that lies in known words
-    for cell in np.flatnonzero(wide[0] >= rule.cosine**2 * wide[1]):
-        at = int(cells[cell])
-        here = rows[at : at + rule.span]
-        known, tf = np.unique(here[here >= 0], return_counts=True)
-        weights = np.sqrt(tf) * index.idf[known]
-        yield at, (index.latent @ (weights @ index.basis[known])) / np.sqrt(wide[1][cell])
+    sums = [np.concatenate([[0.0], np.cumsum(np.add.reduceat(v, cells))]) for v in (square, whole)]
+    for span in rule.spans:
+        first = np.arange(max(1, len(cells) - span // rule.step + 1))
+        last = np.minimum(first + span // rule.step, len(cells))
+        inner, total = (s[last] - s[first] for s in sums)
+        # by Cauchy and Schwarz no cosine exceeds the share of the norm that lies in known words
+        for cell in np.flatnonzero(inner >= rule.cosine**2 * total).tolist():
+            at, end = int(cells[cell]), int(cells[cell]) + span
+            here = rows[at:end]
+            known, tf = np.unique(here[here >= 0], return_counts=True)
+            weights = np.sqrt(tf) * index.idf[known]
+            yield at, end, (index.latent @ (weights @ index.basis[known])) / np.sqrt(total[cell])
 
 
 def find_leaks(text: str, index: Index, rule: LeakRule) -> list[tuple[int, float, float, float]]:
@@ -255,25 +257,26 @@ def find_leaks(text: str, index: Index, rule: LeakRule) -> list[tuple[int, float
     words = word_hashes(_lowered(text))[0]
     if not len(words):
         return []
-    candidates: dict[int, list[tuple[int, float]]] = {}
-    for at, cosines in _passages(words, index, rule):
+    candidates: dict[int, list[tuple[int, int, float]]] = {}
+    for at, end, cosines in _passages(words, index, rule):
         for number in np.flatnonzero(cosines >= rule.cosine).tolist():
-            candidates.setdefault(number, []).append((at, float(cosines[number])))
+            candidates.setdefault(number, []).append((at, end, float(cosines[number])))
     found = []
     for number, places in candidates.items():
         item = index.items[number]
         size = len(item.words)
         best = (0.0, 0.0, 0.0)
         done = -1
-        for at, cosine in places:
+        for at, end, _ in sorted(places):
             if at < done:
                 continue
-            low, high = max(0, at - size), at + rule.span + size
+            low, high = max(0, at - size), end + size + size // 2
             here = words[low:high]
             share = common_subsequence(item.words, here) / size
             answer = common_subsequence(item.answer, here) / max(1, len(item.answer))
-            best = max(best, (share, answer, max(c for a, c in places if low <= a < high)))
-            done = at + rule.step if share < rule.likely else high - size
+            best = max(best, (share, answer, max(c for a, _, c in places if low <= a < high)))
+            # the words up to there have been looked at with a whole item around them
+            done = at + max(rule.step, size // 2) if share < rule.likely else end
         share, answer, cosine = best
         if share >= rule.sure or share >= rule.likely and answer >= rule.answer:
             found.append((item.item_id, cosine, share, answer))
