@@ -56,5 +56,5 @@ def column(batch: pa.RecordBatch, name: str) -> list:
 
 
 def encoded_texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
-    """UTF-8 of each text without decoding it first."""
-    return iter(batch.column(name).cast(pa.binary()).to_pylist())
+    """UTF-8 of each text without decoding it first; a null is empty."""
+    return (text or b"" for text in batch.column(name).cast(pa.binary()).to_pylist())
