@@ -49,3 +49,9 @@ PROCESS_GET_INSIGHTS = "get_insights_meta"
 PROCESS_LOAD_CAMPAIGNS = "upload_campaigns_meta"
 PROCESS_LOAD_INSIGHTS = "upload_insights_meta"
 # ----------------------------------------------------------------------------
+
+# what may stand around a number or a time in text
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratafold import fixed_values as fv
 from stratafold.functions.times import parse_instant
 
 DIGITS = r"\d+(_\d+)*"
@@ -61,6 +62,11 @@ def open_scalars(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(columns)
 
 
+def _bare(text: Column) -> Column:
+    """Text without the white space around it that a number may have."""
+    return F.btrim(text, F.lit(fv.WHITE_SPACE))
+
+
 def _without_groups(text: Column) -> Column:
     return F.replace(text, F.lit("_"), F.lit(""))
 
@@ -71,8 +77,8 @@ def to_integer(field: Field) -> Column:
     A cast to a whole number that fails costs some hundred times one that
     succeeds, even as ``try_cast``, so only text made of digits is cast.
     """
-    text = field.text
-    digits = (F.trim(text) != "") & (F.translate(F.trim(text), "0123456789+-", "") == "")
+    text = _bare(field.text)
+    digits = (text != "") & (F.translate(text, "0123456789+-", "") == "")
     grouped = F.contains(text, F.lit("_")) & text.rlike(GROUPED_INTEGER)
     from_text = F.when(digits, text.try_cast("bigint")).when(grouped, _without_groups(text).try_cast("bigint"))
     return (
@@ -89,9 +95,9 @@ def to_number(field: Field) -> Column:
     The JVM also reads a type suffix and hexadecimal digits as part of a number;
     only text that could hold those, or digit groups, is checked by pattern.
     """
-    text = field.text
+    text = _bare(field.text)
     checked = F.when(text.rlike(DECIMAL_TEXT), _without_groups(text).try_cast("double"))
-    unusual = F.lower(F.right(F.trim(text), F.lit(1))).isin("d", "f") | (F.translate(text, "xX_", "") != text)
+    unusual = F.lower(F.right(text, F.lit(1))).isin("d", "f") | (F.translate(text, "xX_", "") != text)
     return (
         F.when(field.is_text, F.when(unusual, checked).otherwise(text.try_cast("double")))
         .when(field.kind == "BOOLEAN", (text == "true").cast("double"))

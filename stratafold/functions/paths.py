@@ -41,10 +41,18 @@ PART_NAMES = {5: "source", 4: "tipo", 3: "id", 2: "fecha"}
 
 
 def part(parts: Column, from_end: int) -> Column:
-    """A part counted from the end (1 is the file name), without its ``name=``."""
-    value = F.try_element_at(parts, F.lit(-from_end))
+    """A part counted from the end (1 is the file name), without its ``name=``.
+
+    Where folders carry names, the account and the day may stand in either order.
+    """
     prefix = PART_NAMES[from_end] + "="
-    return F.when(value.startswith(prefix), _decoded(F.substring(value, len(prefix) + 1, 4096))).otherwise(value)
+    here = F.try_element_at(parts, F.lit(-from_end))
+    named = lambda p: _decoded(F.substr(p, F.lit(len(prefix) + 1)))
+    chosen = F.when(here.startswith(prefix), named(here))
+    if from_end in (2, 3):
+        other = F.try_element_at(parts, F.lit(from_end - 5))
+        chosen = chosen.when(other.startswith(prefix), named(other))
+    return chosen.otherwise(here)
 
 
 def part_account(parts: Column) -> Column:
@@ -55,6 +63,11 @@ def part_day(parts: Column) -> Column:
     return part(parts, 2).try_cast("date")
 
 
+def file_key(parts: Column) -> Column:
+    """The name of one file in the ledger, whichever layout it lies in."""
+    return F.concat_ws("/", F.lit("raw"), *[part(parts, n) for n in (5, 4, 3, 2)], F.element_at(parts, -1))
+
+
 def canonical_path(parts: Column) -> Column:
     """One name for an account and day, however many part files hold it."""
     return F.concat_ws("/", F.lit("raw"), *[part(parts, n) for n in (5, 4, 3, 2)], F.lit(fv.RAW_FILE_NAME))

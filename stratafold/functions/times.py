@@ -7,15 +7,17 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stratafold import fixed_values as fv
+
 
 def parse_instant(text: Column) -> Column:
     """ISO date or date-time text as an instant; text without an offset is UTC.
 
     Plain string functions rather than patterns: this runs several times a row.
     """
-    clean = F.trim(text)
+    clean = F.btrim(text, F.lit(fv.WHITE_SPACE))
     dated = (F.substring(clean, 5, 1) == "-") & (F.substring(clean, 8, 1) == "-")
-    clock = F.substring(clean, 11, 64)
+    clock = F.substr(clean, F.lit(11))
     has_offset = F.contains(clock, F.lit("+")) | F.contains(clock, F.lit("-")) | F.upper(clock).endswith("Z")
     in_utc = F.when(clock == "", F.concat(clean, F.lit("T00:00:00Z"))).otherwise(F.concat(clean, F.lit("Z")))
     return F.when(dated, F.when(has_offset, F.upper(clean)).otherwise(in_utc)).try_cast("timestamp")

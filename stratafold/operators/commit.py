@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratafold.operators.merge import INSERT, UPDATE, MergeRule, merge
-from stratafold.sources.tables import MAX_LISTED_DAYS, LakeTable, within_days
+from stratafold.sources.tables import LakeTable, within_days
 
 # A measured source within both bounds is broadcast instead of shuffled.
 MAX_BROADCAST_ROWS = 200_000
@@ -42,7 +42,10 @@ def text_size(source: DataFrame) -> Column:
 def measure(source: DataFrame, day: str | None) -> SourceSize:
     size = [F.count("*").alias("n"), text_size(source).alias("text")]
     counted = (source.groupBy(day).agg(*size) if day else source.agg(*size)).collect()
-    days = sorted(r[day] for r in counted if r[day] is not None) if day else ()
+    homeless = sum(r["n"] for r in counted if day and r[day] is None)
+    if homeless:
+        raise ValueError(f"{homeless} source rows have no {day}")
+    days = sorted(r[day] for r in counted) if day else ()
     return SourceSize(sum(r["n"] for r in counted), sum(r["text"] for r in counted), tuple(days))
 
 
@@ -65,30 +68,38 @@ def commit(
     *,
     compare: bool = True,
     size: SourceSize | None = None,
+    marks: Mapping[str, int] | None = None,
 ) -> Outcome:
     """Merge ``source`` into ``table``.
 
     ``source`` is read more than once and should be a written table. It is
     measured first, unless the caller knows its ``size``. ``compare=False``
     leaves out the pass that counts the actions and finds what changed, for
-    sources in which every row does.
+    sources in which every row does. ``marks`` become part of the table with the
+    rows, or alone if no row changes. A source row without a day of a partitioned
+    table is an error.
     """
     size = size or measure(source, table.spec.partition)
-    if not size.rows:
-        return Outcome()
-    if table.spec.partition is None:
-        return _commit_whole(table, source, rule, size.small, compare)
-    return _commit_days(table, source, rule, size.small, compare, size.days)
+    outcome = Outcome()
+    if size.rows and table.spec.partition is None:
+        outcome = _commit_whole(table, source, rule, size.small, compare, marks)
+    elif size.rows:
+        outcome = _commit_days(table, source, rule, size.small, compare, size.days, marks)
+    if marks:
+        table.mark(marks)
+    return outcome
 
 
-def _commit_whole(table: LakeTable, source: DataFrame, rule: MergeRule, small: bool, compare: bool) -> Outcome:
+def _commit_whole(
+    table: LakeTable, source: DataFrame, rule: MergeRule, small: bool, compare: bool, marks: Mapping[str, int] | None
+) -> Outcome:
     merged = merge(table.read(), source, rule, broadcast_source=small)
     outcome = Outcome()
     if compare:
         counts = merged.groupBy("action").agg(F.count("*").alias("n")).collect()
         outcome = Outcome({r["action"]: r["n"] for r in counts})
     if outcome.changed or not compare:
-        table.publish(merged.drop("action"))
+        table.publish(merged.drop("action"), marks=marks)
     return outcome
 
 
@@ -98,7 +109,13 @@ def source_days(source: DataFrame, column: str) -> list[dt.date]:
 
 
 def _commit_days(
-    table: LakeTable, source: DataFrame, rule: MergeRule, small: bool, compare: bool, days: Sequence[dt.date]
+    table: LakeTable,
+    source: DataFrame,
+    rule: MergeRule,
+    small: bool,
+    compare: bool,
+    days: Sequence[dt.date],
+    marks: Mapping[str, int] | None,
 ) -> Outcome:
     """Rewrite only the days that hold an insert or an update.
 
@@ -115,9 +132,7 @@ def _commit_days(
         for r in counts:
             actions[r["action"]] = actions.get(r["action"], 0) + r["n"]
         touched = tuple(sorted({r[day] for r in counts if r["action"] in (UPDATE, INSERT)}))
-    # beyond a long list the filters turn into ranges: publish in slices that stay exact
-    for start in range(0, len(touched), MAX_LISTED_DAYS):
-        some = touched[start : start + MAX_LISTED_DAYS]
-        merged = merge(table.read(some), within_days(source, day, some), rule, broadcast_source=small)
-        table.publish(merged.drop("action"))
+    if touched:
+        merged = merge(table.read(touched), within_days(source, day, touched), rule, broadcast_source=small)
+        table.publish(merged.drop("action"), marks=marks)
     return Outcome(actions, touched)

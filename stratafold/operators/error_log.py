@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
+from stratafold.functions.times import instant_literal, utc_date
+from stratafold.sources.tables import LakeTable
 
 
 def _id(column: Column | None) -> Column:
@@ -29,6 +35,7 @@ def error_rows(
     child_id: Column | None = None,
     child_kind: str | None = None,
     attempts: int = 1,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One error-log row per input row; id, time and the open mark are defaults of the table."""
     return df.select(
@@ -43,15 +50,39 @@ def error_rows(
         F.lit(kind).alias("tipo_error"),
         message.alias("mensaje_error"),
         F.lit(attempts).cast("bigint").alias("intentos"),
+        *[column.alias(name) for name, column in (extra or {}).items()],
     )
 
 
 def account_errors(
-    df: DataFrame, process: str, kind: str, message: Column, child_id: Column | None = None, child_kind: str | None = None
+    df: DataFrame,
+    process: str,
+    kind: str,
+    message: Column,
+    child_id: Column | None = None,
+    child_kind: str | None = None,
+    *,
+    file: Column | None = None,
 ) -> DataFrame:
-    """Errors that belong to an advertising account."""
+    """Errors that belong to an advertising account, found in ``file``."""
     return error_rows(
         df, process, platform=F.lower("platform"), entity_id=F.col("account_id"), entity_kind=fv.ENTITY_ACCOUNT,
         kind=kind, message=message, parent_id=F.col("account_id"), parent_kind=fv.ENTITY_ACCOUNT,
-        child_id=child_id, child_kind=child_kind,
+        child_id=child_id, child_kind=child_kind, extra={} if file is None else {"file": file},
     )
+
+
+def log_once(log: LakeTable, errors: DataFrame, run_ts: dt.datetime) -> None:
+    """Add errors (with their ``file``) that this day's runs have not logged yet.
+
+    The id is a digest of day, process, file, item and reason, and of how often they
+    came before in the same file. So a load that died behind its log and is
+    repeated logs nothing twice, while the same fault on another day is a new row.
+    """
+    day = utc_date(instant_literal(run_ts)).cast("string")
+    what = ["proceso", "file", "parent_id", "child_id", "tipo_error", "mensaje_error"]
+    nth = F.row_number().over(W.partitionBy(*what).orderBy(F.lit(0)))
+    parts = [F.coalesce(F.col(c), F.lit("")) for c in what]
+    digest = F.md5(F.concat_ws("\u0001", day, *parts, nth.cast("string")))
+    keyed = errors.withColumn("error_id", digest).drop("file")
+    log.append(keyed.join(log.read().select("error_id"), "error_id", "left_anti"), run_ts)

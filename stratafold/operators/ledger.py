@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
-from stratafold.functions.paths import part, path_parts
+from stratafold.functions.paths import canonical_path, part, path_parts
 from stratafold.operators.normalise import good_rows
 
 FILE_KEY = ("gcs_path", "fecha_archivo")
@@ -58,3 +58,16 @@ def file_outcomes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         .withColumn("status", F.when(F.col("error").isNull(), fv.LEDGER_DONE).otherwise(fv.LEDGER_FAILED))
         .drop("file_error", "repeats")
     )
+
+
+def account_days(ledger: DataFrame) -> DataFrame:
+    """The ledger by account and day: complete once all of its files are, failed if any has."""
+    named = ledger.withColumn("gcs_path", canonical_path(path_parts(F.col("gcs_path"))))
+    done, failed = (F.col("status") == s for s in (fv.LEDGER_DONE, fv.LEDGER_FAILED))
+    status = F.when(F.bool_and(done), fv.LEDGER_DONE).when(F.bool_or(failed), fv.LEDGER_FAILED).otherwise(F.min("status"))
+    return named.groupBy("gcs_path", "business_line", "entity_id", "fecha_archivo").agg(
+        status.alias("status"),
+        F.max("fecha_carga").alias("fecha_carga"),
+        F.min("error_mensaje").alias("error_mensaje"),
+        F.count("*").alias("files"),
+    )

@@ -13,20 +13,34 @@ from stratafold.operators.commit import Outcome, commit
 from stratafold.plans.lake import Lake
 from stratafold.schemas import DIM_CAMPAIGNS, FACT
 
+# The mark under which the fact table keeps silver's state.
+SILVER = "insights"
+
 
 def fact_rows(insights: DataFrame) -> DataFrame:
     """Silver rows in the fact table's types."""
     return cast_to(insights, FACT, "inserted_at")
 
 
-def refresh_gold(lake: Lake, run_ts: dt.datetime, days: Iterable[dt.date] | None = None) -> Outcome:
+def refresh_gold(
+    lake: Lake, run_ts: dt.datetime, days: Iterable[dt.date] | None = None, *, everything: bool = False
+) -> Outcome:
     """Merge silver into the fact table.
 
-    ``days`` narrows both sides to some days, usually those the silver load has
-    just rewritten; without it all of silver is compared.
+    Without ``days``, the days that silver has rewritten since the last refresh are
+    taken: the fact table's manifest says up to which state of silver it goes, so a
+    day is not lost whichever job died before. ``days`` narrows the refresh to some
+    days and leaves that mark; ``everything`` compares all of silver.
     """
-    source = fact_rows(lake.insights.read(days))
-    return commit(lake.fact, source, rules.changed_fact(run_ts))
+    silver = lake.insights
+    state = silver.manifest().number
+    if days is not None:
+        return commit(lake.fact, fact_rows(silver.read(days, number=state)), rules.changed_fact(run_ts))
+    known = lake.fact.manifest().marks.get(SILVER)
+    if known is not None and not everything:
+        days = silver.days_changed_since(known)
+    source = fact_rows(silver.read(days, number=state))
+    return commit(lake.fact, source, rules.changed_fact(run_ts), marks={SILVER: state})
 
 
 def campaign_dimension(campaigns: DataFrame) -> DataFrame:

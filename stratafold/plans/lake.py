@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -74,10 +74,16 @@ class Staging:
         self.paths: list[str] = []
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(self.spark, label)
+        return self.write_all([df], label)
+
+    def write_all(self, frames: Iterable[DataFrame], label: str) -> DataFrame | None:
+        """Frames of one schema as one table, one written after the other; None if there are none."""
+        path, schema = scratch_path(self.spark, label), None
         self.paths.append(path)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        for df in frames:
+            df.write.mode("append").parquet(path)
+            schema = df.schema
+        return self.spark.read.schema(schema).parquet(path) if schema else None
 
     def drop(self) -> None:
         while self.paths:

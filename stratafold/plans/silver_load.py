@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -14,7 +14,7 @@ from stratafold import fixed_values as fv
 from stratafold.operators import rules
 from stratafold.operators.casts import cast_to
 from stratafold.operators.commit import Outcome, SourceSize, commit, source_days, text_size
-from stratafold.operators.error_log import account_errors
+from stratafold.operators.error_log import account_errors, log_once
 from stratafold.operators.ledger import FILE_KEY, file_outcomes, not_yet_loaded, unfinished
 from stratafold.operators.merge import LATEST, MergeRule
 from stratafold.operators.normalise import (
@@ -23,7 +23,10 @@ from stratafold.operators.normalise import (
 from stratafold.plans.lake import Lake, Staging, staging
 from stratafold.schemas import CAMPAIGN_FIELDS, CAMPAIGNS, INSIGHT_FIELDS, INSIGHTS, TableSpec
 from stratafold.sources.catalogue import active_platforms
-from stratafold.sources.raw_files import ARRAY, MAX_LISTED_FILES, day_glob, list_files, read_items
+from stratafold.sources.raw_files import LAYOUTS, day_glob, list_files, read_items
+
+# Names of so many files at a time are given to the reader.
+FILES_AT_ONCE = 10_000
 
 # later files of one load win over earlier ones
 FILE_ORDER = ("fecha_archivo", "gcs_path")
@@ -94,9 +97,9 @@ def load_insights(lake: Lake, run_date: dt.date, run_ts: dt.datetime, **options)
 
 
 def due_files(
-    lake: Lake, job: LoadJob, run_date: dt.date, *, layout: str = ARRAY, same_day_only: bool = False
+    lake: Lake, job: LoadJob, run_date: dt.date, *, layout: str | None = None, same_day_only: bool = False
 ) -> DataFrame:
-    """Files of the run date not loaded yet, plus unfinished ones of earlier days.
+    """Files of the run date not loaded yet, plus unfinished ones of earlier days, of one layout or both.
 
     The platforms and the days to look at are collected: a handful of names and
     one value per day with an open file.
@@ -109,12 +112,14 @@ def due_files(
     retries = unfinished(ledger, job.kind, run_date)
     days = [run_date] if same_day_only else [*source_days(retries, "fecha_archivo"), run_date]
     listed = [
-        list_files(spark, day_glob(lake.root, platform, job.kind, day, layout)).withColumn("platform", F.lit(platform))
+        list_files(spark, [day_glob(lake.root, platform, job.kind, day, form) for day in days]).withColumns(
+            {"platform": F.lit(platform), "layout": F.lit(form)}
+        )
         for platform in platforms
-        for day in days
+        for form in ([layout] if layout else LAYOUTS)
     ]
     if not listed:
-        listed = [list_files(spark, []).withColumn("platform", F.lit(""))]
+        listed = [list_files(spark, []).withColumns({"platform": F.lit(""), "layout": F.lit("")})]
     files = reduce(DataFrame.unionByName, listed)
     today = files.where(F.col("fecha_archivo") == F.lit(run_date))
     due = not_yet_loaded(today, lake.ledger.read([run_date]))
@@ -130,52 +135,53 @@ def load_files(
     run_date: dt.date,
     run_ts: dt.datetime,
     *,
-    layout: str = ARRAY,
+    layout: str | None = None,
     same_day_only: bool = False,
 ) -> LoadOutcome:
-    """List, gate, read, normalise, upsert, log, and close the ledger entries."""
+    """List, gate, read, normalise, upsert, log, and close the ledger entries.
+
+    Files of both layouts are loaded unless one is named.
+    """
     due = due_files(lake, job, run_date, layout=layout, same_day_only=same_day_only)
     with staging(lake.spark) as stage:
-        rows = _rows_of(lake, job, due, layout)
-        if rows is None:
-            return LoadOutcome()
-        return _apply(lake, job, stage.write(rows, "rows"), stage, run_ts)
+        rows = stage.write_all(_rows_of(lake, job, stage.write(due, "due")), "rows")
+        return LoadOutcome() if rows is None else _apply(lake, job, rows, stage, run_ts)
 
 
-def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, layout: str) -> DataFrame | None:
+def _rows_of(lake: Lake, job: LoadJob, due: DataFrame) -> Iterator[DataFrame]:
     """Normalised rows of the due files; files without a normaliser are not read.
 
-    A long list of files is not named but read by day and joined.
+    Files are named to the reader in slices by a hash of their path, so that the
+    driver holds one slice's names however many files there are.
     """
-    named = due.select("platform", "fecha_archivo", "file_path").limit(MAX_LISTED_FILES + 1).collect()
-    whole_days = len(named) > MAX_LISTED_FILES
-    if whole_days:
-        named = due.select("platform", "fecha_archivo").distinct().collect()
-    parts = []
-    for platform in sorted({r["platform"] for r in named}):
+    counts = {(r["platform"], r["layout"]): r["count"] for r in due.groupBy("platform", "layout").count().collect()}
+    for (platform, layout), count in sorted(counts.items()):
         normalise = normaliser_for(platform, job.normalisers)
-        of_platform = due.where(F.col("platform") == platform)
+        files = due.where((F.col("platform") == platform) & (F.col("layout") == layout)).drop("layout")
         if normalise is None:
-            parts.append(fail_unsupported(of_platform, job.spec, job.stamp))
+            yield fail_unsupported(files, job.spec, job.stamp)
             continue
-        mine = [r for r in named if r["platform"] == platform]
-        if whole_days:
-            files = [day_glob(lake.root, platform, job.kind, r["fecha_archivo"], layout) for r in mine]
-        else:
-            files = [r["file_path"] for r in mine]
-        items = read_items(lake.spark, files, job.fields, layout).withColumn("platform", F.lit(platform))
-        if whole_days:
-            items = items.join(of_platform.select("gcs_path").distinct(), "gcs_path", "left_semi")
-        parts.append(normalise(items))
-    if not parts:
-        return None
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        slices = -(-count // FILES_AT_ONCE)
+        for number in range(slices):
+            mine = files.where(F.pmod(F.xxhash64("file_path"), F.lit(slices)) == number).select("file_path")
+            names = sorted(r["file_path"] for r in mine.collect())
+            if names:
+                yield normalise(read_items(lake.spark, names, job.fields, layout).withColumn("platform", F.lit(platform)))
 
 
 def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, run_ts: dt.datetime) -> LoadOutcome:
-    """Normalised rows of any files: those already loaded are left out."""
+    """Normalised rows of any files: those already loaded are left out.
+
+    A file in a folder whose day cannot be read has no place in the ledger; it is
+    logged and left alone.
+    """
+    homeless = rows.where(F.col("fecha_archivo").isNull()).select("gcs_path", "account_id", "platform").distinct()
+    if not homeless.isEmpty():
+        reason = account_errors(homeless, job.process, "FileError", F.lit("the folder's day cannot be read"), file=F.col("gcs_path"))
+        log_once(lake.errors, reason, run_ts)
     with staging(lake.spark) as stage:
-        fresh = not_yet_loaded(rows, lake.ledger.read(source_days(rows, "fecha_archivo")))
+        dated = rows.where(F.col("fecha_archivo").isNotNull())
+        fresh = not_yet_loaded(dated, lake.ledger.read(source_days(dated, "fecha_archivo")))
         return _apply(lake, job, stage.write(fresh, "rows"), stage, run_ts)
 
 
@@ -207,13 +213,14 @@ def _apply(lake: Lake, job: LoadJob, rows: DataFrame, stage: Staging, run_ts: dt
         upsert = commit(lake.table(job.spec), source, job.rule(run_ts))
 
     if fv.LEDGER_FAILED in files or sum(r["bad"] for r in totals):
-        lake.errors.append(_errors(job, rows, failed), run_ts)
+        log_once(lake.errors, _errors(job, rows, failed), run_ts)
     finished = outcomes.select(*FILE_KEY, "status", "error")
     commit(lake.ledger, finished, rules.finished_load(), compare=False, size=size)
     return LoadOutcome(files, upsert)
 
 
 def _errors(job: LoadJob, rows: DataFrame, failed: DataFrame) -> DataFrame:
-    per_file = account_errors(failed, job.process, "FileError", F.col("error"))
-    per_row = account_errors(bad_rows(rows), job.process, "RowError", F.col("row_error"), F.col("item_id"), "item")
+    file = F.col("gcs_path")
+    per_file = account_errors(failed, job.process, "FileError", F.col("error"), file=file)
+    per_row = account_errors(bad_rows(rows), job.process, "RowError", F.col("row_error"), F.col("item_id"), "item", file=file)
     return per_file.unionByName(per_row)

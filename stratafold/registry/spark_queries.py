@@ -15,7 +15,7 @@ from stratafold.operators.casts import cast_to
 from stratafold.operators.due import range_mode
 from stratafold.operators.error_log import account_errors
 from stratafold.operators.guards import split_missing
-from stratafold.operators.ledger import not_yet_loaded
+from stratafold.operators.ledger import account_days, not_yet_loaded
 from stratafold.operators.merge import merge
 from stratafold.operators.normalise import bad_rows, dispatch, good_rows, normalise_campaigns, normalise_insights
 from stratafold.operators.worklist import daily_metrics, group_sizes, lots, requested_rows, work_list
@@ -388,7 +388,7 @@ def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
     _one_account(spark, lake)
     _land_metrics(lake, fr.late_metrics(spark, sf), fr.LATE_PULL)
     load_insights(lake, fr.LATE_PULL, fr.LATE_TS, layout=LINES)
-    return lake.ledger.read().select(*LEDGER_OUTPUT, stamp("fecha_carga"))
+    return account_days(lake.ledger.read()).select(*LEDGER_OUTPUT, stamp("fecha_carga"))
 
 
 def extraction_cycle(spark: SparkSession, sf: str) -> DataFrame:

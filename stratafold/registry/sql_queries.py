@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from stratafold.operators.worklist import SPLIT_DIGITS
 
 # --- daily metrics ------------------------------------------------------------
 EVENTS = """
@@ -157,7 +156,7 @@ def lots(work_name: str) -> str:
     return f"""
 lots AS (
   SELECT account_id, mode, campaign_id, CAST(floor((row_number() OVER (
-      PARTITION BY account_id, mode ORDER BY substr(md5(campaign_id), 1, {SPLIT_DIGITS}), campaign_id) - 1) / 10) AS BIGINT) AS lot
+      PARTITION BY account_id, mode ORDER BY substr(md5(campaign_id), 1, 3), campaign_id) - 1) / 10) AS BIGINT) AS lot
   FROM {work_name})"""
 
 

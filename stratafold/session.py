@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -32,13 +33,13 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder for staged tables and stream checkpoints.
 
     A cluster names it in ``spark.checkpoint.dir``. A local run without that
-    setting gets a folder of its own; any other master must name one, since a
-    machine's own disk is not shared between executors.
+    setting gets a folder of its own; any other master, local clusters included,
+    must name one, since a machine's own disk is not shared between executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not re.match(r"local(\[|$)", master):
             raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = _local_folder(spark.sparkContext.applicationId)
     return root.rstrip("/")
@@ -64,11 +65,46 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def glob_matches(spark: SparkSession, glob: str) -> bool:
+    fs, jpath = _file_system(spark, glob)
+    return bool(fs.globStatus(jpath))
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     fs, jpath = _file_system(spark, path)
     fs.mkdirs(jpath)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, jpath = _file_system(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = _file_system(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a file in place whole, or fail if there is one already."""
+    fs, jpath = _file_system(spark, path)
+    folder, name = path.rsplit("/", 1)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}.{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(fs.makeQualified(draft), fs.makeQualified(jpath), options)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = _file_system(spark, path)
     fs.delete(jpath, True)

@@ -5,24 +5,21 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
 from stratafold.functions import paths
+from stratafold.session import glob_matches
 
 # Two layouts of the same content. "array": one JSON array per file. "lines":
 # one JSON object per line and any number of part files, which Spark can split.
-ARRAY, LINES = "array", "lines"
-
-# Beyond this many files a load reads whole days and joins on the path.
-MAX_LISTED_FILES = 20_000
+LAYOUTS = ARRAY, LINES = "array", "lines"
 
 
 def day_glob(root: str, source: str, kind: str, day: dt.date | str, layout: str = ARRAY) -> str:
     if layout == LINES:
-        return f"{root}/raw/source={source.lower()}/tipo={kind}/id=*/fecha={day}/*"
+        return f"{root}/raw/source={source.lower()}/tipo={kind}/fecha={day}/id=*/*"
     return f"{root}/raw/{source.lower()}/{kind}/*/{day}/{fv.RAW_FILE_NAME}"
 
 
@@ -31,15 +28,13 @@ FILE_COLUMNS = "gcs_path string, file_path string, account_id string, fecha_arch
 
 def list_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
     """Files under the globs with what their path says; contents are not read."""
-    try:
-        listed = spark.read.format("binaryFile").load(globs if isinstance(globs, str) else list(globs))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    found = [g for g in ([globs] if isinstance(globs, str) else globs) if glob_matches(spark, g)]
+    if not found:
         return spark.createDataFrame([], FILE_COLUMNS)
+    listed = spark.read.format("binaryFile").load(found)
     parts = F.col("parts")
     return listed.select(paths.uri_parts(F.col("_metadata.file_path")).alias("parts"), "path", "length").select(
-        paths.canonical_path(parts).alias("gcs_path"),
+        paths.file_key(parts).alias("gcs_path"),
         F.col("path").alias("file_path"),
         paths.part_account(parts).alias("account_id"),
         paths.part_day(parts).alias("fecha_archivo"),
@@ -81,7 +76,7 @@ def read_items(
     lines = reader.load(files if isinstance(files, str) or streaming else list(files))
     parts = F.col("parts")
     named = lines.select(paths.uri_parts(F.col("_metadata.file_path")).alias("parts"), "value").select(
-        paths.canonical_path(parts).alias("gcs_path"),
+        paths.file_key(parts).alias("gcs_path"),
         paths.part_account(parts).alias("account_id"),
         paths.part_day(parts).alias("fecha_archivo"),
         "value",
@@ -112,9 +107,9 @@ def land_items(items: DataFrame, root: str) -> None:
         F.to_json("item").alias("value"),
     )
     (
-        lines.hint("rebalance", "source", "tipo", "id", "fecha")
+        lines.hint("rebalance", "source", "tipo", "fecha", "id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source", "tipo", "id", "fecha")
+        .partitionBy("source", "tipo", "fecha", "id")
         .text(f"{root}/raw")
     )

@@ -1,16 +1,21 @@
-"""Plain Parquet tables, replaced through a complete staged copy.
-
-Parquet has no transactions. New content is therefore first written whole to a
-folder beside the table and only then put in place; a run that dies in between
-leaves that copy behind, and the next use of the table finishes the work. Only
-the partitions in the staged copy are replaced.
+"""Parquet tables whose content is switched by a manifest.
+
+Each write goes to a folder of its own below ``data`` and becomes part of the
+table through a numbered manifest, which names the folders that make it up: one
+list for the table, or one for each day of a partitioned table. A manifest is
+written beside its place and renamed into it, which fails if that number has been
+taken. So a writer that dies leaves either the old table or the new one, a byte
+is written once, and readers only read. Folders that no manifest names any more
+stay until ``vacuum``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
-from dataclasses import dataclass
+import json
+import uuid
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,39 +23,46 @@ from pyspark.sql import functions as F
 from stratafold.functions.times import instant_literal
 from stratafold.operators.guards import require_columns
 from stratafold.schemas import DEFAULT_NOW, DEFAULT_UUID, TableSpec
-from stratafold.session import delete_path, make_dirs, path_exists
+from stratafold.session import delete_path, list_names, make_dirs, read_text, write_new_text
 
-# An IN list longer than this is replaced by a range over the same days.
-MAX_LISTED_DAYS = 400
+WHOLE = ""
 
 
 def with_defaults(df: DataFrame, spec: TableSpec, run_ts: dt.datetime) -> DataFrame:
     """Add the columns a source leaves out: their default, or NULL."""
     defaults = dict(spec.defaults)
     columns = []
-    for field in spec.schema.fields:
-        if field.name in df.columns:
-            column = F.col(field.name)
-        elif defaults.get(field.name) == DEFAULT_UUID:
+    for field_ in spec.schema.fields:
+        if field_.name in df.columns:
+            column = F.col(field_.name)
+        elif defaults.get(field_.name) == DEFAULT_UUID:
             column = F.expr("uuid()")
-        elif defaults.get(field.name) == DEFAULT_NOW:
+        elif defaults.get(field_.name) == DEFAULT_NOW:
             column = instant_literal(run_ts)
         else:
-            column = F.lit(defaults.get(field.name))
-        columns.append(column.cast(field.dataType).alias(field.name, metadata=field.metadata))
+            column = F.lit(defaults.get(field_.name))
+        columns.append(column.cast(field_.dataType).alias(field_.name, metadata=field_.metadata))
     return df.select(*columns)
 
 
 def within_days(df: DataFrame, column: str, days: Iterable[dt.date] | None) -> DataFrame:
-    """Rows of the given days, as a filter that prunes partitions while planning."""
+    """Rows of the given days, however many."""
     if days is None:
         return df
     days = sorted(set(days))
-    if not days:
-        return df.where(F.lit(False))
-    if len(days) > MAX_LISTED_DAYS:
-        return df.where(F.col(column).between(F.lit(days[0]), F.lit(days[-1])))
-    return df.where(F.col(column).isin([F.lit(day) for day in days]))
+    return df.where(F.col(column).isin([F.lit(day) for day in days]) if days else F.lit(False))
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """The folders of a table by day (one entry for a table without days), and marks.
+
+    A mark is the number of another table's manifest that has been taken in.
+    """
+
+    number: int = 0
+    folders: Mapping[str, list[str]] = field(default_factory=dict)
+    marks: Mapping[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -66,72 +78,116 @@ class LakeTable:
         return f"{self.root}/{self.spec.name}"
 
     @property
-    def _staged_path(self) -> str:
-        return f"{self.path}__pending"
+    def _data(self) -> str:
+        return f"{self.path}/data"
+
+    @property
+    def _manifests(self) -> str:
+        return f"{self.path}/manifests"
 
     def create(self, *, replace: bool = False) -> LakeTable:
         if replace:
-            delete_path(self.spark, self._staged_path)
             delete_path(self.spark, self.path)
-        make_dirs(self.spark, self.path)
+        make_dirs(self.spark, self._data)
+        make_dirs(self.spark, self._manifests)
         return self
 
-    def read(self, days: Iterable[dt.date] | None = None) -> DataFrame:
-        """The rows, or those of some days of a partitioned table."""
-        self.recover()
-        if not path_exists(self.spark, self.path):
-            make_dirs(self.spark, self.path)
-        return self._select(self._load(self.path), days)
-
-    def _load(self, path: str) -> DataFrame:
-        return self.spark.read.schema(self.spec.schema).parquet(path)
-
-    def _select(self, df: DataFrame, days: Iterable[dt.date] | None) -> DataFrame:
-        if days is not None:
-            df = within_days(df, self.spec.partition, days)
-        return df.select(*self.spec.columns)
-
-    def _sorted(self, df: DataFrame) -> DataFrame:
-        order = [self.spec.partition] if self.spec.partition else []
-        order += self.spec.cluster
-        return df.sortWithinPartitions(*order) if order else df
+    def _numbers(self) -> list[int]:
+        names = list_names(self.spark, self._manifests)
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
+
+    def _manifest_path(self, number: int) -> str:
+        return f"{self._manifests}/{number:012d}.json"
+
+    def manifest(self, number: int | None = None) -> Manifest:
+        """The current manifest, or the one of a number; an empty one where there is none."""
+        known = self._numbers()
+        number = (known[-1] if known else 0) if number is None else number
+        if number not in known:
+            return Manifest()
+        stored = json.loads(read_text(self.spark, self._manifest_path(number)))
+        return Manifest(number, stored["folders"], stored["marks"])
+
+    def read(self, days: Iterable[dt.date] | None = None, *, number: int | None = None) -> DataFrame:
+        """The rows, or those of some days of a partitioned table, now or at a manifest's number."""
+        folders = self.manifest(number).folders
+        if days is None:
+            chosen = [f for listed in folders.values() for f in listed]
+        else:
+            chosen = [f for day in sorted(set(days)) for f in folders.get(day.isoformat(), [])]
+        if not chosen:
+            return self.spark.createDataFrame([], self.spec.schema)
+        reader = self.spark.read.schema(self.spec.schema).option("basePath", self._data)
+        return reader.parquet(*[f"{self._data}/{f}" for f in chosen]).select(*self.spec.columns)
+
+    def days_changed_since(self, number: int) -> list[dt.date] | None:
+        """The days whose folders differ from an earlier manifest's; None if that one is gone."""
+        now, then = self.manifest(), self.manifest(number)
+        if then.number != number:
+            return None
+        changed = {d for d in {*now.folders, *then.folders} if now.folders.get(d) != then.folders.get(d)}
+        return sorted(dt.date.fromisoformat(d) for d in changed)
 
     def _laid_out(self, df: DataFrame) -> DataFrame:
         """Even files: days share or split tasks by size, rows lie in cluster order."""
         by = [self.spec.partition] if self.spec.partition else list(self.spec.cluster)
-        return self._sorted(df.hint("rebalance", *by) if by else df)
-
-    def _writer(self, df: DataFrame, mode: str):
-        writer = df.write.mode(mode)
-        if self.spec.partition:
-            writer = writer.partitionBy(self.spec.partition).option("partitionOverwriteMode", "dynamic")
-        return writer
-
-    def publish(self, df: DataFrame) -> None:
+        even = df.hint("rebalance", *by) if by else df
+        order = [*([self.spec.partition] if self.spec.partition else []), *self.spec.cluster]
+        return even.sortWithinPartitions(*order) if order else even
+
+    def _stage(self, df: DataFrame) -> dict[str, list[str]]:
+        """Write rows to a new folder; the folders by day, not yet part of the table."""
+        version = f"version=v{uuid.uuid4().hex}"
+        writer = df.write
+        if self.spec.partition is None:
+            writer.parquet(f"{self._data}/{version}")
+            return {WHOLE: [version]}
+        writer.partitionBy(self.spec.partition).parquet(f"{self._data}/{version}")
+        prefix = f"{self.spec.partition}="
+        names = [n for n in list_names(self.spark, f"{self._data}/{version}") if n.startswith(prefix)]
+        return {n.removeprefix(prefix): [f"{version}/{n}"] for n in names}
+
+    def _switch(self, old: Manifest, folders: Mapping[str, list[str]], marks: Mapping[str, int] | None) -> None:
+        """Make the folders the table, unless another writer has been faster."""
+        stored = json.dumps({"folders": dict(folders), "marks": {**old.marks, **(marks or {})}})
+        write_new_text(self.spark, self._manifest_path(old.number + 1), stored)
+
+    def publish(self, df: DataFrame, *, marks: Mapping[str, int] | None = None) -> None:
         """Replace the table, or just the partitions found in ``df``.
 
-        ``df`` may read this very table: it is computed before anything is replaced.
+        ``df`` may read this very table: its folders stay. Rows without a day of a
+        partitioned table fail the write like any missing required column.
         """
-        checked = require_columns(df.select(*self.spec.columns), self.spec.required)
-        # the staged copy must be new as a whole, not per partition
-        delete_path(self.spark, self._staged_path)
-        self._writer(self._laid_out(checked), "overwrite").parquet(self._staged_path)
-        self._put_in_place()
-
-    def _put_in_place(self) -> None:
-        staged = self._sorted(self._load(self._staged_path).select(*self.spec.columns))
-        self._writer(staged, "overwrite").parquet(self.path)
-        delete_path(self.spark, self._staged_path)
-
-    def recover(self) -> None:
-        """Finish a replacement whose staged copy is complete."""
-        if path_exists(self.spark, f"{self._staged_path}/_SUCCESS"):
-            self._put_in_place()
+        old = self.manifest()
+        staged = self._stage(self._laid_out(self._checked(df.select(*self.spec.columns))))
+        self._switch(old, {**old.folders, **staged} if self.spec.partition else staged, marks)
 
     def append(self, df: DataFrame, run_ts: dt.datetime) -> None:
         """Add rows, with the table's defaults for what they leave out."""
-        rows = require_columns(with_defaults(df, self.spec, run_ts), self.spec.required)
-        writer = rows.write.mode("append")
-        if self.spec.partition:
-            writer = writer.partitionBy(self.spec.partition)
-        writer.parquet(self.path)
+        old = self.manifest()
+        staged = self._stage(self._checked(with_defaults(df, self.spec, run_ts)))
+        self._switch(old, {**old.folders, **{d: [*old.folders.get(d, []), *f] for d, f in staged.items()}}, None)
+
+    def mark(self, marks: Mapping[str, int]) -> None:
+        """Note what has been taken in when that has changed no row."""
+        old = self.manifest()
+        if any(old.marks.get(k) != v for k, v in marks.items()):
+            self._switch(old, old.folders, marks)
+
+    def _checked(self, df: DataFrame) -> DataFrame:
+        day = [self.spec.partition] if self.spec.partition and self.spec.partition not in self.spec.required else []
+        return require_columns(df, [*self.spec.required, *day])
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete manifests but the newest ``keep``, and folders that those do not name.
+
+        For the table's only writer, when no reader holds an older state.
+        """
+        numbers = self._numbers()
+        kept = [self.manifest(n) for n in numbers[-keep:]]
+        named = {f.split("/")[0] for m in kept for listed in m.folders.values() for f in listed}
+        for number in numbers[:-keep]:
+            delete_path(self.spark, self._manifest_path(number))
+        for name in list_names(self.spark, self._data):
+            if name not in named:
+                delete_path(self.spark, f"{self._data}/{name}")

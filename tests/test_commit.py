@@ -1,4 +1,4 @@
-"""Applying an upsert on disk: which partitions are rewritten, and recovery."""
+"""Applying an upsert on disk: which partitions are rewritten, and what a death leaves."""
 
 import datetime as dt
 import os
@@ -26,8 +26,7 @@ def insights(spark, changes=(), days=DAYS, campaigns=20):
 
 
 def files(lake, day):
-    folder = f"{lake.insights.path}/date_information={day}"
-    return {f for f in os.listdir(folder) if f.endswith(".parquet")}
+    return lake.insights.manifest().folders[day.isoformat()]
 
 
 @pytest.mark.parametrize("bound, limit", [("ROWS", 0), ("TEXT", 10), ("ROWS", 10_000)])
@@ -48,13 +47,26 @@ def test_only_changed_days_are_rewritten(spark, lake, monkeypatch, bound, limit)
     assert again.changed == 0 and again.days == ()
 
 
-def test_many_days_in_slices(spark, lake, monkeypatch):
-    monkeypatch.setattr(commit_module, "MAX_LISTED_DAYS", 2)
-    monkeypatch.setattr("stratafold.sources.tables.MAX_LISTED_DAYS", 2)
+def test_any_number_of_days_is_exact(spark, lake):
+    """407 scattered days of 460 are read and rewritten, and no others."""
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=n) for n in range(460)]
+    table = lake.insights
+    table.publish(insights(spark, days=days, campaigns=1).withColumn("updated_at", F.lit(TS1)).coalesce(1))
+    asked = [d for n, d in enumerate(days) if n % 9 and n > 1]
+    assert sorted(r[0] for r in table.read(asked).select("date_information").collect()) == asked
+    out = commit(table, insights(spark, changes={("c0", d) for d in asked}, days=asked, campaigns=1), rules.changed_insight(TS2))
+    assert out.days == tuple(asked) and out.actions == {"update": 407}
+    assert table.read().count() == 460 and table.read().where("row_hash = 'new'").count() == 407
+
+
+@pytest.mark.parametrize("compare", [True, False])
+def test_a_row_without_a_day_is_an_error(spark, lake, compare):
     commit(lake.insights, insights(spark), rules.changed_insight(TS1))
-    source = insights(spark, changes={("c1", d) for d in (DAYS[0], DAYS[2], DAYS[4])})
-    out = commit(lake.insights, source, rules.changed_insight(TS2))
-    assert out.actions == {"update": 3, "noop": 97} and out.days == (DAYS[0], DAYS[2], DAYS[4])
+    loose = insights(spark, campaigns=1).unionByName(insights(spark, campaigns=1).withColumn("date_information", F.lit(None).cast("date")))
+    with pytest.raises(ValueError, match="5 source rows have no date_information"):
+        commit(lake.insights, loose, rules.changed_insight(TS2), compare=compare)
+    with pytest.raises(PySparkException, match="required column is NULL: date_information"):
+        lake.insights.publish(loose.withColumn("updated_at", F.lit(TS1)))
     assert lake.insights.read().count() == 100
 
 
@@ -70,27 +82,64 @@ def test_required_columns_stop_the_write(spark, lake):
     assert lake.insights.read().count() == 100
 
 
-def test_complete_staged_copy_is_put_in_place(spark, lake):
-    """A run that died after staging: the next read finishes it."""
+class Death(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["insights", "control"])
+def test_a_writer_that_dies_leaves_the_old_rows(spark, lake, monkeypatch, name):
+    """Killed behind staging, before the switch: old rows whole, a repeat gives the new ones."""
+    table = getattr(lake, name)
+    if name == "insights":
+        old = insights(spark).withColumn("updated_at", F.lit(TS1))
+        new = insights(spark, changes={("c1", DAYS[1])}, days=DAYS[1:3]).withColumn("updated_at", F.lit(TS2))
+    else:
+        columns = "campaign_id string, account_id string, platform string, last_insight_date date, extraction_status string, ultima_extraccion timestamp"
+        old = spark.createDataFrame([(f"c{i}", "1", "Meta", DAYS[0], "pendiente", TS1) for i in range(9)], columns)
+        new = old.withColumn("extraction_status", F.lit("completo"))
+    table.publish(old)
+    before = sorted(table.read().collect(), key=repr)
+    state = table.manifest()
+
+    def die(*_):
+        raise Death
+
+    with monkeypatch.context() as patch:
+        patch.setattr("stratafold.sources.tables.write_new_text", die)
+        with pytest.raises(Death):
+            table.publish(new)
+    assert sorted(table.read().collect(), key=repr) == before and table.manifest() == state
+    # what the dead writer staged is no part of a later write of other days, nor of the table
+    if name == "insights":
+        table.publish(insights(spark, changes={("c0", DAYS[4])}, days=DAYS[4:]).withColumn("updated_at", F.lit(TS2)))
+        assert table.read().where("row_hash = 'new'").select("date_information").collect() == [(DAYS[4],)]
+    table.publish(new)
+    assert table.read().count() == len(before)
+    assert table.read().where("row_hash = 'new'" if name == "insights" else "extraction_status = 'completo'").count() == (2 if name == "insights" else 9)
+
+
+def test_readers_change_nothing_and_keep_their_state(spark, lake):
     table = lake.insights
     commit(table, insights(spark), rules.changed_insight(TS1))
-    replacement = table.read([DAYS[0]]).withColumn("clicks", F.lit(99).cast("bigint"))
-    replacement.write.partitionBy("date_information").parquet(table.path + "__pending")
-    rows = table.read()
-    assert rows.count() == 100 and rows.where("clicks = 99").count() == 20
-    assert not os.path.exists(table.path + "__pending")
-
-
-def test_incomplete_staged_copy_is_ignored(spark, lake):
+    held = table.read()
+    names = lambda: sorted(os.path.join(d, f) for d, _, fs in os.walk(table.path) for f in fs)
+    before = names()
+    assert held.count() == 100 and table.read(DAYS[:2]).count() == 40 and names() == before
+    commit(table, insights(spark, changes={("c1", DAYS[0])}), rules.changed_insight(TS2))
+    assert held.where("row_hash = 'new'").count() == 0 and held.count() == 100
+    assert table.read().where("row_hash = 'new'").count() == 1
+    table.vacuum(keep=1)
+    assert table.read().count() == 100 and table.read().where("row_hash = 'new'").count() == 1
+
+
+def test_of_two_writers_one_fails(spark, lake):
     table = lake.insights
     commit(table, insights(spark), rules.changed_insight(TS1))
-    table.read([DAYS[0]]).withColumn("clicks", F.lit(99).cast("bigint")).write.partitionBy("date_information").parquet(
-        table.path + "__pending"
-    )
-    os.remove(table.path + "__pending/_SUCCESS")
-    assert table.read().where("clicks = 99").count() == 0
-    table.publish(table.read([DAYS[1]]))
-    assert table.read().count() == 100 and table.read().where("clicks = 99").count() == 0
+    late = table.manifest()
+    table.publish(insights(spark, days=DAYS[:1]).withColumn("updated_at", F.lit(TS2)))
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        table._switch(late, {}, None)
+    assert table.read().count() == 100
 
 
 def test_defaults(spark, lake):

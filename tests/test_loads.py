@@ -37,10 +37,10 @@ def ledger_of(lake):
     return {r["gcs_path"]: r for r in lake.ledger.read().collect()}
 
 
-@pytest.mark.parametrize("listed", [20_000, 1])
+@pytest.mark.parametrize("listed", [10_000, 1])
 def test_faults_stay_where_they_are(lake, accounts, put_raw, rows_of, monkeypatch, listed):
-    """``listed=1``: too many files to name, so whole days are read."""
-    monkeypatch.setattr(silver_load, "MAX_LISTED_FILES", listed)
+    """``listed=1``: files are named to the reader in several slices."""
+    monkeypatch.setattr(silver_load, "FILES_AT_ONCE", listed)
     good = put_raw("insights", "1", DAY, [insight("c1"), insight("c2", spend=None), insight("c3")])
     broken = put_raw("insights", "2", DAY, '[{"campaign_id": "c4"')
     not_objects = put_raw("insights", "3", DAY, [insight("c5"), 7])
@@ -108,6 +108,54 @@ def test_platforms(lake, accounts, put_raw):
     assert "no normaliser" in state["error_mensaje"]
 
 
+def test_a_load_that_dies_logs_once(lake, accounts, put_raw, monkeypatch):
+    """Two deaths behind the error log, then a success: one row for one bad item; another day is another row."""
+    put_raw("insights", "1", DAY, [insight("c1"), insight("c2", spend=None), insight("c2", spend=None)])
+    put_raw("insights", "2", DAY, "broken")
+
+    class Death(Exception):
+        pass
+
+    def die():
+        raise Death
+
+    for _ in range(2):
+        with monkeypatch.context() as patch:
+            patch.setattr(silver_load.rules, "finished_load", die)
+            with pytest.raises(Death):
+                load_insights(lake, DAY, TS)
+    assert load_insights(lake, DAY, TS).files == {"completado": 1, "fallido": 1}
+    errors = lake.errors.read()
+    assert sorted(r["tipo_error"] for r in errors.collect()) == ["FileError", "RowError", "RowError"]
+    assert load_insights(lake, NEXT, NEXT_TS).files == {"fallido": 1}
+    assert errors.count() == 3 and lake.errors.read().where("tipo_error = 'FileError'").count() == 2
+    assert lake.errors.read().select("error_id").distinct().count() == 4
+
+
+def test_gold_after_a_death(lake, accounts, put_raw, monkeypatch):
+    """A load that dies behind the silver commit, a rerun that finds nothing, and gold still gets the day."""
+    put_raw("insights", "1", DAY, [insight("c0", day="2026-01-01")])
+    load_insights(lake, DAY, TS)
+    assert refresh_gold(lake, TS).actions == {"insert": 1}
+    put_raw("insights", "1", NEXT, [insight("c1"), insight("c2", day="2026-01-06")])
+
+    class Death(Exception):
+        pass
+
+    def die():
+        raise Death
+
+    with monkeypatch.context() as patch:
+        patch.setattr(silver_load.rules, "finished_load", die)
+        with pytest.raises(Death):
+            load_insights(lake, NEXT, NEXT_TS)
+    assert load_insights(lake, NEXT, NEXT_TS).upsert.changed == 0
+    out = refresh_gold(lake, NEXT_TS)
+    assert out.actions == {"insert": 2} and out.days == (dt.date(2026, 1, 5), dt.date(2026, 1, 6))
+    assert lake.fact.read().count() == 3
+    assert refresh_gold(lake, NEXT_TS).actions == {} and refresh_gold(lake, NEXT_TS, everything=True).actions == {"noop": 3}
+
+
 def test_nothing_to_do(lake, accounts):
     assert load_insights(lake, DAY, TS).files == {} and load_campaigns(lake, DAY, TS).files == {}
     assert lake.ledger.read().count() == 0

@@ -1,9 +1,12 @@
 """The file stream gives what the batch load gives."""
 
 import datetime as dt
+import json
 
+from stratafold.operators.ledger import account_days
 from stratafold.plans.lake import Lake
 from stratafold.plans.silver_load import campaign_load, load_insights
+from stratafold.sources.raw_files import LINES
 from stratafold.streaming.silver_stream import stream_files
 
 DAY, TS = dt.date(2026, 1, 10), dt.datetime(2026, 1, 10, 6)
@@ -67,3 +70,28 @@ def test_campaign_stream(lake, put_raw, tmp_path):
     put_raw("campaigns", "1", DAY, [{"id": "c1", "daily_budget": "100"}])
     run(lake, str(tmp_path / "c"), job=campaign_load())
     assert [(r["campaign_id"], r["daily_budget"]) for r in lake.campaigns.read().collect()] == [("c1", 1.0)]
+
+
+def test_no_row_is_lost_between_batches(spark, lake, rows_of, tmp_path):
+    """Several part files of one account and day, in small batches, one of them broken."""
+    lake.accounts.append(spark.createDataFrame([("a", "Meta")], "account_id string, platform string"), TS)
+    folder = tmp_path / f"raw/source=meta/tipo=insights/fecha={DAY}/id=1"
+    folder.mkdir(parents=True)
+    for part in range(5):
+        lines = [json.dumps(insight(f"c{part}-{n}")) for n in range(5)]
+        (folder / f"part-{part}.txt").write_text("\n".join(["oops", *lines] if part == 3 else lines))
+    odd = tmp_path / "raw/source=meta/tipo=insights/fecha=yesterday/id=1"
+    odd.mkdir(parents=True)
+    (odd / "part-0.txt").write_text(json.dumps(insight("never")))
+    checkpoint = str(tmp_path / "checkpoint")
+    run(lake, checkpoint, layout=LINES, files_per_batch=2)
+    assert lake.insights.read().count() == 20
+    state = {(r["gcs_path"], r["status"], r["files"]) for r in account_days(lake.ledger.read()).collect()}
+    assert state == {(f"raw/meta/insights/1/{DAY}/data.json", "fallido", 5)}
+    errors = {(r["tipo_error"], r["mensaje_error"]) for r in lake.errors.read().collect()}
+    assert ("FileError", "the folder's day cannot be read") in errors and len(errors) == 2
+    # the broken part alone is retried, by the batch load
+    (folder / "part-3.txt").write_text("\n".join(json.dumps(insight(f"c3-{n}")) for n in range(5)))
+    assert load_insights(lake, DAY, TS, layout=LINES).files == {"completado": 1}
+    assert lake.insights.read().count() == 25
+    assert [(r["status"], r["files"]) for r in account_days(lake.ledger.read()).collect()] == [("completado", 5)]
