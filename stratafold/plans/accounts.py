@@ -14,7 +14,7 @@ from stratafold.operators.commit import commit
 from stratafold.operators.due import with_due
 from stratafold.operators.error_log import account_errors
 from stratafold.plans.lake import Lake, staging
-from stratafold.sources.page_lots import flatten_pages, lot_outcomes
+from stratafold.sources.page_lots import flatten_pages, lot_outcomes, opened
 from stratafold.sources.raw_files import land_items
 
 ACCOUNT = ("account_id",)
@@ -51,7 +51,7 @@ def account_cycle(
         rule = rules.account_status(run_ts)
         commit(lake.accounts, due.select("account_id", F.lit(fv.ACCOUNT_RUNNING).alias("status")), rule, compare=False)
 
-        wanted = pages.join(due.select("account_id"), list(ACCOUNT), "left_semi")
+        wanted = stage.write(opened(pages.join(due.select("account_id"), list(ACCOUNT), "left_semi")), "pages")
         fetched = stage.write(lot_outcomes(wanted, ACCOUNT), "fetched")
         rows = flatten_pages(wanted, fetched, ACCOUNT)
         land_items(

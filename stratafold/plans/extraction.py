@@ -14,7 +14,7 @@ from stratafold.operators.commit import Outcome, commit
 from stratafold.operators.error_log import account_errors
 from stratafold.operators.worklist import lots, work_list
 from stratafold.plans.lake import Lake, staging
-from stratafold.sources.page_lots import flatten_pages, lot_outcomes
+from stratafold.sources.page_lots import flatten_pages, lot_outcomes, opened
 from stratafold.sources.raw_files import land_items
 
 LOT = ("account_id", "mode", "lot")
@@ -56,16 +56,24 @@ def campaign_intents(planned: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def collect_insights(
-    lake: Lake, planned: DataFrame, pages: DataFrame, run_date: dt.date, run_ts: dt.datetime, **options
+    lake: Lake,
+    planned: DataFrame,
+    pages: DataFrame,
+    run_date: dt.date,
+    run_ts: dt.datetime,
+    *,
+    numbered: bool = False,
+    **options,
 ) -> Outcome:
     """Fetched pages of planned lots to the raw layer and the extraction control.
 
     ``pages``: account_id, mode, lot, page, body. One raw folder per account
-    and day holds the rows of all its good lots.
+    and day holds the rows of all its good lots. ``numbered``: pages count up by one.
     """
     with staging(lake.spark) as stage:
         planned = stage.write(planned, "planned")
-        ended = stage.write(lot_outcomes(pages, LOT), "lots")
+        pages = stage.write(opened(pages), "pages")
+        ended = stage.write(lot_outcomes(pages, LOT, numbered=numbered), "lots")
         rows = flatten_pages(pages, ended, LOT).select(
             F.lit(fv.PLATFORM).alias("source"), F.lit("insights").alias("tipo"),
             F.col("account_id").alias("id"), day_literal(run_date).alias("fecha"), "item",

@@ -13,6 +13,7 @@ from stratafold.functions.actions import first_value
 from stratafold.operators import rules
 from stratafold.operators.casts import cast_to
 from stratafold.operators.due import range_mode
+from stratafold.operators.commit import commit
 from stratafold.operators.error_log import account_errors
 from stratafold.operators.guards import split_missing
 from stratafold.operators.ledger import account_days, not_yet_loaded
@@ -30,7 +31,7 @@ from stratafold.schemas import CAMPAIGN_FIELDS, INSIGHT_FIELDS, INSIGHTS
 from stratafold.session import scratch_path
 from stratafold.sources.catalogue import active_accounts, active_platforms
 from stratafold.sources.page_lots import flatten_pages, lot_outcomes
-from stratafold.sources.raw_files import LINES, day_glob, land_items, open_items, read_items
+from stratafold.sources.raw_files import LINES, day_glob, land_arrays, land_items, open_items, read_items
 from stratafold.streaming.silver_stream import stream_files
 
 METRIC_COLUMNS = (
@@ -238,6 +239,7 @@ def control_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return merged.withColumn("ultima_extraccion", stamp("ultima_extraccion"))
 
 
+ERROR_OUTPUT = ("proceso", "platform", "parent_id", "child_id", "entidad_id", "tipo_error", "mensaje_error", "intentos", "resuelto")
 LEDGER_OUTPUT = ("gcs_path", "business_line", "entity_id", "fecha_archivo", "status", "error_mensaje")
 
 
@@ -382,6 +384,78 @@ def campaign_load(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def array_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch load as insight_load, from one JSON array file per account and day."""
+    lake = new_lake(spark)
+    _one_account(spark, lake)
+    land_arrays(fr.metric_items(fr.early_metrics(spark, sf), fr.EARLY_PULL), lake.root)
+    load_insights(lake, fr.EARLY_PULL, fr.EARLY_TS)
+    land_arrays(fr.metric_items(fr.late_metrics(spark, sf), fr.LATE_PULL), lake.root)
+    load_insights(lake, fr.LATE_PULL, fr.LATE_TS)
+    return lake.insights.read().select(*METRIC_COLUMNS, stamp("updated_at"))
+
+
+def interrupted_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """A writer that dies before its switch leaves the early rows; a later write of some days adds just those."""
+    lake = new_lake(spark)
+    late = cast_to(fr.late_metrics(spark, sf).withColumn("updated_at", fr.instant_literal(fr.LATE_TS)), INSIGHTS)
+    lake.insights.publish(cast_to(fr.early_silver(spark, sf), INSIGHTS))
+    lake.insights._stage(late)  # all that a writer has done when it dies here
+    lake.insights.publish(late.where(F.col("date_information") >= F.lit(fr.EARLY_PULL)))
+    return lake.insights.read().select(*METRIC_COLUMNS, stamp("updated_at"))
+
+
+def gold_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold refreshed after each pull, from the days that silver has rewritten since."""
+    lake = new_lake(spark)
+    lake.insights.publish(cast_to(fr.early_silver(spark, sf), INSIGHTS))
+    refresh_gold(lake, fr.EARLY_TS)
+    commit(lake.insights, fr.late_metrics(spark, sf), rules.changed_insight(fr.LATE_TS))
+    refresh_gold(lake, fr.LATE_TS)
+    return lake.fact.read().select(*METRIC_COLUMNS, "row_hash", stamp("inserted_at"))
+
+
+def _faulty_load(spark: SparkSession, sf: str) -> Lake:
+    """The late pull loaded with faults: accounts of one kind hold no JSON, others a row without spend.
+
+    Files of a platform that has no rule are there as well.
+    """
+    lake = new_lake(spark)
+    _one_account(spark, lake)
+    other = spark.range(1).select(F.lit("b").alias("account_id"), F.lit("Tiktok").alias("platform"))
+    lake.accounts.append(other, fr.EARLY_TS)
+    items = fr.metric_items(fr.late_metrics(spark, sf), fr.LATE_PULL)
+    number = F.col("id").cast("int")
+    spoilt = F.when(number % 5 == 1, F.parse_json(F.lit('"no object"'))).when(
+        number % 5 == 2, F.parse_json(F.regexp_replace(F.to_json("item"), '"spend":"[^"]*"', '"spend":"much"'))
+    )
+    land_arrays(items.withColumn("item", F.coalesce(spoilt, "item")), lake.root)
+    land_arrays(items.where(number % 5 == 3).withColumn("source", F.lit("Tiktok")), lake.root)
+    load_insights(lake, fr.LATE_PULL, fr.LATE_TS)
+    return lake
+
+
+def failed_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger after a load with faulty files."""
+    return account_days(_faulty_load(spark, sf).ledger.read()).select(*LEDGER_OUTPUT)
+
+
+def error_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The error table after a load with faulty files and the same load again."""
+    lake = _faulty_load(spark, sf)
+    load_insights(lake, fr.LATE_PULL, fr.LATE_TS)
+    return lake.errors.read().select(*ERROR_OUTPUT)
+
+
+def retried_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger after the failed files have come right and a later run has retried them."""
+    lake = _faulty_load(spark, sf)
+    items = fr.metric_items(fr.late_metrics(spark, sf), fr.LATE_PULL)
+    land_arrays(items.where(F.col("id").cast("int") % 5 == 1), lake.root)
+    load_insights(lake, fr.LATE_PULL + dt.timedelta(days=1), fr.LATE_TS + dt.timedelta(days=1))
+    return account_days(lake.ledger.read()).select(*LEDGER_OUTPUT)
+
+
 def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """The ledger after the batch load of the late pull."""
     lake = new_lake(spark)
@@ -475,6 +549,12 @@ QUERIES = {
     "stream_upsert": stream_upsert,
     "campaign_load": campaign_load,
     "load_ledger": load_ledger,
+    "array_load": array_load,
+    "interrupted_publish": interrupted_publish,
+    "gold_increments": gold_increments,
+    "failed_load": failed_load,
+    "retried_load": retried_load,
+    "error_table": error_table,
     "extraction_cycle": extraction_cycle,
     "account_run": account_run,
 }

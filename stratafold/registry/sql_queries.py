@@ -212,6 +212,24 @@ LOADED_INSIGHTS = f"""{SILVER_MERGE}
 SELECT account_id, campaign_id, date_information, impressions, clicks, spend, purchases, value_purchases,
   platform, updated_at FROM merged"""
 
+# accounts by the last digit in base five: 1 holds no objects, 2 a spend that is no number, 3 also another platform
+FAULTY = f"""{DAILY}, accounts AS (SELECT account_id, CAST(account_id AS INTEGER) % 5 AS kind FROM late GROUP BY account_id),
+files AS (
+  SELECT 'meta' AS source, 'Meta' AS platform, account_id, kind FROM accounts
+  UNION ALL SELECT 'tiktok', 'Tiktok', account_id, kind FROM accounts WHERE kind = 3)"""
+
+
+def faulty_ledger(retried: bool) -> str:
+    broken = "FALSE" if retried else "kind = 1"
+    return f"""{FAULTY}
+SELECT 'raw/' || source || '/insights/' || account_id || '/2024-01-31/data.json' AS gcs_path, platform AS business_line,
+  account_id AS entity_id, DATE '2024-01-31' AS fecha_archivo,
+  CASE WHEN source = 'tiktok' OR {broken} THEN 'fallido' ELSE 'completado' END AS status,
+  CASE WHEN source = 'tiktok' THEN 'no normaliser for platform Tiktok'
+       WHEN {broken} THEN 'malformed JSON or an element that is not an object' END AS error_mensaje
+FROM files"""
+
+
 QUERIES = {
     "insights_upsert": f"{SILVER_MERGE} SELECT * FROM merged",
     "daily_rollup": f"{DAILY} SELECT * EXCLUDE (row_hash) FROM late",
@@ -352,6 +370,24 @@ SELECT o_orderpriority AS account_id, {CAMPAIGN_COLUMNS}, CAST(NULL AS VARCHAR)
 SELECT DISTINCT 'raw/meta/insights/' || account_id || '/2024-01-31/data.json' AS gcs_path, 'Meta' AS business_line,
   account_id AS entity_id, DATE '2024-01-31' AS fecha_archivo, 'completado' AS status,
   CAST(NULL AS VARCHAR) AS error_mensaje, '2024-01-31 06:00:00' AS fecha_carga FROM late""",
+    "array_load": LOADED_INSIGHTS,
+    "interrupted_publish": f"""{PULLS}
+SELECT * EXCLUDE (row_hash), '2024-01-20 06:00:00' AS updated_at FROM early WHERE date_information < DATE '2024-01-20'
+UNION ALL
+SELECT * EXCLUDE (row_hash), '2024-01-31 06:00:00' FROM late WHERE date_information >= DATE '2024-01-20'""",
+    "gold_increments": f"""{PULLS}, {hash_merge('row_hash', 'inserted_at', 'DOUBLE')}
+SELECT * EXCLUDE (action) FROM merged""",
+    "failed_load": faulty_ledger(False),
+    "retried_load": faulty_ledger(True),
+    "error_table": f"""{FAULTY}
+SELECT 'upload_insights_meta' AS proceso, source AS platform, account_id AS parent_id, CAST(NULL AS VARCHAR) AS child_id,
+  account_id AS entidad_id, 'FileError' AS tipo_error,
+  CASE WHEN source = 'tiktok' THEN 'no normaliser for platform Tiktok'
+       ELSE 'malformed JSON or an element that is not an object' END AS mensaje_error, CAST(1 AS BIGINT) AS intentos, FALSE AS resuelto
+FROM files WHERE kind = 1 OR source = 'tiktok'
+UNION ALL
+SELECT 'upload_insights_meta', 'meta', l.account_id, l.campaign_id, l.account_id, 'RowError', 'spend: not a number', 1, FALSE
+FROM late l JOIN accounts a ON l.account_id = a.account_id WHERE kind = 2""",
     "extraction_cycle": f"""WITH {CAMPAIGNS}, {CONTROL}, {NATION_CAMPAIGNS}, {work('work', 'nation_campaigns', "c.platform = 'Meta'")}, {lots('work')},
 lot_ends AS (
   SELECT l.account_id, l.mode, l.lot, max(o_totalprice) > 450000 AS failed

@@ -31,23 +31,40 @@ def read_envelopes(pages: DataFrame) -> DataFrame:
     )
 
 
-def lot_outcomes(pages: DataFrame, lot: Sequence[str] = ("lot",)) -> DataFrame:
+def opened(pages: DataFrame) -> DataFrame:
+    """Pages with their envelopes read, unless they have been read already."""
+    return pages if "page_error" in pages.columns else read_envelopes(pages)
+
+
+def lot_outcomes(pages: DataFrame, lot: Sequence[str] = ("lot",), *, numbered: bool = False) -> DataFrame:
     """Per lot: pages, rows and the first error in page order (NULL when good).
 
-    The lot is bad as a whole if any page is, or if its last page names a next
-    one that never arrived. Pages are aggregated before they are shuffled, so a
-    lot with very many pages costs no more than any other.
+    The lot is bad as a whole if any page is, if a page arrived twice, or if its
+    last page names a next one that never arrived; ``numbered`` says that pages
+    count up by one, so that a missing page shows in the middle as well. Pages are
+    aggregated before they are shuffled and first by page, so a lot with very many
+    pages costs no more than any other.
     """
-    read = read_envelopes(pages)
-    bad = F.col("page_error").isNotNull()
-    grouped = read.groupBy(*lot).agg(
-        F.count("*").alias("n_pages"),
+    single = opened(pages).groupBy(*lot, "page").agg(
+        F.count("*").alias("times"),
         F.sum(F.coalesce(F.size("items"), F.lit(0))).alias("n_items"),
+        F.min("page_error").alias("page_error"),
+        F.max("next_page").alias("next_page"),
+    )
+    bad = F.col("page_error").isNotNull()
+    grouped = single.groupBy(*lot).agg(
+        F.sum("times").alias("n_pages"),
+        F.sum("n_items").alias("n_items"),
         F.min_by("page_error", F.when(bad, F.col("page"))).alias("first_error"),
+        F.max("times").alias("times"),
+        (F.max("page") - F.min("page") + 1 - F.count("*")).alias("gaps"),
         F.max_by(F.struct("next_page"), "page").alias("last"),
     )
     error = F.coalesce(
-        F.col("first_error"), F.when(F.col("last.next_page").isNotNull(), F.lit("last page is missing"))
+        F.col("first_error"),
+        F.when(F.col("times") > 1, F.lit("a page arrived twice")),
+        F.when(F.lit(numbered) & (F.col("gaps") > 0), F.lit("a page is missing")),
+        F.when(F.col("last.next_page").isNotNull(), F.lit("last page is missing")),
     )
     return grouped.select(
         *lot, "n_pages", F.when(error.isNull(), F.col("n_items")).otherwise(F.lit(0)).alias("n_rows"), error.alias("error")
@@ -57,5 +74,5 @@ def lot_outcomes(pages: DataFrame, lot: Sequence[str] = ("lot",)) -> DataFrame:
 def flatten_pages(pages: DataFrame, outcomes: DataFrame, lot: Sequence[str] = ("lot",)) -> DataFrame:
     """All ``data`` elements of the good lots: lot, page, position, item."""
     bad_lots = outcomes.where("error IS NOT NULL").select(*lot)
-    good = pages.join(bad_lots, list(lot), "left_anti")
-    return read_envelopes(good).select(*lot, "page", F.posexplode("items").alias("position", "item"))
+    good = opened(pages).join(bad_lots, list(lot), "left_anti")
+    return good.select(*lot, "page", F.posexplode("items").alias("position", "item"))
