@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,8 +87,7 @@ def _hot_windows(candidate: Column, rule: EntropyRule) -> Column:
     """
     size = rule.window
     weight = literal_array(rule.weights())
-    codes = F.transform(F.split(candidate["match"], ""), lambda c: F.ascii(c))
-    is_hex = F.regexp_like(candidate["match"], F.lit("^[0-9a-fA-F]+$"))
+    codes, is_hex = candidate["codes"], candidate["is_hex"]
     limit = F.when(is_hex, F.lit(rule.most(rule.hex_bits))).otherwise(F.lit(rule.most(rule.mixed_bits)))
     kind = F.when(is_hex, F.lit(KINDS.index("entropy_hex"))).otherwise(F.lit(KINDS.index("entropy_mixed")))
     steps = F.transform(
@@ -95,6 +95,16 @@ def _hot_windows(candidate: Column, rule: EntropyRule) -> Column:
         lambda c, i: F.struct(i.alias("i"), c.alias("new"), F.when(i >= size, F.get(codes, i - size)).otherwise(-1).alias("old")),
     )
 
+    def seen(s: Column, upto: Column) -> list[Column]:
+        """The open stretch and the closed ones after the window that ends before ``upto``."""
+        start = candidate["start"] + upto - size
+        hot = (upto >= size) & (s["total"] <= limit)
+        joins = s["end"] >= start
+        begin = F.when(hot & ~joins, start).otherwise(s["begin"])
+        end = F.when(hot, start + size).otherwise(s["end"])
+        done = F.when(hot & ~joins & (s["end"] >= 0), F.concat(s["done"], F.array(_span(s["begin"], kind, s["end"])))).otherwise(s["done"])
+        return [begin.alias("begin"), end.alias("end"), done.alias("done")]
+
     def step(s: Column, x: Column) -> Column:
         into, out = F.get(s["counts"], x["new"]), F.get(s["counts"], x["old"])
         grown = F.get(weight, into + 1) - F.get(weight, into)
@@ -102,26 +112,19 @@ def _hot_windows(candidate: Column, rule: EntropyRule) -> Column:
         total = s["total"] + F.when(x["new"] == x["old"], 0).otherwise(grown + shrunk)
         one = lambda same: F.when(same, 1).otherwise(0)
         counts = F.transform(s["counts"], lambda n, k: n + one(k == x["new"]) - one(k == x["old"]))
-        return F.struct(counts.alias("counts"), total.alias("total"), F.concat(s["sums"], F.array(total)).alias("sums"))
+        return F.struct(counts.alias("counts"), total.alias("total"), *seen(s, x["i"]))
 
+    empty = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int>>)")
     first = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0).alias("total"), F.expr("CAST(array() AS array<int>)").alias("sums")
-    )
-    sums = F.aggregate(steps, first, step, lambda s: s["sums"])
-    hot = F.filter(
-        F.transform(sums, lambda v, i: F.when((i >= size - 1) & (v <= limit), i - (size - 1))), lambda at: at.isNotNull()
+        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0).alias("total"),
+        F.lit(-1).alias("begin"), F.lit(-1).alias("end"), empty.alias("done"),
     )
 
-    def merge(done: Column, at: Column) -> Column:
-        start = candidate["start"] + at
-        end = start + size
-        last = F.element_at(done, -1)
-        joined = (F.size(done) > 0) & (F.when(F.size(done) > 0, last["end"]).otherwise(-1) >= start)
-        longer = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(_span(last["start"], kind, end)))
-        return F.when(joined, longer).otherwise(F.concat(done, F.array(_span(start, kind, end))))
+    def finish(s: Column) -> Column:
+        begin, end, done = seen(s, F.size(codes))
+        return F.when(end >= 0, F.concat(done, F.array(_span(begin, kind, end)))).otherwise(done)
 
-    empty = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int>>)")
-    return F.aggregate(hot, empty, merge)
+    return F.aggregate(steps, first, step, finish)
 
 
 def _span(start: Column, kind: Column, end: Column) -> Column:
@@ -131,10 +134,21 @@ def _span(start: Column, kind: Column, end: Column) -> Column:
 def _entropy_spans(text: Column, rule: EntropyRule) -> Column:
     pattern = f"[A-Za-z0-9+/_=-]{{{rule.window},}}"
     found = _matches(text, pattern, 0, F.regexp_like(text, F.lit("[0-9]")))
-    candidates = F.filter(found, lambda m: F.regexp_like(m["match"], F.lit("[0-9]")))
-    for allowed in rule.allowed:
-        candidates = F.filter(candidates, lambda m, p=allowed: ~F.regexp_like(m["match"], F.lit(p)))
-    return F.flatten(F.transform(candidates, lambda m: _hot_windows(m, rule)))
+    def suspicious(m: Column) -> Column:
+        allowed = [F.regexp_like(m["match"], F.lit(pattern)) for pattern in rule.allowed]
+        return F.regexp_like(m["match"], F.lit("[0-9]")) & ~reduce(lambda a, b: a | b, allowed, F.lit(False))
+
+    candidates = F.filter(found, suspicious)
+    # what the windows look at again and again is computed once per candidate
+    opened = F.transform(
+        candidates,
+        lambda m: F.struct(
+            m["start"].alias("start"),
+            F.transform(F.split(m["match"], ""), lambda c: F.ascii(c)).alias("codes"),
+            F.regexp_like(m["match"], F.lit("^[0-9a-fA-F]+$")).alias("is_hex"),
+        ),
+    )
+    return F.flatten(F.transform(opened, lambda m: _hot_windows(m, rule)))
 
 
 def with_spans(docs: DataFrame, rule: EntropyRule | None = None, text: str = "text", into: str = "secret_spans") -> DataFrame:
