@@ -116,7 +116,7 @@ def _probe_keys(rule: SimHashRule) -> Column:
         flips = [0] + [1 << b for b in range(rule.widths[(i + 1) % rule.segments])] * rule.budget(2)
         base = _key(fp, rule, i)
         masks = F.array(*[F.lit(f << rule.widths[i]).cast("long") for f in flips])
-        keys.append(F.transform(masks, lambda m, base=base: base.bitwiseXOR(m)))
+        keys.append(F.transform(masks, lambda m: base.bitwiseXOR(m)))
     return F.explode(F.concat(*keys))
 
 
