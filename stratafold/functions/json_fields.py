@@ -21,7 +21,7 @@ from stratafold import fixed_values as fv
 from stratafold.functions.times import parse_instant
 
 DIGITS = r"\d+(_\d+)*"
-GROUPED_INTEGER = rf"^\s*[+-]?\d+(_\d+)+\s*$"
+GROUPED_INTEGER = r"^[+-]?\d+(_\d+)+$"
 DECIMAL_TEXT = (
     rf"^\s*[+-]?(({DIGITS})(\.({DIGITS})?)?|\.{DIGITS})([eE][+-]?{DIGITS})?\s*$"
     r"|^\s*[+-]?(?i:inf|infinity|nan)\s*$"

@@ -30,9 +30,3 @@ def split_missing(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, Da
         marked.where("missing_column IS NULL").drop("missing_column"),
         marked.where("missing_column IS NOT NULL"),
     )
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than one row and their number; NULL keys equal nothing."""
-    present = df.dropna(subset=list(keys))
-    return present.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")

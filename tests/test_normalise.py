@@ -121,7 +121,7 @@ def test_sample_insight(spark):
 
 
 def test_counts(spark):
-    good = [({}, 0), ({"impressions": 12.7}, 12), ({"impressions": " 12 "}, 12), ({"impressions": True}, 1), ({"impressions": "1_000"}, 1000), ({"impressions": 0}, 0), ({"impressions": -12.7}, -12)]
+    good = [({}, 0), ({"impressions": 12.7}, 12), ({"impressions": " 12 "}, 12), ({"impressions": "12\n"}, 12), ({"impressions": "\t\u00a012\u2003\r\n"}, 12), ({"impressions": "\x1c1_0\x85"}, 10), ({"impressions": True}, 1), ({"impressions": "1_000"}, 1000), ({"impressions": 0}, 0), ({"impressions": -12.7}, -12)]
     base = {"campaign_id": "c", "date_stop": "2026-01-01"}
     for row, (_, expected) in zip(insights(spark, [{**base, **g} for g, _ in good]), good):
         assert row["row_error"] is None and row["impressions"] == expected

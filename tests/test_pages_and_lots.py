@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratafold.functions import paths
 from stratafold.operators.worklist import group_sizes, lots, with_lot
-from stratafold.sources.page_lots import flatten_pages, lot_outcomes
+from stratafold.sources.page_lots import flatten_pages, lot_outcomes, opened
 from stratafold.sources.raw_files import ARRAY, LINES, day_glob, land_items, list_files, read_items
 
 
@@ -43,6 +43,18 @@ def test_page_lots(spark):
     assert sorted(map(tuple, items)) == [("single", 0, 0, "1"), ("single", 0, 1, "2"), ("three", 0, 0, "1"), ("three", 2, 0, '{"a":1}')]
 
 
+def test_missing_and_double_pages(spark):
+    next_page = {"paging": {"next": "x"}}
+    rows = [("gap", 1, next_page), ("gap", 3, {}), ("double", 1, next_page), ("double", 2, {}), ("double", 2, {}), ("good", 5, next_page), ("good", 6, {})]
+    pages = spark.createDataFrame([(lot, n, json.dumps({"data": [n], **more})) for lot, n, more in rows], "lot string, page int, body string")
+    for numbered in (False, True):
+        out = {r["lot"]: (r["n_pages"], r["n_rows"], r["error"]) for r in lot_outcomes(pages, numbered=numbered).collect()}
+        assert out["double"] == (3, 0, "a page arrived twice") and out["good"] == (2, 2, None)
+        assert out["gap"] == ((2, 0, "a page is missing") if numbered else (2, 2, None))
+    once = opened(pages)
+    assert flatten_pages(once, lot_outcomes(once, numbered=True)).count() == 2
+
+
 def test_lots_are_full_and_complete(spark):
     """One account holds most of the ids; every group is cut into full lots."""
     work = spark.range(5003).select(
@@ -83,6 +95,7 @@ def test_paths(spark, lake, put_raw):
     cases = [
         r"raw\meta\insights\7\2026-01-10\data.json",
         "s3://bucket/lake/raw/source=meta/tipo=insights/id=7/fecha=2026-01-10/part-00000.txt",
+        "s3://bucket/lake/raw/source=meta/tipo=insights/fecha=2026-01-10/id=7/part-00000.txt",
     ]
     df = spark.createDataFrame([(c,) for c in cases], "p string").select(
         *[f(paths.path_parts(F.col("p"))) for f in (paths.canonical_path, paths.part_account, paths.part_day)]
@@ -105,7 +118,10 @@ def test_landed_lines_come_back(spark, lake):
     glob = day_glob(lake.root, "Meta", "insights", "2026-01-10", LINES)
     items = read_items(spark, glob, {"k": "variant", "n": "variant", "s": "variant", "none": "variant"}, LINES).collect()
     assert sorted(r["account_id"] for r in items) == sorted(ids)
-    assert {r["gcs_path"] for r in items} == {f"raw/meta/insights/{i}/2026-01-10/data.json" for i in ids}
+    # a part file is known by its own name, below its account and day
+    names = {r["gcs_path"].rpartition("/")[::2] for r in items}
+    assert {folder for folder, _ in names} == {f"raw/meta/insights/{i}/2026-01-10" for i in ids}
+    assert all(name.startswith("part-") for _, name in names)
     assert {(str(r["item"]["k"]), str(r["item"]["s"]), r["item"]["none"]) for r in items} == {("null", '"12.70"', None)}
     listed = list_files(spark, glob)
     assert {r["gcs_path"] for r in listed.collect()} == {r["gcs_path"] for r in items}
