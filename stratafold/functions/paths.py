@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,7 +69,3 @@ def file_key(parts: Column) -> Column:
 def canonical_path(parts: Column) -> Column:
     """One name for an account and day, however many part files hold it."""
     return F.concat_ws("/", F.lit("raw"), *[part(parts, n) for n in (5, 4, 3, 2)], F.lit(fv.RAW_FILE_NAME))
-
-
-def is_of_day(path: Column, day: dt.date) -> Column:
-    return F.contains(path, F.lit(day.isoformat()))

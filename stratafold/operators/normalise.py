@@ -12,7 +12,6 @@ Output: the table's columns plus
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,19 +106,6 @@ def normalise_insights(items: DataFrame) -> DataFrame:
     return _computed_once(rows.withColumn("row_hash", row_hash(rows, HASHED)))
 
 
-def dispatch(
-    items: DataFrame, normalisers: Mapping[str, Normaliser], unsupported: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Each platform's rows through its own normaliser, compared without case.
-
-    Rows of any other platform go through ``unsupported``.
-    """
-    name = F.lower("platform")
-    parts = [normalise(items.where(name == platform.lower())) for platform, normalise in normalisers.items()]
-    other = items.where(~F.coalesce(name.isin([p.lower() for p in normalisers]), F.lit(False)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*parts, unsupported(other)])
-
-
 def normaliser_for(platform: str, normalisers: Mapping[str, Normaliser]) -> Normaliser | None:
     """A platform's normaliser, compared without case."""
     return {name.lower(): normalise for name, normalise in normalisers.items()}.get(platform.lower())

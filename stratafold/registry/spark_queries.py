@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from stratafold.operators.error_log import account_errors
 from stratafold.operators.guards import split_missing
 from stratafold.operators.ledger import account_days, not_yet_loaded
 from stratafold.operators.merge import merge
-from stratafold.operators.normalise import bad_rows, dispatch, good_rows, normalise_campaigns, normalise_insights
+from stratafold.operators.normalise import bad_rows, good_rows, normalise_campaigns, normalise_insights, normaliser_for
 from stratafold.operators.worklist import daily_metrics, group_sizes, lots, requested_rows, work_list
 from stratafold.plans.accounts import account_cycle, due_accounts
 from stratafold.plans.extraction import collect_insights, plan_extraction, with_stop_time
@@ -279,7 +280,7 @@ def account_status(spark: SparkSession, sf: str) -> DataFrame:
 # --- files, catalogue, dispatch -------------------------------------------------------
 def files_of_day(spark: SparkSession, sf: str) -> DataFrame:
     day = dt.date(2024, 1, 9)
-    listed = fr.file_paths(spark, sf).where(paths.is_of_day(F.col("gcs_path"), day))
+    listed = fr.file_paths(spark, sf).where(paths.part_day(paths.path_parts(F.col("gcs_path"))) == F.lit(day))
     path = F.replace(F.col("gcs_path"), F.lit("/"), F.lit("\\"))
     parts = paths.path_parts(path)
     return listed.select(
@@ -304,9 +305,12 @@ def platform_dispatch(spark: SparkSession, sf: str) -> DataFrame:
         "en": lambda d: d.select("doc_id", "platform", F.length("text").cast("bigint").alias("size")),
         "Fr": lambda d: d.select("doc_id", "platform", F.size(F.split("text", " ")).cast("bigint").alias("size")),
     }
-    return dispatch(
-        docs, by_language, lambda d: d.select("doc_id", "platform", F.lit("no rule").alias("file_error"))
-    )
+    def by_platform(name: str) -> DataFrame:
+        mine, rule = docs.where(F.col("platform") == name), normaliser_for(name, by_language)
+        return rule(mine) if rule else mine.select("doc_id", "platform", F.lit("no rule").alias("file_error"))
+
+    names = sorted(r[0] for r in docs.select("platform").distinct().collect())
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(by_platform, names))
 
 
 # --- whole jobs -------------------------------------------------------------------------
