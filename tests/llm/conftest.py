@@ -1,6 +1,6 @@
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, key string, label string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, key string, label string, bits string, keep string, row string"
 
 
 @pytest.fixture
@@ -9,7 +9,7 @@ def docs_of(spark):
 
     def docs(texts, start=0):
         rows = [
-            (i if i is not None else None, t, "en", "s", len(t) if t is not None else None, "x", "y", "z")
+            (i if i is not None else None, t, "en", "s", len(t) if t is not None else None, "x", "y", "z", "b", "k", "r")
             for i, t in (texts if texts and isinstance(texts[0], tuple) else enumerate(texts, start))
         ]
         return spark.createDataFrame(rows, DOCS)
