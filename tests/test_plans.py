@@ -52,10 +52,14 @@ def test_no_python_no_product(spark, no_broadcast, name):
 def test_target_days_are_pruned(spark, lake):
     metrics = frames.late_metrics(spark, SF)
     commit(lake.insights, metrics, rules.changed_insight(TS))
-    plan = plan_of(lake.insights.read([dt.date(2024, 1, 3), dt.date(2024, 1, 4)]))
-    assert "PartitionFilters: [date_information" in plan and "2024-01-03" in plan
-    many = [dt.date(2024, 1, 1) + dt.timedelta(days=n) for n in range(1000)]
-    assert "PartitionFilters" in plan_of(lake.insights.read(many))
+    # the manifest names the folders of a day, so no other day is even listed
+    def days_read(days):
+        return {f.split("date_information=")[1][:10] for f in lake.insights.read(days).inputFiles()}
+
+    assert days_read([dt.date(2024, 1, 3), dt.date(2024, 1, 4)]) == {"2024-01-03", "2024-01-04"}
+    many = [dt.date(2024, 1, 3) + dt.timedelta(days=n) for n in range(1000)]
+    known = {str(r[0]) for r in metrics.select("date_information").distinct().collect()}
+    assert days_read(many) == {d for d in known if d >= "2024-01-03"}
     assert lake.insights.read([]).count() == 0
 
 
