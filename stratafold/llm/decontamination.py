@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -22,8 +23,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratafold.llm.shared import Stages, column, id_and_text, small_batches
-from stratafold.llm.words import word_hashes
+from stratafold.llm.shared import Stages, column, small_batches
+from stratafold.llm.words import lowered, word_hashes
+
+# Products of so many words with all items are held at once.
+WORDS_AT_ONCE = 8192
 
 
 @dataclass(frozen=True)
@@ -54,13 +58,8 @@ class Item:
     answer: np.ndarray
 
 
-def _lowered(text: str) -> bytes:
-    return text.lower().encode("utf-8", "surrogatepass")
-
-
-def read_item(item_id: int, text: str) -> Item:
-    """Words of an item and of its last sentence."""
-    data = _lowered(text)
+def read_item(item_id: int, data: bytes) -> Item:
+    """Words of an item, given in lower case, and of its last sentence."""
     words, starts, _ = word_hashes(data)
     body = data.rstrip(b" \t\r\n.!?")
     cut = max(body.rfind(c) for c in (b". ", b"? ", b"! ", b".\n", b"?\n", b"!\n", b"\n"))
@@ -106,14 +105,14 @@ def document_frequencies(docs: DataFrame, known: np.ndarray, rule: LeakRule) ->
         counts = np.zeros(len(own.known), np.int64)
         for batch in batches:
             for text in column(batch, "text"):
-                rows = own.rows(word_hashes(_lowered(text))[0])
+                rows = own.rows(word_hashes(text)[0])
                 counts[np.unique(rows[rows >= 0])] += 1
                 total += 1
         some = np.flatnonzero(counts)
         words, numbers = np.append(some, -1), np.append(counts[some], total)
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(numbers, pa.int64())], ["word", "n"])
 
-    rows = id_and_text(docs).mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(lowered(F.col("text")).alias("text")).mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     out, total = np.zeros(len(known), np.int64), 0
     for r in rows:  # one per word of the items' block
         if r["word"] < 0:
@@ -196,6 +195,11 @@ class Index:
     basis: np.ndarray
     latent: np.ndarray
 
+    @cached_property
+    def shares(self) -> np.ndarray:
+        """What one occurrence of each word adds to the product with each item, through the latent space."""
+        return (self.idf[:, None] * self.basis @ self.latent.T).astype(np.float32)
+
 
 def fit(docs: DataFrame, items: list[Item], rule: LeakRule) -> Index:
     spark = docs.sparkSession
@@ -231,36 +235,62 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
-def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first word, end, cosine to each item) of the passages that can reach the cosine."""
+def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple[int, int, int, float]]:
+    """(first word, end, item number, cosine) of the passages that reach the cosine, in blocks of words.
+
+    A word that a passage repeats counts each time.
+    """
     rows = index.lookup.rows(words)
     inside = rows >= 0
     square = np.where(inside, index.idf[np.where(inside, rows, 0)] ** 2, 0.0)
     whole = np.where(inside, square, index.unknown**2)
     cells = np.arange(0, len(words), rule.step)
     sums = [np.concatenate([[0.0], np.cumsum(np.add.reduceat(v, cells))]) for v in (square, whole)]
-    for span in rule.spans:
-        first = np.arange(max(1, len(cells) - span // rule.step + 1))
-        last = np.minimum(first + span // rule.step, len(cells))
-        inner, total = (s[last] - s[first] for s in sums)
-        # by Cauchy and Schwarz no cosine exceeds the share of the norm that lies in known words
-        for cell in np.flatnonzero(inner >= rule.cosine**2 * total).tolist():
-            at, end = int(cells[cell]), int(cells[cell]) + span
-            here = rows[at:end]
-            known, tf = np.unique(here[here >= 0], return_counts=True)
-            weights = np.sqrt(tf) * index.idf[known]
-            yield at, end, (index.latent @ (weights @ index.basis[known])) / np.sqrt(total[cell])
-
-
-def find_leaks(text: str, index: Index, rule: LeakRule) -> list[tuple[int, float, float, float]]:
-    """(item_id, cosine, share of the item in order, share of the answer) of items found in a text."""
-    words = word_hashes(_lowered(text))[0]
+    block, margin = WORDS_AT_ONCE // rule.step, max(rule.spans) // rule.step
+    for low in range(0, len(cells), block):
+        high = min(len(cells), low + block)
+        chosen = []
+        for span in rule.spans:
+            per = span // rule.step
+            first = np.arange(low, min(high, max(1, len(cells) - per + 1)))
+            last = np.minimum(first + per, len(cells))
+            inner, total = (s[last] - s[first] for s in sums)
+            # by Cauchy and Schwarz no cosine exceeds the share of the norm that lies in known words
+            good = inner >= rule.cosine**2 * total
+            chosen.append((span, first[good], last[good], total[good]))
+        if not any(len(first) for _, first, _, _ in chosen):
+            continue
+        end = min(len(cells), high + margin)
+        wanted = np.zeros(end - low + 1, np.int32)
+        for _, first, last, _ in chosen:
+            np.add.at(wanted, first - low, 1)
+            np.add.at(wanted, last - low, -1)
+        needed = np.cumsum(wanted[:-1]) > 0
+        at = np.arange(low * rule.step, min(len(words), end * rule.step))
+        cell = at // rule.step - low
+        used = inside[at] & needed[cell]
+        at, cell = at[used], cell[used]
+        heads = np.flatnonzero(np.diff(cell, prepend=-1))
+        # running sums of the cells' products with every item, so a passage is a difference of two
+        products = np.zeros((len(needed) + 1, len(index.items)))
+        if len(heads):
+            products[cell[heads] + 1] = np.add.reduceat(index.shares[rows[at]], heads, axis=0)
+        np.cumsum(products, axis=0, out=products)
+        for span, first, last, total in chosen:
+            cosines = (products[last - low] - products[first - low]) / np.sqrt(total)[:, None]
+            for place, number in zip(*np.nonzero(cosines >= rule.cosine)):
+                start = int(cells[first[place]])
+                yield start, start + span, int(number), float(cosines[place, number])
+
+
+def find_leaks(data: bytes, index: Index, rule: LeakRule) -> list[tuple[int, float, float, float]]:
+    """(item_id, cosine, share of the item in order, share of the answer) of items found in a lower-cased text."""
+    words = word_hashes(data)[0]
     if not len(words):
         return []
     candidates: dict[int, list[tuple[int, int, float]]] = {}
-    for at, end, cosines in _passages(words, index, rule):
-        for number in np.flatnonzero(cosines >= rule.cosine).tolist():
-            candidates.setdefault(number, []).append((at, end, float(cosines[number])))
+    for at, end, number, cosine in _passages(words, index, rule):
+        candidates.setdefault(number, []).append((at, end, cosine))
     found = []
     for number, places in candidates.items():
         item = index.items[number]
@@ -285,7 +315,7 @@ def find_leaks(text: str, index: Index, rule: LeakRule) -> list[tuple[int, float
 
 def _blocks(benchmark: DataFrame, rule: LeakRule, stages: Stages) -> Iterator[list[Item]]:
     """The items with any word, in blocks; each block alone comes to the driver."""
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), lowered(F.col("text")).alias("text")).distinct()
     rows = stages.write(rows, "items")
     count = -(-rows.count() // rule.block)
     numbered = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, count))))
@@ -321,7 +351,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule | None = None) -
                 arrays = zip(*rows) if rows else ([] for _ in names)
                 yield pa.RecordBatch.from_arrays([pa.array(list(a), k) for a, k in zip(arrays, kinds)], names)
 
-        out = out.unionByName(id_and_text(docs).mapInArrow(searched, schema))
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered(F.col("text")).alias("text"))
+        out = out.unionByName(texts.mapInArrow(searched, schema))
     return out
 
 
@@ -337,7 +368,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rule: LeakRule | No
 
         @F.pandas_udf("boolean")
         def clean(texts: pd.Series) -> pd.Series:
-            return pd.Series([not find_leaks(t or "", index.value, rule) for t in texts], dtype=bool)
+            return pd.Series([not find_leaks(t, index.value, rule) for t in texts], dtype=bool)
 
-        kept = kept.where(clean("text"))
+        kept = kept.where(clean(lowered(F.col("text"))))
     return kept

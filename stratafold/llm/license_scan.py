@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stratafold.llm.decontamination import Lookup, document_frequencies
 from stratafold.llm.shared import Stages, column, small_batches
-from stratafold.llm.words import word_hashes
+from stratafold.llm.words import lowered, word_hashes
 
 # Short notices of common licences and the first words of their texts.
 TEMPLATES = (
@@ -56,12 +56,6 @@ class LicenseRule:
     tables: int = 1 << 16
 
 
-def _words(text: str) -> tuple[np.ndarray, np.ndarray, bytes]:
-    data = text.lower().encode("utf-8", "surrogatepass")
-    hashes, starts, _ = word_hashes(data)
-    return hashes, starts, data
-
-
 @dataclass(frozen=True)
 class Matcher:
     """Template rows of norm one over the known words, and the weights."""
@@ -73,9 +67,9 @@ class Matcher:
     rows: np.ndarray
     cosine: float
 
-    def best(self, text: str) -> tuple[str, float, int, int] | None:
-        """(licence, cosine, words of the matched line, words of the text) of the best line."""
-        hashes, starts, data = _words(text)
+    def best(self, data: bytes) -> tuple[str, float, int, int] | None:
+        """(licence, cosine, words of the matched line, words of the text) of a lower-cased text's best line."""
+        hashes, starts, _ = word_hashes(data)
         if not len(hashes):
             return None
         known = self.lookup.rows(hashes)
@@ -104,9 +98,9 @@ class Matcher:
 
 def fit(files: DataFrame, rule: LicenseRule) -> Matcher:
     """Weights from all files; templates are a bounded list."""
-    words = [_words(text)[0] for _, text in rule.templates]
+    words = [word_hashes(text.lower().encode())[0] for _, text in rule.templates]
     lookup = Lookup(np.unique(np.concatenate(words)), rule.tables)
-    seen, total = document_frequencies(files.withColumnRenamed("file_id", "doc_id"), lookup.known, rule)
+    seen, total = document_frequencies(files, lookup.known, rule)
     idf = np.log((1 + total) / (1 + seen)) + 0.1
     rows = np.zeros((len(words), len(lookup.known)))
     for i, own in enumerate(words):
@@ -135,7 +129,7 @@ def own_licenses(files: DataFrame, rule: LicenseRule) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["file_id", "path", "license", "cosine", "share"])
 
     schema = "file_id long, path string, license string, cosine double, share double"
-    return files.select("file_id", "path", "text").mapInArrow(matched, schema)
+    return files.select("file_id", "path", lowered(F.col("text")).alias("text")).mapInArrow(matched, schema)
 
 
 def parent(path: Column) -> Column:

@@ -7,12 +7,19 @@ a word is a polynomial of its bytes, taken from running sums over the block.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 BLOCK = 1 << 16
 
 
+def lowered(text: Column) -> Column:
+    """The bytes that words are read from."""
+    return F.lower(F.coalesce(text, F.lit(""))).cast("binary")
+
+
 def _word_bytes() -> np.ndarray:
     table = np.zeros(256, bool)
     for low, high in ((48, 58), (65, 91), (97, 123), (128, 256)):

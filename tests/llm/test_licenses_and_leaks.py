@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from stratafold.llm.decontamination import LeakRule, _item_rows, _lowered, drop_contaminated, fit, leaks, read_item
+from stratafold.llm.decontamination import LeakRule, _item_rows, drop_contaminated, fit, leaks, read_item
 from stratafold.llm.license_scan import TEMPLATES, LicenseRule, documents_as_files, scan_licenses
 
 SF = "/root/testdata/sf0.001"
@@ -161,7 +161,7 @@ def test_a_short_item_in_a_third_of_all_documents(spark, docs_of):
 @pytest.mark.parametrize("block", [16, 256])
 def test_latent_space_keeps_the_items(spark, block):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    items = [read_item(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:block]
+    items = [read_item(r["item_id"], r["text"].lower().encode()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:block]
     rule = LeakRule(rank=4)
     index = fit(docs, items, rule)
     assert ((index.latent**2).sum(axis=1) >= rule.energy - 1e-6).all()
@@ -169,5 +169,4 @@ def test_latent_space_keeps_the_items(spark, block):
     dense = rows.pivot(index="item", columns="word", values="weight").fillna(0).to_numpy()
     # cosines between items in the latent space are those of the whole matrix, up to the lost energy
     assert abs(index.latent @ index.latent.T - dense @ dense.T).max() <= 0.06
-    assert _lowered("ÄB") == "äb".encode()
     assert docs.select(F.col("doc_id")).count() > 0
