@@ -223,13 +223,13 @@ def fit(docs: DataFrame, items: list[Item], rule: LeakRule) -> Index:
         rank *= 2
 
 
-def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
+def common_subsequence(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence, one bit for each word of ``a``."""
     masks: dict[int, int] = {}
-    for i, word in enumerate(a.tolist()):
+    for i, word in enumerate(a):
         masks[word] = masks.get(word, 0) | 1 << i
     row = full = (1 << len(a)) - 1
-    for word in b.tolist():
+    for word in b:
         match = row & masks.get(word, 0)
         row = (row + match | row - match) & full
     return len(a) - row.bit_count()
@@ -301,10 +301,15 @@ def find_leaks(data: bytes, index: Index, rule: LeakRule) -> list[tuple[int, flo
             if at < done:
                 continue
             low, high = max(0, at - size), end + size + size // 2
-            here = words[low:high]
-            share = common_subsequence(item.words, here) / size
-            answer = common_subsequence(item.answer, here) / max(1, len(item.answer))
-            best = max(best, (share, answer, max(c for a, _, c in places if low <= a < high)))
+            here = words[low:high].tolist()
+            present = set(here)
+            # no subsequence is longer than the words of the item that are there at all
+            share = answer = 0.0
+            if sum(w in present for w in item.words.tolist()) >= rule.likely * size:
+                share = common_subsequence(item.words.tolist(), here) / size
+            if share >= rule.likely:
+                answer = common_subsequence(item.answer.tolist(), here) / max(1, len(item.answer))
+                best = max(best, (share, answer, max(c for a, _, c in places if low <= a < high)))
             # the words up to there have been looked at with a whole item around them
             done = at + max(rule.step, size // 2) if share < rule.likely else end
         share, answer, cosine = best
