@@ -36,7 +36,8 @@ class LeakRule:
     and short ones because a leak that has become common in the corpus has little weight beside
     any other word, but always holds a short passage without one. An item is found when its words stand in order to ``sure`` of their number, or to ``likely`` with its answer.
     The answer is the item's last sentence. ``energy`` is the least share of an item's squared
-    norm in the latent space."""
+    norm in the latent space. Items of more than ``part`` words are rows of overlapping parts, so that
+    a passage of a long copy need not resemble the whole item."""
 
     spans: tuple[int, ...] = (32, 8)
     step: int = 4
@@ -48,6 +49,7 @@ class LeakRule:
     rank: int = 64
     oversample: int = 8
     block: int = 256
+    part: int = 64
     tables: int = 1 << 18
 
 
@@ -66,6 +68,17 @@ def read_item(item_id: int, data: bytes) -> Item:
     return Item(item_id, words, words[starts > cut])
 
 
+def cut_items(items: list[Item], rule: LeakRule) -> tuple[list[Item], np.ndarray]:
+    """Parts of ``part`` words at half their length, and the number of each part's item."""
+    parts, owner = [], []
+    for number, item in enumerate(items):
+        last = max(0, len(item.words) - rule.part)
+        for at in sorted({*range(0, last, rule.part // 2), last}):
+            parts.append(Item(item.item_id, item.words[at : at + rule.part], item.answer))
+            owner.append(number)
+    return parts, np.array(owner, np.int64)
+
+
 class Lookup:
     """Row numbers of known word hashes, -1 for others, through one probe of a table."""
 
@@ -189,6 +202,7 @@ class Index:
     """What a task needs to search its documents for a block of items."""
 
     items: list[Item]
+    owner: np.ndarray
     lookup: Lookup
     idf: np.ndarray
     unknown: float
@@ -197,7 +211,7 @@ class Index:
 
     @cached_property
     def shares(self) -> np.ndarray:
-        """What one occurrence of each word adds to the product with each item, through the latent space."""
+        """What one occurrence of each word adds to the product with each item's part, through the latent space."""
         return (self.idf[:, None] * self.basis @ self.latent.T).astype(np.float32)
 
 
@@ -208,18 +222,19 @@ def fit(docs: DataFrame, items: list[Item], rule: LeakRule) -> Index:
     seen, total = document_frequencies(docs, known, rule)
     idf = np.log((1 + total) / (1 + seen)) + 0.1
     unknown = math.log(1 + total) + 0.1
-    rows = _item_rows(items, lookup, idf)
-    matrix = np.zeros((len(items), len(known)), np.float32)
+    parts, owner = cut_items(items, rule)
+    rows = _item_rows(parts, lookup, idf)
+    matrix = np.zeros((len(parts), len(known)), np.float32)
     matrix[rows["item"].to_numpy(int), rows["word"].to_numpy(int)] = rows["weight"]
     entries = spark.createDataFrame(rows.astype({"item": "int64", "word": "int64", "weight": "float64"}), "item long, word long, weight double")
     rank = rule.rank
     while True:
-        width = min(rank + rule.oversample, len(items), len(known))
+        width = min(rank + rule.oversample, len(parts), len(known))
         basis = randomised_svd(entries, len(known), width).astype(np.float32)
         latent = matrix @ basis
         kept = (latent**2).sum(axis=1)
-        if width == min(len(items), len(known)) or kept[matrix.any(axis=1)].min(initial=1) >= rule.energy:
-            return Index(items, lookup, idf, unknown, basis, latent)
+        if width == min(len(parts), len(known)) or kept[matrix.any(axis=1)].min(initial=1) >= rule.energy:
+            return Index(items, owner, lookup, idf, unknown, basis, latent)
         rank *= 2
 
 
@@ -236,7 +251,7 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
 
 
 def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple[int, int, int, float]]:
-    """(first word, end, item number, cosine) of the passages that reach the cosine, in blocks of words.
+    """(first word, end, item number, cosine with one of its parts) of the passages that reach the cosine, in blocks of words.
 
     A word that a passage repeats counts each time.
     """
@@ -272,7 +287,7 @@ def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple
         at, cell = at[used], cell[used]
         heads = np.flatnonzero(np.diff(cell, prepend=-1))
         # running sums of the cells' products with every item, so a passage is a difference of two
-        products = np.zeros((len(needed) + 1, len(index.items)))
+        products = np.zeros((len(needed) + 1, len(index.owner)))
         if len(heads):
             products[cell[heads] + 1] = np.add.reduceat(index.shares[rows[at]], heads, axis=0)
         np.cumsum(products, axis=0, out=products)
@@ -280,7 +295,7 @@ def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple
             cosines = (products[last - low] - products[first - low]) / np.sqrt(total)[:, None]
             for place, number in zip(*np.nonzero(cosines >= rule.cosine)):
                 start = int(cells[first[place]])
-                yield start, start + span, int(number), float(cosines[place, number])
+                yield start, start + span, int(index.owner[number]), float(cosines[place, number])
 
 
 def find_leaks(data: bytes, index: Index, rule: LeakRule) -> list[tuple[int, float, float, float]]:
@@ -322,7 +337,9 @@ def _blocks(benchmark: DataFrame, rule: LeakRule, stages: Stages) -> Iterator[li
     """The items with any word, in blocks; each block alone comes to the driver."""
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), lowered(F.col("text")).alias("text")).distinct()
     rows = stages.write(rows, "items")
-    count = -(-rows.count() // rule.block)
+    # long items weigh as many as the parts they are cut into, some six bytes a word
+    weight = F.greatest(F.lit(1.0), F.octet_length("text") / F.lit(3.0 * rule.part))
+    count = max(-(-rows.count() // rule.block), math.ceil((rows.agg(F.sum(weight).alias("n")).first()["n"] or 0) / (4 * rule.block)))
     numbered = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, count))))
     for block in range(count):
         items = [read_item(r["item_id"], r["text"]) for r in numbered.where(F.col("block") == block).collect()]
