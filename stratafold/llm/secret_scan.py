@@ -24,7 +24,7 @@ ASSIGN_LEAST = 8
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
 BASE = KINDS[:3]
 
-# Strings that look random but are none of a secret.
+# Strings that look random but are none of a secret. A word takes the letters and digits around it along.
 ALLOWED = (
     r"(?i)example|sample|placeholder|changeme|dummy|xxxx|your[_-]",
     r"(?i)0123456789|abcdefghij",
@@ -131,14 +131,32 @@ def _span(start: Column, kind: Column, end: Column) -> Column:
     return F.struct(start.alias("start"), kind.alias("kind"), end.alias("end"))
 
 
+def _not_allowed(m: Column, rule: EntropyRule) -> Column:
+    """(start, match) of what is left of a candidate between allowed words, where a window fits."""
+    part = lambda start, match: F.struct(start.alias("start"), match.alias("match"))
+    whole = F.array(part(m["start"], m["match"]))
+    if not rule.allowed:
+        return whole
+    word = "|".join(f"[A-Za-z0-9]*(?:{pattern})(?:(?<=[A-Za-z0-9])[A-Za-z0-9]*)?" for pattern in rule.allowed)
+    taken = F.transform(F.regexp_extract_all(m["match"], F.lit(word), F.lit(0)), lambda s: F.length(s))
+    pieces = F.split(m["match"], word, -1)
+
+    def step(s: Column, x: Column) -> Column:
+        found = F.when(F.length(x["piece"]) >= rule.window, F.concat(s["found"], F.array(part(s["at"], x["piece"])))).otherwise(s["found"])
+        return F.struct((s["at"] + F.length(x["piece"]) + F.coalesce(x["taken"], F.lit(0))).alias("at"), found.alias("found"))
+
+    empty = F.expr("CAST(array() AS array<struct<start:int,match:string>>)")
+    start = F.struct(m["start"].alias("at"), empty.alias("found"))
+    cut = F.aggregate(F.arrays_zip(pieces.alias("piece"), taken.alias("taken")), start, step, lambda s: s["found"])
+    some = reduce(lambda a, b: a | b, [F.regexp_like(m["match"], F.lit(pattern)) for pattern in rule.allowed])
+    return F.when(some, cut).otherwise(whole)
+
+
 def _entropy_spans(text: Column, rule: EntropyRule) -> Column:
     pattern = f"[A-Za-z0-9+/_=-]{{{rule.window},}}"
     found = _matches(text, pattern, 0, F.regexp_like(text, F.lit("[0-9]")))
-    def suspicious(m: Column) -> Column:
-        allowed = [F.regexp_like(m["match"], F.lit(pattern)) for pattern in rule.allowed]
-        return F.regexp_like(m["match"], F.lit("[0-9]")) & ~reduce(lambda a, b: a | b, allowed, F.lit(False))
-
-    candidates = F.filter(found, suspicious)
+    digit = lambda m: F.regexp_like(m["match"], F.lit("[0-9]"))
+    candidates = F.filter(F.flatten(F.transform(F.filter(found, digit), lambda m: _not_allowed(m, rule))), digit)
     # what the windows look at again and again is computed once per candidate
     opened = F.transform(
         candidates,
