@@ -1,7 +1,10 @@
 """Words of many texts as 64-bit hashes, by array arithmetic on their bytes.
 
-A word is a run of ASCII letters and digits and of bytes beyond ASCII. The hash of
-a word is a polynomial of its bytes, taken from running sums over the block.
+A word is a run of letters and digits of any script; Unicode punctuation, signs and
+spaces end it, and each character of a script written without blanks is a word of its
+own. ``lowered`` sets those apart with ASCII blanks, so that in its bytes a word is a
+run of ASCII letters and digits and of bytes beyond ASCII. The hash of a word is a
+polynomial of its bytes, taken from running sums over the block.
 """
 
 from __future__ import annotations
@@ -15,9 +18,15 @@ INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 BLOCK = 1 << 16
 
 
+# Neither ASCII nor a letter, digit or mark; then Thai and Lao, Myanmar, Khmer, kana, Han.
+_BREAK = r"[^\x00-\x7F\p{L}\p{N}\p{M}]"
+_ALONE = r"([\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}])"
+
+
 def lowered(text: Column) -> Column:
-    """The bytes that words are read from."""
-    return F.lower(F.coalesce(text, F.lit(""))).cast("binary")
+    """The bytes that words are read from; full stops and marks of other scripts become ASCII ones."""
+    lower = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\u3002\uff0e\uff01\uff1f", "..!?")
+    return F.regexp_replace(F.regexp_replace(lower, _BREAK, " "), _ALONE, " $1 ").cast("binary")
 
 
 def _word_bytes() -> np.ndarray:
