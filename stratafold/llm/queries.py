@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratafold.llm import chat_format, exact_topk
+from stratafold.llm import chat_format, exact_topk, merkle_manifest
 from stratafold.llm.decontamination import leaks
 from stratafold.llm.license_scan import documents_as_files, scan_licenses
 from stratafold.llm.packing import pack
@@ -12,8 +12,10 @@ from stratafold.llm.quality_classifier import classify
 from stratafold.llm.secret_scan import scan_secrets
 from stratafold.llm.shared import table
 from stratafold.llm.simhash_dedup import near_duplicates
+from stratafold.llm.source_mixing import mixed_sizes
 from stratafold.llm.suffix_dedup import repeated_strings
 from stratafold.llm.tokens import token_counts
+from stratafold.llm.whitening import whiten
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +58,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents")).drop("proof")
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,6 +83,13 @@ QUERIES = {
         op8_quality_classifier,
         op9_license_scan,
         op10_decontamination,
+        op11_merkle_manifest,
+        op12_source_mixing,
+        op13_whitening,
     )
 }
-SQL = {"op5_exact_topk": exact_topk.SQL, "op6_chat_format": chat_format.SQL}
+SQL = {
+    "op5_exact_topk": exact_topk.SQL,
+    "op6_chat_format": chat_format.SQL,
+    "op11_merkle_manifest": merkle_manifest.sql(),
+}
