@@ -221,7 +221,8 @@ def mix(docs: DataFrame, rule: MixRule | None = None) -> Mix:
         "tree", "block", (low - F.col("block") * rule.block).alias("at"), "row", "doc_id",
         (low - F.col("before")).alias("start"), (high - low).alias("own"),
     )
-    joined = _slots(spark, plan, rule).join(pieces, ["tree", "block"])
+    # slots grow with the corpus, which Spark cannot tell from the range of shards
+    joined = _slots(spark, plan, rule).hint("merge").join(pieces, ["tree", "block"])
     taken = F.least(F.col("own"), F.col("words") - F.col("at"))
     filled = joined.where(F.col("words") > F.col("at")).withColumn("words", taken).drop("own")
     return Mix(documents, filled)
