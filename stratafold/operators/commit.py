@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratafold.operators.merge import INSERT, UPDATE, MergeRule, merge
-from stratafold.sources.tables import LakeTable, within_days
+from stratafold.sources.tables import BUCKET, LakeTable, bucket_of, within_days
 
 # A measured source within both bounds is broadcast instead of shuffled.
 MAX_BROADCAST_ROWS = 200_000
@@ -51,10 +51,11 @@ def measure(source: DataFrame, day: str | None) -> SourceSize:
 
 @dataclass(frozen=True)
 class Outcome:
-    """Rows per action, where they were counted, and the days that were rewritten."""
+    """Rows per action, where they were counted, and the days or buckets that were rewritten."""
 
     actions: dict[str, int] = field(default_factory=dict)
     days: tuple[dt.date, ...] = ()
+    buckets: tuple[int, ...] = ()
 
     @property
     def changed(self) -> int:
@@ -77,11 +78,14 @@ def commit(
     leaves out the pass that counts the actions and finds what changed, for
     sources in which every row does. ``marks`` become part of the table with the
     rows, or alone if no row changes. A source row without a day of a partitioned
-    table is an error.
+    table is an error. Of a table with buckets only those that hold a source row's key
+    are read, so ``keep`` counts their rows alone.
     """
     size = size or measure(source, table.spec.partition)
     outcome = Outcome()
-    if size.rows and table.spec.partition is None:
+    if size.rows and table.spec.buckets:
+        outcome = _commit_buckets(table, source, rule, size.small, marks)
+    elif size.rows and table.spec.partition is None:
         outcome = _commit_whole(table, source, rule, size.small, compare, marks)
     elif size.rows:
         outcome = _commit_days(table, source, rule, size.small, compare, size.days, marks)
@@ -103,6 +107,33 @@ def _commit_whole(
     return outcome
 
 
+def _commit_buckets(
+    table: LakeTable, source: DataFrame, rule: MergeRule, small: bool, marks: Mapping[str, int] | None
+) -> Outcome:
+    """Rewrite only the buckets that hold an insert or an update.
+
+    Needs no day in the key: the hash of the key says where its row can lie. The
+    numbers of buckets go through the driver, one per some 500,000 rows of the table.
+    """
+    keys = table.spec.buckets
+    if not set(keys) <= set(rule.keys):
+        raise ValueError(f"the key {rule.keys} does not hold the bucket columns {keys}")
+    state = table.manifest()
+    place = bucket_of(keys, state.buckets)
+    asked = [r[0] for r in source.select(place.alias(BUCKET)).distinct().collect()]
+    compared = merge(table.read_buckets(asked, state), source, rule, broadcast_source=small)
+    counts = compared.groupBy(place.alias(BUCKET), "action").agg(F.count("*").alias("n")).collect()
+    actions: dict[str, int] = {}
+    for r in counts:
+        actions[r["action"]] = actions.get(r["action"], 0) + r["n"]
+    touched = tuple(sorted({r[BUCKET] for r in counts if r["action"] in (UPDATE, INSERT)}))
+    if touched:
+        mine = source.where(place.isin(list(touched)))
+        merged = merge(table.read_buckets(touched, state), mine, rule, broadcast_source=small)
+        table.publish_buckets(merged.drop("action"), state, actions.get(INSERT, 0), marks=marks)
+    return Outcome(actions, buckets=touched)
+
+
 def source_days(source: DataFrame, column: str) -> list[dt.date]:
     """The days of a source: one value per day, whatever its size."""
     return sorted(r[0] for r in source.select(column).where(F.col(column).isNotNull()).distinct().collect())

@@ -26,6 +26,8 @@ class TableSpec:
     defaults: tuple[tuple[str, object], ...] = ()
     partition: str | None = None
     cluster: tuple[str, ...] = ()
+    # columns whose hash deals the rows of a table without days into folders
+    buckets: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -85,6 +87,7 @@ EXTRACTION_CONTROL = TableSpec(
     ),
     required=("campaign_id",),
     cluster=("campaign_id",),
+    buckets=("campaign_id",),
 )
 
 SUBITEMS = TableSpec("silver_layer/subitems_digital", _schema(("campaign_id", STRING)))
@@ -99,6 +102,7 @@ CAMPAIGNS = TableSpec(
     ),
     required=("account_id", "campaign_id"),
     cluster=("campaign_id",),
+    buckets=("campaign_id",),
 )
 
 INSIGHTS = TableSpec(

@@ -2,7 +2,9 @@
 
 Each write goes to a folder of its own below ``data`` and becomes part of the
 table through a numbered manifest, which names the folders that make it up: one
-list for the table, or one for each day of a partitioned table. A manifest is
+list for the table, or one for each day or bucket. A bucket holds the rows whose
+key has one hash modulo the number of buckets, which the manifest names and which
+doubles as the table grows. A manifest is
 written beside its place and renamed into it, which fails if that number has been
 taken. So a writer that dies leaves either the old table or the new one, a byte
 is written once, and readers only read. Folders that no manifest names any more
@@ -17,7 +19,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafold.functions.times import instant_literal
@@ -27,6 +29,15 @@ from stratafold.session import delete_path, list_names, make_dirs, read_text, wr
 
 WHOLE = ""
 
+# A table with buckets begins with so many; beyond so many rows in each they double.
+FIRST_BUCKETS = 16
+BUCKET_ROWS = 500_000
+BUCKET = "lake_bucket"
+
+
+def bucket_of(keys: Iterable[str], count: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
+
 
 def with_defaults(df: DataFrame, spec: TableSpec, run_ts: dt.datetime) -> DataFrame:
     """Add the columns a source leaves out: their default, or NULL."""
@@ -55,14 +66,17 @@ def within_days(df: DataFrame, column: str, days: Iterable[dt.date] | None) -> D
 
 @dataclass(frozen=True)
 class Manifest:
-    """The folders of a table by day (one entry for a table without days), and marks.
+    """The folders of a table by day or bucket (one entry for a table with neither), and marks.
 
-    A mark is the number of another table's manifest that has been taken in.
+    A mark is the number of another table's manifest that has been taken in. A table
+    with buckets has their number and that of its rows.
     """
 
     number: int = 0
     folders: Mapping[str, list[str]] = field(default_factory=dict)
     marks: Mapping[str, int] = field(default_factory=dict)
+    buckets: int = FIRST_BUCKETS
+    rows: int = 0
 
 
 @dataclass(frozen=True)
@@ -106,7 +120,7 @@ class LakeTable:
         if number not in known:
             return Manifest()
         stored = json.loads(read_text(self.spark, self._manifest_path(number)))
-        return Manifest(number, stored["folders"], stored["marks"])
+        return Manifest(number, stored["folders"], stored["marks"], stored.get("buckets", FIRST_BUCKETS), stored.get("rows", 0))
 
     def read(self, days: Iterable[dt.date] | None = None, *, number: int | None = None) -> DataFrame:
         """The rows, or those of some days of a partitioned table, now or at a manifest's number."""
@@ -115,6 +129,13 @@ class LakeTable:
             chosen = [f for listed in folders.values() for f in listed]
         else:
             chosen = [f for day in sorted(set(days)) for f in folders.get(day.isoformat(), [])]
+        return self._read(chosen)
+
+    def read_buckets(self, buckets: Iterable[int], manifest: Manifest) -> DataFrame:
+        """The rows of some buckets of a manifest's."""
+        return self._read([f for b in sorted(set(buckets)) for f in manifest.folders.get(str(b), [])])
+
+    def _read(self, chosen: list[str]) -> DataFrame:
         if not chosen:
             return self.spark.createDataFrame([], self.spec.schema)
         reader = self.spark.read.schema(self.spec.schema).option("basePath", self._data)
@@ -128,29 +149,55 @@ class LakeTable:
         changed = {d for d in {*now.folders, *then.folders} if now.folders.get(d) != then.folders.get(d)}
         return sorted(dt.date.fromisoformat(d) for d in changed)
 
+    def _split(self, df: DataFrame, buckets: int) -> DataFrame:
+        """The rows with the column that says in which folder each lies."""
+        return df.withColumn(BUCKET, bucket_of(self.spec.buckets, buckets)) if self.spec.buckets else df
+
+    @property
+    def _folder(self) -> str | None:
+        return BUCKET if self.spec.buckets else self.spec.partition
+
     def _laid_out(self, df: DataFrame) -> DataFrame:
-        """Even files: days share or split tasks by size, rows lie in cluster order."""
-        by = [self.spec.partition] if self.spec.partition else list(self.spec.cluster)
+        """Even files: folders share or split tasks by size, rows lie in cluster order."""
+        by = [self._folder] if self._folder else list(self.spec.cluster)
         even = df.hint("rebalance", *by) if by else df
-        order = [*([self.spec.partition] if self.spec.partition else []), *self.spec.cluster]
+        order = [*([self._folder] if self._folder else []), *self.spec.cluster]
         return even.sortWithinPartitions(*order) if order else even
 
-    def _stage(self, df: DataFrame) -> dict[str, list[str]]:
-        """Write rows to a new folder; the folders by day, not yet part of the table."""
+    def _stage(self, df: DataFrame, buckets: int = FIRST_BUCKETS) -> dict[str, list[str]]:
+        """Write rows to a new folder; the folders by day or bucket, not yet part of the table."""
         version = f"version=v{uuid.uuid4().hex}"
-        writer = df.write
-        if self.spec.partition is None:
+        writer = self._laid_out(self._split(df, buckets)).write
+        if self._folder is None:
             writer.parquet(f"{self._data}/{version}")
             return {WHOLE: [version]}
-        writer.partitionBy(self.spec.partition).parquet(f"{self._data}/{version}")
-        prefix = f"{self.spec.partition}="
+        writer.partitionBy(self._folder).parquet(f"{self._data}/{version}")
+        prefix = f"{self._folder}="
         names = [n for n in list_names(self.spark, f"{self._data}/{version}") if n.startswith(prefix)]
         return {n.removeprefix(prefix): [f"{version}/{n}"] for n in names}
 
-    def _switch(self, old: Manifest, folders: Mapping[str, list[str]], marks: Mapping[str, int] | None) -> None:
+    def _count(self, staged: Mapping[str, list[str]]) -> int:
+        """Rows of staged folders, from the files' footers."""
+        return self._read([f for listed in staged.values() for f in listed]).count()
+
+    def _stage_grown(self, df: DataFrame, buckets: int) -> tuple[dict[str, list[str]], int, int]:
+        """Stage a whole table; its folders, rows, and as many buckets as those rows need."""
+        staged = self._stage(df, buckets)
+        rows, needed = self._count(staged), buckets
+        while rows > needed * BUCKET_ROWS:
+            needed *= 2
+        if needed > buckets:
+            staged = self._stage(self._read([f for listed in staged.values() for f in listed]), needed)
+        return staged, rows, needed
+
+    def _switch(
+        self, old: Manifest, folders: Mapping[str, list[str]], marks: Mapping[str, int] | None, *, buckets: int | None = None, rows: int | None = None
+    ) -> None:
         """Make the folders the table, unless another writer has been faster."""
-        stored = json.dumps({"folders": dict(folders), "marks": {**old.marks, **(marks or {})}})
-        write_new_text(self.spark, self._manifest_path(old.number + 1), stored)
+        stored: dict[str, object] = {"folders": dict(folders), "marks": {**old.marks, **(marks or {})}}
+        if self.spec.buckets:
+            stored |= {"buckets": buckets or old.buckets, "rows": old.rows if rows is None else rows}
+        write_new_text(self.spark, self._manifest_path(old.number + 1), json.dumps(stored))
 
     def publish(self, df: DataFrame, *, marks: Mapping[str, int] | None = None) -> None:
         """Replace the table, or just the partitions found in ``df``.
@@ -159,14 +206,32 @@ class LakeTable:
         partitioned table fail the write like any missing required column.
         """
         old = self.manifest()
-        staged = self._stage(self._laid_out(self._checked(df.select(*self.spec.columns))))
+        checked = self._checked(df.select(*self.spec.columns))
+        if self.spec.buckets:
+            staged, rows, buckets = self._stage_grown(checked, old.buckets)
+            return self._switch(old, staged, marks, buckets=buckets, rows=rows)
+        staged = self._stage(checked)
         self._switch(old, {**old.folders, **staged} if self.spec.partition else staged, marks)
 
+    def publish_buckets(self, df: DataFrame, old: Manifest, added: int, *, marks: Mapping[str, int] | None = None) -> None:
+        """Replace the buckets found in ``df`` with its rows, ``added`` of them new to the table.
+
+        ``df`` was made from the table at ``old``; of two writers from one state one fails.
+        Buckets that have grown too large on average are split, all at once.
+        """
+        staged = {**old.folders, **self._stage(self._checked(df.select(*self.spec.columns)), old.buckets)}
+        rows, buckets = old.rows + added, old.buckets
+        if rows > buckets * BUCKET_ROWS:
+            whole = self._read([f for listed in staged.values() for f in listed])
+            staged, rows, buckets = self._stage_grown(whole, 2 * buckets)
+        self._switch(old, staged, marks, buckets=buckets, rows=rows)
+
     def append(self, df: DataFrame, run_ts: dt.datetime) -> None:
         """Add rows, with the table's defaults for what they leave out."""
         old = self.manifest()
-        staged = self._stage(self._checked(with_defaults(df, self.spec, run_ts)))
-        self._switch(old, {**old.folders, **{d: [*old.folders.get(d, []), *f] for d, f in staged.items()}}, None)
+        staged = self._stage(self._checked(with_defaults(df, self.spec, run_ts)), old.buckets)
+        folders = {**old.folders, **{d: [*old.folders.get(d, []), *f] for d, f in staged.items()}}
+        self._switch(old, folders, None, rows=old.rows + self._count(staged) if self.spec.buckets else None)
 
     def mark(self, marks: Mapping[str, int]) -> None:
         """Note what has been taken in when that has changed no row."""
