@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -82,17 +81,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath)) if fs.exists(jpath) else []
 
 
-def move_each(spark: SparkSession, folder: str, prefix: str, place: Callable[[str], str]) -> None:
-    """Move the one data file of each folder ``prefix<name>`` to ``place(name)``."""
-    for name in list_names(spark, folder):
-        if name.startswith(prefix):
-            (file,) = [n for n in list_names(spark, f"{folder}/{name}") if n.startswith("part-")]
-            fs, target = _file_system(spark, place(name.removeprefix(prefix)))
-            fs.mkdirs(target.getParent())
-            fs.delete(target, False)
-            fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}/{file}"), target)
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     fs, jpath = _file_system(spark, path)
     stream = fs.open(jpath)

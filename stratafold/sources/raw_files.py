@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
 from stratafold.functions import paths
-from stratafold.session import delete_path, glob_matches, move_each, scratch_path
+from stratafold.session import glob_matches
+from stratafold.sources.array_files import write_array_files
 
 # Two layouts of the same content. "array": one JSON array per file. "lines":
 # one JSON object per line and any number of part files, which Spark can split.
@@ -119,16 +119,10 @@ def land_items(items: DataFrame, root: str) -> None:
 def land_arrays(items: DataFrame, root: str) -> None:
     """Write rows (source, tipo, id, fecha, item) as one JSON array file per account and day.
 
-    The layout puts an account's day into one file, so its rows meet in one task;
-    ``land_items`` has no such limit. Each file is put in place by a rename, and a
-    rerun replaces it.
+    The layout puts an account's day into one file, which one task streams;
+    ``land_items`` has no such limit. Tasks put their files in place themselves, each
+    in one step, and a rerun replaces them.
     """
-    spark = items.sparkSession
     day = F.date_format("fecha", "yyyy-MM-dd")
-    path = F.concat_ws("/", F.lower("source"), "tipo", "id", day)
-    text = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json("item")), ","), F.lit("]"))
-    files = items.groupBy(path.alias("path")).agg(text.alias("value"))
-    staged = scratch_path(spark, "arrays")
-    files.repartition("path").write.partitionBy("path").text(staged)
-    move_each(spark, staged, "path=", lambda name: f"{root}/raw/{unquote(name)}/{fv.RAW_FILE_NAME}")
-    delete_path(spark, staged)
+    path = F.concat_ws("/", F.lit("raw"), F.lower("source"), "tipo", "id", day, F.lit(fv.RAW_FILE_NAME))
+    write_array_files(items.select(path.alias("path"), F.to_json("item").alias("value")), root)
