@@ -23,10 +23,13 @@ from stratafold.operators.normalise import (
 from stratafold.plans.lake import Lake, Staging, staging
 from stratafold.schemas import CAMPAIGN_FIELDS, CAMPAIGNS, INSIGHT_FIELDS, INSIGHTS, TableSpec
 from stratafold.sources.catalogue import active_platforms
-from stratafold.sources.raw_files import LAYOUTS, day_glob, list_files, read_items
+from stratafold.sources.array_split import read_split_items
+from stratafold.sources.raw_files import ARRAY, LAYOUTS, day_glob, list_files, read_items
 
 # Names of so many files at a time are given to the reader.
 FILES_AT_ONCE = 10_000
+# An array file beyond this size is read by several tasks, a smaller one whole by one.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 # later files of one load win over earlier ones
 FILE_ORDER = ("fecha_archivo", "gcs_path")
@@ -144,20 +147,23 @@ def load_files(
     """
     due = due_files(lake, job, run_date, layout=layout, same_day_only=same_day_only)
     with staging(lake.spark) as stage:
-        rows = stage.write_all(_rows_of(lake, job, stage.write(due, "due")), "rows")
+        rows = stage.write_all(_rows_of(lake, job, stage.write(due, "due"), stage), "rows")
         return LoadOutcome() if rows is None else _apply(lake, job, rows, stage, run_ts)
 
 
-def _rows_of(lake: Lake, job: LoadJob, due: DataFrame) -> Iterator[DataFrame]:
+def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, stage: Staging) -> Iterator[DataFrame]:
     """Normalised rows of the due files; files without a normaliser are not read.
 
     Files are named to the reader in slices by a hash of their path, so that the
-    driver holds one slice's names however many files there are.
+    driver holds one slice's names however many files there are. Large array files
+    are slices of their own, read by byte ranges.
     """
-    counts = {(r["platform"], r["layout"]): r["count"] for r in due.groupBy("platform", "layout").count().collect()}
-    for (platform, layout), count in sorted(counts.items()):
+    kinds = due.withColumn("large", (F.col("layout") == ARRAY) & (F.col("file_bytes") > WHOLE_FILE_BYTES))
+    counts = {(r["platform"], r["layout"], r["large"]): r["count"] for r in kinds.groupBy("platform", "layout", "large").count().collect()}
+    for (platform, layout, large), count in sorted(counts.items()):
         normalise = normaliser_for(platform, job.normalisers)
-        files = due.where((F.col("platform") == platform) & (F.col("layout") == layout)).drop("layout")
+        own = (F.col("platform") == platform) & (F.col("layout") == layout) & (F.col("large") == F.lit(large))
+        files = kinds.where(own).drop("layout", "large")
         if normalise is None:
             yield fail_unsupported(files, job.spec, job.stamp)
             continue
@@ -166,7 +172,8 @@ def _rows_of(lake: Lake, job: LoadJob, due: DataFrame) -> Iterator[DataFrame]:
             mine = files.where(F.pmod(F.xxhash64("file_path"), F.lit(slices)) == number).select("file_path")
             names = sorted(r["file_path"] for r in mine.collect())
             if names:
-                yield normalise(read_items(lake.spark, names, job.fields, layout).withColumn("platform", F.lit(platform)))
+                read = read_split_items(lake.spark, names, job.fields, stage) if large else read_items(lake.spark, names, job.fields, layout)
+                yield normalise(read.withColumn("platform", F.lit(platform)))
 
 
 def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, run_ts: dt.datetime) -> LoadOutcome:

@@ -47,11 +47,20 @@ def array_schema(fields: Mapping[str, str]) -> str:
     return "array<struct<" + ",".join(f"`{name}`:{kind}" for name, kind in fields.items()) + ">>"
 
 
+NO_ARRAY = "not a JSON array"
+MALFORMED = "malformed JSON or an element that is not an object"
+BLANKS = " \t\r\n"
+
+
+def blank_trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def file_fault(text: Column, items: Column) -> Column:
     """Why a file as a whole is unusable, or NULL."""
     return (
-        F.when(~F.coalesce(F.ltrim(text).startswith("["), F.lit(False)), F.lit("not a JSON array"))
-        .when(items.isNull(), F.lit("malformed JSON or an element that is not an object"))
+        F.when(~F.coalesce(blank_trimmed(text).startswith("["), F.lit(False)), F.lit(NO_ARRAY))
+        .when(items.isNull() | ~blank_trimmed(text).endswith("]"), F.lit(MALFORMED))
         .when(F.exists(items, lambda x: x.isNull()), F.lit("an element that is not an object"))
     )
 
