@@ -32,6 +32,11 @@ def day_literal(day: dt.date) -> Column:
     return F.lit(day).cast("date")
 
 
+def utc_day(instant: dt.datetime) -> dt.date:
+    """The UTC day of a run's instant; a naive value is taken as UTC."""
+    return instant.date() if instant.tzinfo is None else instant.astimezone(dt.timezone.utc).date()
+
+
 def instant_literal(instant: dt.datetime) -> Column:
     """One instant for a whole run; a naive value is taken as UTC."""
     if instant.tzinfo is None:

@@ -6,13 +6,15 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
-from stratafold.functions.times import instant_literal, utc_date
+from stratafold.functions.times import utc_day
 from stratafold.sources.tables import LakeTable
 
+# Rows of one fault are numbered in parts of so many.
+PART_ROWS = 10_000
+
 
 def _id(column: Column | None) -> Column:
     """Empty ids are no ids."""
@@ -75,14 +77,19 @@ def account_errors(
 def log_once(log: LakeTable, errors: DataFrame, run_ts: dt.datetime) -> None:
     """Add errors (with their ``file``) that this day's runs have not logged yet.
 
-    The id is a digest of day, process, file, item and reason, and of how often they
-    came before in the same file. So a load that died behind its log and is
-    repeated logs nothing twice, while the same fault on another day is a new row.
+    The id is a digest of day and row, and of how often the row came before. So a
+    load that died behind its log and is repeated logs nothing twice, while the same
+    fault on another day is a new row. Only the day's part of the log is read. Equal
+    rows are counted where they lie and numbered in parts, so one fault that a
+    whole file repeats is spread over all tasks.
     """
-    day = utc_date(instant_literal(run_ts)).cast("string")
-    what = ["proceso", "file", "parent_id", "child_id", "tipo_error", "mensaje_error"]
-    nth = F.row_number().over(W.partitionBy(*what).orderBy(F.lit(0)))
-    parts = [F.coalesce(F.col(c), F.lit("")) for c in what]
-    digest = F.md5(F.concat_ws("\u0001", day, *parts, nth.cast("string")))
-    keyed = errors.withColumn("error_id", digest).drop("file")
-    log.append(keyed.join(log.read().select("error_id"), "error_id", "left_anti"), run_ts)
+    today = utc_day(run_ts)
+    counted = errors.groupBy(*errors.columns).agg(F.count("*").alias("n"))
+    parts = counted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {PART_ROWS}L"))))
+    dealt = parts.repartition(*errors.columns, "part")
+    first = F.col("part") * PART_ROWS
+    nth = F.explode(F.sequence(first + 1, F.least(F.col("n"), first + PART_ROWS)))
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in errors.columns]
+    digest = F.md5(F.concat_ws("\u0001", F.lit(str(today)), *texts, F.col("nth").cast("string")))
+    keyed = dealt.withColumn("nth", nth).withColumn("error_id", digest).drop("file", "n", "part", "nth")
+    log.append(keyed.join(log.read([today]).select("error_id"), "error_id", "left_anti"), run_ts)

@@ -108,11 +108,10 @@ def due_files(
     one value per day with an open file.
     """
     spark = lake.spark
-    ledger = lake.ledger.read()
     names = sorted((r[0] for r in active_platforms(lake.accounts.read(), job.platform).collect()), reverse=True)
     # spellings that differ in case share one folder
     platforms = sorted({name.lower(): name for name in names}.values())
-    retries = unfinished(ledger, job.kind, run_date)
+    retries = unfinished(lake.ledger.read_apart(), job.kind, run_date)
     days = [run_date] if same_day_only else [*source_days(retries, "fecha_archivo"), run_date]
     listed = [
         list_files(spark, [day_glob(lake.root, platform, job.kind, day, form) for day in days]).withColumns(

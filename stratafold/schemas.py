@@ -28,6 +28,10 @@ class TableSpec:
     cluster: tuple[str, ...] = ()
     # columns whose hash deals the rows of a table without days into folders
     buckets: tuple[str, ...] = ()
+    # an instant whose UTC day says in which folder a row lies
+    day_of: str | None = None
+    # condition of the rows that are kept a second time, apart, by partition
+    apart: str | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -52,9 +56,11 @@ ERROR_LOG = TableSpec(
     ),
     required=("proceso", "platform"),
     defaults=(("error_id", DEFAULT_UUID), ("fecha_ejecucion", DEFAULT_NOW), ("intentos", 1), ("resuelto", False)),
+    day_of="fecha_ejecucion",
 )
 
-# The ledger lies by file day: the gate and each registration touch one day.
+# The ledger lies by file day: the gate and each registration touch one day. Its open
+# entries lie apart, so that a load does not read all days for the files to retry.
 LOAD_LEDGER = TableSpec(
     "pipeline_management/load_control",
     _schema(
@@ -65,6 +71,7 @@ LOAD_LEDGER = TableSpec(
     defaults=(("load_id", DEFAULT_UUID), ("status", fv.LEDGER_PENDING)),
     partition="fecha_archivo",
     cluster=("gcs_path",),
+    apart=f"status IS DISTINCT FROM '{fv.LEDGER_DONE}'",
 )
 
 ACCOUNTS = TableSpec(

@@ -90,19 +90,54 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+# Stores that create an object only if there is none, whole when it is closed. A
+# rename there copies, and replaces what it finds.
+PUT_IF_ABSENT = ("s3a", "gs", "abfs", "abfss")
+# Without this option, or with a connector that does not know it, s3a looks first and then writes.
+S3A_CONDITIONAL = "fs.option.create.conditional.overwrite"
+
+
 def write_new_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a file in place whole, or fail if there is one already."""
+    """Put a file in place whole, or fail if there is one already.
+
+    Of any number of writers one succeeds: on object stores by a conditional create,
+    on a local disk by a hard link to the finished draft, elsewhere (HDFS) by a
+    rename that does not replace.
+    """
     fs, jpath = _file_system(spark, path)
+    scheme = fs.getUri().getScheme()
+    data = bytearray(text.encode("utf-8"))
+    if scheme in PUT_IF_ABSENT:
+        _create_absent(fs, jpath, data, scheme)
+        return
     folder, name = path.rsplit("/", 1)
     draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}.{uuid.uuid4().hex}")
-    stream = fs.create(draft)
+    _write(fs.create(draft), data)
+    try:
+        if scheme == "file":
+            on_disk = lambda p: spark._jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath()
+            spark._jvm.java.nio.file.Files.createLink(on_disk(jpath), on_disk(draft))
+        else:
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(fs.makeQualified(draft), fs.makeQualified(jpath), options)
+    finally:
+        fs.delete(draft, False)
+
+
+def _create_absent(fs, jpath, data: bytearray, scheme: str) -> None:
+    builder = fs.createFile(jpath).overwrite(False)
+    if scheme == "s3a":
+        builder = builder.must(S3A_CONDITIONAL, True)
+    _write(builder.build(), data)
+
+
+def _write(stream, data: bytearray) -> None:
+    """All of the data; a stream that fails is closed, which gives up what it holds."""
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        stream.write(data)
     finally:
         stream.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-    context.rename(fs.makeQualified(draft), fs.makeQualified(jpath), options)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -5,8 +5,7 @@ table through a numbered manifest, which names the folders that make it up: one
 list for the table, or one for each day or bucket. A bucket holds the rows whose
 key has one hash modulo the number of buckets, which the manifest names and which
 doubles as the table grows. A manifest is
-written beside its place and renamed into it, which fails if that number has been
-taken. So a writer that dies leaves either the old table or the new one, a byte
+put in place whole, which fails if that number has been taken. So a writer that dies leaves either the old table or the new one, a byte
 is written once, and readers only read. Folders that no manifest names any more
 stay until ``vacuum``.
 """
@@ -22,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratafold.functions.times import instant_literal
+from stratafold.functions.times import instant_literal, utc_date
 from stratafold.operators.guards import require_columns
 from stratafold.schemas import DEFAULT_NOW, DEFAULT_UUID, TableSpec
 from stratafold.session import delete_path, list_names, make_dirs, read_text, write_new_text
@@ -33,6 +32,7 @@ WHOLE = ""
 FIRST_BUCKETS = 16
 BUCKET_ROWS = 500_000
 BUCKET = "lake_bucket"
+DAY = "lake_day"
 
 
 def bucket_of(keys: Iterable[str], count: int) -> Column:
@@ -64,12 +64,18 @@ def within_days(df: DataFrame, column: str, days: Iterable[dt.date] | None) -> D
     return df.where(F.col(column).isin([F.lit(day) for day in days]) if days else F.lit(False))
 
 
+def _joined(old: Mapping[str, list[str]], new: Mapping[str, list[str]]) -> dict[str, list[str]]:
+    """Folders by day or bucket with further ones added."""
+    return {**old, **{d: [*old.get(d, []), *f] for d, f in new.items()}}
+
+
 @dataclass(frozen=True)
 class Manifest:
     """The folders of a table by day or bucket (one entry for a table with neither), and marks.
 
     A mark is the number of another table's manifest that has been taken in. A table
-    with buckets has their number and that of its rows.
+    with buckets has their number and that of its rows; ``apart`` names the folders of
+    the rows that are kept a second time.
     """
 
     number: int = 0
@@ -77,6 +83,7 @@ class Manifest:
     marks: Mapping[str, int] = field(default_factory=dict)
     buckets: int = FIRST_BUCKETS
     rows: int = 0
+    apart: Mapping[str, list[str]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -120,7 +127,7 @@ class LakeTable:
         if number not in known:
             return Manifest()
         stored = json.loads(read_text(self.spark, self._manifest_path(number)))
-        return Manifest(number, stored["folders"], stored["marks"], stored.get("buckets", FIRST_BUCKETS), stored.get("rows", 0))
+        return Manifest(number, stored["folders"], stored["marks"], stored.get("buckets", FIRST_BUCKETS), stored.get("rows", 0), stored.get("apart", {}))
 
     def read(self, days: Iterable[dt.date] | None = None, *, number: int | None = None) -> DataFrame:
         """The rows, or those of some days of a partitioned table, now or at a manifest's number."""
@@ -135,6 +142,10 @@ class LakeTable:
         """The rows of some buckets of a manifest's."""
         return self._read([f for b in sorted(set(buckets)) for f in manifest.folders.get(str(b), [])])
 
+    def read_apart(self) -> DataFrame:
+        """The rows that the specification keeps apart, and no others are read."""
+        return self._read([f for listed in self.manifest().apart.values() for f in listed])
+
     def _read(self, chosen: list[str]) -> DataFrame:
         if not chosen:
             return self.spark.createDataFrame([], self.spec.schema)
@@ -151,11 +162,13 @@ class LakeTable:
 
     def _split(self, df: DataFrame, buckets: int) -> DataFrame:
         """The rows with the column that says in which folder each lies."""
-        return df.withColumn(BUCKET, bucket_of(self.spec.buckets, buckets)) if self.spec.buckets else df
+        if self.spec.buckets:
+            return df.withColumn(BUCKET, bucket_of(self.spec.buckets, buckets))
+        return df.withColumn(DAY, utc_date(F.col(self.spec.day_of))) if self.spec.day_of else df
 
     @property
     def _folder(self) -> str | None:
-        return BUCKET if self.spec.buckets else self.spec.partition
+        return BUCKET if self.spec.buckets else DAY if self.spec.day_of else self.spec.partition
 
     def _laid_out(self, df: DataFrame) -> DataFrame:
         """Even files: folders share or split tasks by size, rows lie in cluster order."""
@@ -176,6 +189,13 @@ class LakeTable:
         names = [n for n in list_names(self.spark, f"{self._data}/{version}") if n.startswith(prefix)]
         return {n.removeprefix(prefix): [f"{version}/{n}"] for n in names}
 
+    def _stage_apart(self, staged: Mapping[str, list[str]]) -> dict[str, list[str]]:
+        """Those of the staged rows that are kept a second time, in folders of their own."""
+        if not self.spec.apart:
+            return {}
+        rows = self._read([f for listed in staged.values() for f in listed])
+        return self._stage(rows.where(self.spec.apart))
+
     def _count(self, staged: Mapping[str, list[str]]) -> int:
         """Rows of staged folders, from the files' footers."""
         return self._read([f for listed in staged.values() for f in listed]).count()
@@ -191,12 +211,21 @@ class LakeTable:
         return staged, rows, needed
 
     def _switch(
-        self, old: Manifest, folders: Mapping[str, list[str]], marks: Mapping[str, int] | None, *, buckets: int | None = None, rows: int | None = None
+        self,
+        old: Manifest,
+        folders: Mapping[str, list[str]],
+        marks: Mapping[str, int] | None,
+        *,
+        buckets: int | None = None,
+        rows: int | None = None,
+        apart: Mapping[str, list[str]] | None = None,
     ) -> None:
         """Make the folders the table, unless another writer has been faster."""
         stored: dict[str, object] = {"folders": dict(folders), "marks": {**old.marks, **(marks or {})}}
         if self.spec.buckets:
             stored |= {"buckets": buckets or old.buckets, "rows": old.rows if rows is None else rows}
+        if self.spec.apart:
+            stored |= {"apart": dict(old.apart if apart is None else apart)}
         write_new_text(self.spark, self._manifest_path(old.number + 1), json.dumps(stored))
 
     def publish(self, df: DataFrame, *, marks: Mapping[str, int] | None = None) -> None:
@@ -211,7 +240,11 @@ class LakeTable:
             staged, rows, buckets = self._stage_grown(checked, old.buckets)
             return self._switch(old, staged, marks, buckets=buckets, rows=rows)
         staged = self._stage(checked)
-        self._switch(old, {**old.folders, **staged} if self.spec.partition else staged, marks)
+        if not (self.spec.partition or self.spec.day_of):
+            return self._switch(old, staged, marks)
+        # a day written anew takes its rows kept apart with it
+        apart = {d: f for d, f in old.apart.items() if d not in staged} | self._stage_apart(staged)
+        self._switch(old, {**old.folders, **staged}, marks, apart=apart)
 
     def publish_buckets(self, df: DataFrame, old: Manifest, added: int, *, marks: Mapping[str, int] | None = None) -> None:
         """Replace the buckets found in ``df`` with its rows, ``added`` of them new to the table.
@@ -230,8 +263,8 @@ class LakeTable:
         """Add rows, with the table's defaults for what they leave out."""
         old = self.manifest()
         staged = self._stage(self._checked(with_defaults(df, self.spec, run_ts)), old.buckets)
-        folders = {**old.folders, **{d: [*old.folders.get(d, []), *f] for d, f in staged.items()}}
-        self._switch(old, folders, None, rows=old.rows + self._count(staged) if self.spec.buckets else None)
+        rows = old.rows + self._count(staged) if self.spec.buckets else None
+        self._switch(old, _joined(old.folders, staged), None, rows=rows, apart=_joined(old.apart, self._stage_apart(staged)))
 
     def mark(self, marks: Mapping[str, int]) -> None:
         """Note what has been taken in when that has changed no row."""
@@ -250,7 +283,7 @@ class LakeTable:
         """
         numbers = self._numbers()
         kept = [self.manifest(n) for n in numbers[-keep:]]
-        named = {f.split("/")[0] for m in kept for listed in m.folders.values() for f in listed}
+        named = {f.split("/")[0] for m in kept for listed in (*m.folders.values(), *m.apart.values()) for f in listed}
         for number in numbers[:-keep]:
             delete_path(self.spark, self._manifest_path(number))
         for name in list_names(self.spark, self._data):
