@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +25,13 @@ from stratafold.operators.worklist import daily_metrics, group_sizes, lots, requ
 from stratafold.plans.accounts import account_cycle, due_accounts
 from stratafold.plans.extraction import collect_insights, plan_extraction, with_stop_time
 from stratafold.plans.gold import campaign_dimension, fact_rows, fact_with_dimension, refresh_gold
-from stratafold.plans.lake import Lake
+from stratafold.plans.lake import Lake, Staging
 from stratafold.plans.silver_load import load_campaigns, load_insights
 from stratafold.registry import frames as fr
 from stratafold.registry.frames import stamp, table, text
 from stratafold.schemas import CAMPAIGN_FIELDS, INSIGHT_FIELDS, INSIGHTS
 from stratafold.session import scratch_path
+from stratafold.sources.array_split import read_split_items
 from stratafold.sources.catalogue import active_accounts, active_platforms
 from stratafold.sources.page_lots import flatten_pages, lot_outcomes
 from stratafold.sources.raw_files import LINES, day_glob, land_arrays, land_items, open_items, read_items
@@ -399,6 +401,58 @@ def array_load(spark: SparkSession, sf: str) -> DataFrame:
     return lake.insights.read().select(*METRIC_COLUMNS, stamp("updated_at"))
 
 
+def split_array_read(spark: SparkSession, sf: str) -> DataFrame:
+    """The late pull landed as one account's array file, and that file read by byte ranges."""
+    lake = new_lake(spark)
+    items = fr.metric_items(fr.late_metrics(spark, sf), fr.LATE_PULL).withColumn("id", F.lit("all"))
+    land_arrays(items, lake.root)
+    files = [f"{lake.root}/raw/{fv.PLATFORM.lower()}/insights/all/{fr.LATE_PULL}/{fv.RAW_FILE_NAME}"]
+    read = read_split_items(spark, files, INSIGHT_FIELDS, Staging(spark))
+    rows = good_rows(normalise_insights(read.withColumn("platform", F.lit(fv.PLATFORM))))
+    return rows.select(*METRIC_COLUMNS, "fecha_archivo")
+
+
+def guarded_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """A write with rows that lack a required column is refused whole; the table keeps the early rows."""
+    lake = new_lake(spark)
+    lake.insights.publish(cast_to(fr.early_silver(spark, sf), INSIGHTS))
+    late = cast_to(fr.late_metrics(spark, sf).withColumn("updated_at", fr.instant_literal(fr.LATE_TS)), INSIGHTS)
+    refused = []
+    for column in INSIGHTS.required:
+        torn = late.withColumn(column, F.when(F.col("impressions") > 1, F.col(column)))
+        try:
+            lake.insights.publish(torn)
+        except PySparkException as error:
+            if f"required column is NULL: {column}" not in str(error):
+                raise
+            refused.append(column)
+    return lake.insights.read().select(*METRIC_COLUMNS, stamp("updated_at"), F.lit(",".join(refused)).alias("refused"))
+
+
+def table_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows written with the columns they name; the table's defaults fill in the others.
+
+    Customers as accounts, and those in debt as entries of the error log.
+    """
+    lake = new_lake(spark)
+    customers = table(spark, sf, "customer")
+    lake.accounts.append(customers.select(text("c_custkey").alias("account_id"), F.col("c_mktsegment").alias("platform")), fr.EARLY_TS)
+    debts = customers.where("c_acctbal < 0")
+    lake.errors.append(debts.select(F.lit("balance").alias("proceso"), F.col("c_mktsegment").alias("platform"), text("c_custkey").alias("entidad_id")), fr.LATE_TS)
+    none = F.lit(None)
+    accounts = lake.accounts.read().select(
+        F.lit("account").alias("kind"), F.col("account_id").alias("id"), "platform", "activo", stamp("created_at"),
+        "extraction_status", none.cast("bigint").alias("intentos"), none.cast("boolean").alias("resuelto"), none.cast("boolean").alias("own_id"),
+    )
+    logged = lake.errors.read()
+    ids = logged.groupBy("error_id").agg(F.count("*").alias("n"))
+    errors = logged.join(ids, "error_id").select(
+        F.lit("error"), "entidad_id", "platform", none.cast("boolean"), stamp("fecha_ejecucion"), none.cast("string"), "intentos", "resuelto",
+        (F.col("n") == 1) & (F.length("error_id") == 36),
+    )
+    return accounts.union(errors)
+
+
 def interrupted_publish(spark: SparkSession, sf: str) -> DataFrame:
     """A writer that dies before its switch leaves the early rows; a later write of some days adds just those."""
     lake = new_lake(spark)
@@ -554,6 +608,9 @@ QUERIES = {
     "campaign_load": campaign_load,
     "load_ledger": load_ledger,
     "array_load": array_load,
+    "split_array_read": split_array_read,
+    "guarded_publish": guarded_publish,
+    "table_defaults": table_defaults,
     "interrupted_publish": interrupted_publish,
     "gold_increments": gold_increments,
     "failed_load": failed_load,

@@ -371,6 +371,18 @@ SELECT DISTINCT 'raw/meta/insights/' || account_id || '/2024-01-31/data.json' AS
   account_id AS entity_id, DATE '2024-01-31' AS fecha_archivo, 'completado' AS status,
   CAST(NULL AS VARCHAR) AS error_mensaje, '2024-01-31 06:00:00' AS fecha_carga FROM late""",
     "array_load": LOADED_INSIGHTS,
+    "split_array_read": f"""{DAILY}
+SELECT * EXCLUDE (row_hash) REPLACE ('all' AS account_id), DATE '2024-01-31' AS fecha_archivo FROM late""",
+    "guarded_publish": f"""{PULLS}
+SELECT * EXCLUDE (row_hash), '2024-01-20 06:00:00' AS updated_at,
+  'account_id,campaign_id,date_information,platform,row_hash' AS refused FROM early""",
+    "table_defaults": """
+SELECT 'account' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS platform, TRUE AS activo,
+  '2024-01-20 06:00:00' AS created_at, CAST(NULL AS VARCHAR) AS extraction_status, CAST(NULL AS BIGINT) AS intentos,
+  CAST(NULL AS BOOLEAN) AS resuelto, CAST(NULL AS BOOLEAN) AS own_id FROM customer
+UNION ALL
+SELECT 'error', CAST(c_custkey AS VARCHAR), c_mktsegment, NULL, '2024-01-31 06:00:00', NULL, 1, FALSE, TRUE
+FROM customer WHERE c_acctbal < 0""",
     "interrupted_publish": f"""{PULLS}
 SELECT * EXCLUDE (row_hash), '2024-01-20 06:00:00' AS updated_at FROM early WHERE date_information < DATE '2024-01-20'
 UNION ALL
