@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -99,30 +99,36 @@ def load_insights(lake: Lake, run_date: dt.date, run_ts: dt.datetime, **options)
     return load_files(lake, insight_load(), run_date, run_ts, **options)
 
 
-def due_files(
-    lake: Lake, job: LoadJob, run_date: dt.date, *, layout: str | None = None, same_day_only: bool = False
-) -> DataFrame:
-    """Files of the run date not loaded yet, plus unfinished ones of earlier days, of one layout or both.
+def listed_files(lake: Lake, job: LoadJob, days: Sequence[dt.date], layout: str | None = None) -> DataFrame:
+    """The raw files of some days, of the active platforms and of one layout or both.
 
-    The platforms and the days to look at are collected: a handful of names and
-    one value per day with an open file.
+    The platforms' names are collected: a handful.
     """
-    spark = lake.spark
     names = sorted((r[0] for r in active_platforms(lake.accounts.read(), job.platform).collect()), reverse=True)
     # spellings that differ in case share one folder
     platforms = sorted({name.lower(): name for name in names}.values())
-    retries = unfinished(lake.ledger.read_apart(), job.kind, run_date)
-    days = [run_date] if same_day_only else [*source_days(retries, "fecha_archivo"), run_date]
     listed = [
-        list_files(spark, [day_glob(lake.root, platform, job.kind, day, form) for day in days]).withColumns(
+        list_files(lake.spark, [day_glob(lake.root, platform, job.kind, day, form) for day in days]).withColumns(
             {"platform": F.lit(platform), "layout": F.lit(form)}
         )
         for platform in platforms
         for form in ([layout] if layout else LAYOUTS)
     ]
     if not listed:
-        listed = [list_files(spark, []).withColumns({"platform": F.lit(""), "layout": F.lit("")})]
-    files = reduce(DataFrame.unionByName, listed)
+        listed = [list_files(lake.spark, []).withColumns({"platform": F.lit(""), "layout": F.lit("")})]
+    return reduce(DataFrame.unionByName, listed)
+
+
+def due_files(
+    lake: Lake, job: LoadJob, run_date: dt.date, *, layout: str | None = None, same_day_only: bool = False
+) -> DataFrame:
+    """Files of the run date not loaded yet, plus unfinished ones of earlier days, of one layout or both.
+
+    The days to look at are collected: one value per day with an open file.
+    """
+    retries = unfinished(lake.ledger.read_apart(), job.kind, run_date)
+    days = [run_date] if same_day_only else [*source_days(retries, "fecha_archivo"), run_date]
+    files = listed_files(lake, job, days, layout)
     today = files.where(F.col("fecha_archivo") == F.lit(run_date))
     due = not_yet_loaded(today, lake.ledger.read([run_date]))
     if same_day_only:
@@ -144,7 +150,11 @@ def load_files(
 
     Files of both layouts are loaded unless one is named.
     """
-    due = due_files(lake, job, run_date, layout=layout, same_day_only=same_day_only)
+    return load_due(lake, job, due_files(lake, job, run_date, layout=layout, same_day_only=same_day_only), run_ts)
+
+
+def load_due(lake: Lake, job: LoadJob, due: DataFrame, run_ts: dt.datetime) -> LoadOutcome:
+    """Load the listed files, whatever the ledger says of them."""
     with staging(lake.spark) as stage:
         rows = stage.write_all(_rows_of(lake, job, stage.write(due, "due"), stage), "rows")
         return LoadOutcome() if rows is None else _apply(lake, job, rows, stage, run_ts)
