@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +23,8 @@ from stratafold.plans.lake import Lake, Staging, staging
 from stratafold.schemas import CAMPAIGN_FIELDS, CAMPAIGNS, INSIGHT_FIELDS, INSIGHTS, TableSpec
 from stratafold.sources.catalogue import active_platforms
 from stratafold.sources.array_split import read_split_items
-from stratafold.sources.raw_files import ARRAY, LAYOUTS, day_glob, list_files, read_items
+from stratafold.sources.listing import ARRAY, LAYOUTS, list_days
+from stratafold.sources.raw_files import read_items
 
 # Names of so many files at a time are given to the reader.
 FILES_AT_ONCE = 10_000
@@ -107,16 +107,7 @@ def listed_files(lake: Lake, job: LoadJob, days: Sequence[dt.date], layout: str
     names = sorted((r[0] for r in active_platforms(lake.accounts.read(), job.platform).collect()), reverse=True)
     # spellings that differ in case share one folder
     platforms = sorted({name.lower(): name for name in names}.values())
-    listed = [
-        list_files(lake.spark, [day_glob(lake.root, platform, job.kind, day, form) for day in days]).withColumns(
-            {"platform": F.lit(platform), "layout": F.lit(form)}
-        )
-        for platform in platforms
-        for form in ([layout] if layout else LAYOUTS)
-    ]
-    if not listed:
-        listed = [list_files(lake.spark, []).withColumns({"platform": F.lit(""), "layout": F.lit("")})]
-    return reduce(DataFrame.unionByName, listed)
+    return list_days(lake.spark, lake.root, job.kind, platforms, days, [layout] if layout else LAYOUTS)
 
 
 def due_files(

@@ -33,8 +33,9 @@ from stratafold.schemas import CAMPAIGN_FIELDS, INSIGHT_FIELDS, INSIGHTS
 from stratafold.session import scratch_path
 from stratafold.sources.array_split import read_split_items
 from stratafold.sources.catalogue import active_accounts, active_platforms
+from stratafold.sources.listing import LINES, day_glob
 from stratafold.sources.page_lots import flatten_pages, lot_outcomes
-from stratafold.sources.raw_files import LINES, day_glob, land_arrays, land_items, open_items, read_items
+from stratafold.sources.raw_files import land_arrays, land_items, open_items, read_items
 from stratafold.streaming.silver_stream import stream_files
 
 METRIC_COLUMNS = (

@@ -1,8 +1,7 @@
-"""The raw layer: listing a day's files, reading them, landing new ones."""
+"""The raw layer: reading files and landing new ones."""
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,37 +9,8 @@ from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
 from stratafold.functions import paths
-from stratafold.session import glob_matches
 from stratafold.sources.array_files import write_array_files
-
-# Two layouts of the same content. "array": one JSON array per file. "lines":
-# one JSON object per line and any number of part files, which Spark can split.
-LAYOUTS = ARRAY, LINES = "array", "lines"
-
-
-def day_glob(root: str, source: str, kind: str, day: dt.date | str, layout: str = ARRAY) -> str:
-    if layout == LINES:
-        return f"{root}/raw/source={source.lower()}/tipo={kind}/fecha={day}/id=*/*"
-    return f"{root}/raw/{source.lower()}/{kind}/*/{day}/{fv.RAW_FILE_NAME}"
-
-
-FILE_COLUMNS = "gcs_path string, file_path string, account_id string, fecha_archivo date, file_bytes bigint"
-
-
-def list_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
-    """Files under the globs with what their path says; contents are not read."""
-    found = [g for g in ([globs] if isinstance(globs, str) else globs) if glob_matches(spark, g)]
-    if not found:
-        return spark.createDataFrame([], FILE_COLUMNS)
-    listed = spark.read.format("binaryFile").load(found)
-    parts = F.col("parts")
-    return listed.select(paths.uri_parts(F.col("_metadata.file_path")).alias("parts"), "path", "length").select(
-        paths.file_key(parts).alias("gcs_path"),
-        F.col("path").alias("file_path"),
-        paths.part_account(parts).alias("account_id"),
-        paths.part_day(parts).alias("fecha_archivo"),
-        F.col("length").alias("file_bytes"),
-    )
+from stratafold.sources.listing import ARRAY, LINES
 
 
 def array_schema(fields: Mapping[str, str]) -> str:

@@ -21,7 +21,8 @@ from stratafold.operators.ledger import FILE_KEY
 from stratafold.operators.normalise import normaliser_for
 from stratafold.plans.lake import Lake, staging
 from stratafold.plans.silver_load import LoadJob, insight_load, listed_files, load_due, load_rows
-from stratafold.sources.raw_files import ARRAY, day_glob, read_items
+from stratafold.sources.listing import ARRAY, day_glob
+from stratafold.sources.raw_files import read_items
 from stratafold.streaming.ledger_source import FORMAT, FailedFiles
 
 

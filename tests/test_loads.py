@@ -10,7 +10,7 @@ from stratafold.plans.accounts import account_cycle
 from stratafold.plans.extraction import collect_insights, plan_extraction
 from stratafold.plans.gold import fact_with_dimension, refresh_dimension, refresh_gold
 from stratafold.plans.silver_load import load_campaigns, load_insights
-from stratafold.sources.raw_files import LINES
+from stratafold.sources.listing import LINES
 
 DAY, TS = dt.date(2026, 1, 10), dt.datetime(2026, 1, 10, 6)
 NEXT, NEXT_TS = dt.date(2026, 1, 11), dt.datetime(2026, 1, 11, 6)

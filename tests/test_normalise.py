@@ -7,7 +7,8 @@ import pytest
 
 from stratafold.operators.normalise import normalise_campaigns, normalise_insights
 from stratafold.schemas import CAMPAIGN_FIELDS, INSIGHT_FIELDS
-from stratafold.sources.raw_files import ARRAY, open_items
+from stratafold.sources.listing import ARRAY
+from stratafold.sources.raw_files import open_items
 
 UTC = dt.timezone.utc
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from stratafold.functions import paths
 from stratafold.operators.worklist import group_sizes, lots, with_lot
 from stratafold.sources.page_lots import flatten_pages, lot_outcomes, opened
-from stratafold.sources.raw_files import ARRAY, LINES, day_glob, land_items, list_files, read_items
+from stratafold.sources.listing import ARRAY, LINES, day_glob, list_files
+from stratafold.sources.raw_files import land_items, read_items
 
 
 def test_page_lots(spark):

@@ -13,7 +13,8 @@ from stratafold.operators.merge import merge
 from stratafold.operators.worklist import lots, work_list
 from stratafold.registry import frames, spark_queries
 from stratafold.schemas import FACT, INSIGHTS
-from stratafold.sources.raw_files import LINES, open_items
+from stratafold.sources.listing import LINES
+from stratafold.sources.raw_files import open_items
 from stratafold.operators.normalise import normalise_insights
 from stratafold.schemas import INSIGHT_FIELDS
 

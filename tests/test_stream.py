@@ -6,7 +6,7 @@ import json
 from stratafold.operators.ledger import account_days
 from stratafold.plans.lake import Lake
 from stratafold.plans.silver_load import campaign_load, load_insights
-from stratafold.sources.raw_files import LINES
+from stratafold.sources.listing import LINES
 from stratafold.streaming.silver_stream import stream_files
 
 DAY, TS = dt.date(2026, 1, 10), dt.datetime(2026, 1, 10, 6)
