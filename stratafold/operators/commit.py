@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratafold.operators.merge import INSERT, UPDATE, MergeRule, merge
-from stratafold.sources.tables import BUCKET, LakeTable, bucket_of, within_days
+from stratafold.sources.tables import BUCKET, CHANGED, LakeTable, bucket_of, within_days
 
 # A measured source within both bounds is broadcast instead of shuffled.
 MAX_BROADCAST_ROWS = 200_000
@@ -165,5 +165,7 @@ def _commit_days(
         touched = tuple(sorted({r[day] for r in counts if r["action"] in (UPDATE, INSERT)}))
     if touched:
         merged = merge(table.read(touched), within_days(source, day, touched), rule, broadcast_source=small)
+        if table.spec.feed:
+            merged = merged.withColumn(CHANGED, F.col("action").isin(UPDATE, INSERT))
         table.publish(merged.drop("action"), marks=marks)
     return Outcome(actions, touched)

@@ -27,19 +27,22 @@ def refresh_gold(
 ) -> Outcome:
     """Merge silver into the fact table.
 
-    Without ``days``, the days that silver has rewritten since the last refresh are
+    Without ``days``, the rows that silver has changed since the last refresh are
     taken: the fact table's manifest says up to which state of silver it goes, so a
-    day is not lost whichever job died before. ``days`` narrows the refresh to some
-    days and leaves that mark; ``everything`` compares all of silver.
+    change is not lost whichever job died before. Where a state between has been
+    vacuumed, the days that differ are taken whole. ``days`` narrows the refresh to
+    some days and leaves that mark; ``everything`` compares all of silver.
     """
     silver = lake.insights
     state = silver.manifest().number
     if days is not None:
         return commit(lake.fact, fact_rows(silver.read(days, number=state)), rules.changed_fact(run_ts))
     known = lake.fact.manifest().marks.get(SILVER)
+    changes = None
     if known is not None and not everything:
-        days = silver.days_changed_since(known)
-    source = fact_rows(silver.read(days, number=state))
+        changes = silver.changes_since(known, state)
+        days = silver.days_changed_since(known) if changes is None else None
+    source = fact_rows(silver.read(days, number=state) if changes is None else changes)
     return commit(lake.fact, source, rules.changed_fact(run_ts), marks={SILVER: state})
 
 

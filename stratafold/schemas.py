@@ -32,6 +32,8 @@ class TableSpec:
     day_of: str | None = None
     # condition of the rows that are kept a second time, apart, by partition
     apart: str | None = None
+    # key by which others take in the rows that each write has changed
+    feed: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -123,6 +125,7 @@ INSIGHTS = TableSpec(
     defaults=(("updated_at", DEFAULT_NOW),),
     partition="date_information",
     cluster=("account_id", "campaign_id"),
+    feed=("campaign_id", "date_information"),
 )
 
 FACT = TableSpec(

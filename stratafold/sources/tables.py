@@ -17,6 +17,7 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ FIRST_BUCKETS = 16
 BUCKET_ROWS = 500_000
 BUCKET = "lake_bucket"
 DAY = "lake_day"
+# Of a table with a feed, the rows that a write has changed lie in files of their own.
+CHANGED = "lake_changed"
 
 
 def bucket_of(keys: Iterable[str], count: int) -> Column:
@@ -146,11 +149,12 @@ class LakeTable:
         """The rows that the specification keeps apart, and no others are read."""
         return self._read([f for listed in self.manifest().apart.values() for f in listed])
 
-    def _read(self, chosen: list[str]) -> DataFrame:
+    def _read(self, chosen: list[str], *, changed: bool = False) -> DataFrame:
         if not chosen:
             return self.spark.createDataFrame([], self.spec.schema)
         reader = self.spark.read.schema(self.spec.schema).option("basePath", self._data)
-        return reader.parquet(*[f"{self._data}/{f}" for f in chosen]).select(*self.spec.columns)
+        rows = reader.parquet(*[f"{self._data}/{f}" for f in chosen])
+        return (rows.where(F.col(CHANGED) == "true") if changed else rows).select(*self.spec.columns)
 
     def days_changed_since(self, number: int) -> list[dt.date] | None:
         """The days whose folders differ from an earlier manifest's; None if that one is gone."""
@@ -160,10 +164,37 @@ class LakeTable:
         changed = {d for d in {*now.folders, *then.folders} if now.folders.get(d) != then.folders.get(d)}
         return sorted(dt.date.fromisoformat(d) for d in changed)
 
+    def changes_since(self, number: int, until: int) -> DataFrame | None:
+        """The rows that the writes after one manifest, up to another, have changed, as they are then.
+
+        Only files of changed rows are read. None if a manifest between is gone.
+        """
+        known = set(self._numbers())
+        if not set(range(max(number, 1), until + 1)) <= known:
+            return None
+        steps, before = [], self.manifest(number) if number else Manifest()
+        for k in range(number + 1, until + 1):
+            now = self.manifest(k)
+            fresh = [f for d, listed in now.folders.items() for f in listed if f not in before.folders.get(d, [])]
+            if fresh:
+                steps.append(self._read(fresh, changed=True).withColumn("lake_step", F.lit(k)))
+            before = now
+        if not steps:
+            return self._read([])
+        if len(steps) == 1:
+            return steps[0].drop("lake_step")
+        # a row changed twice as the later write left it
+        keys = list(self.spec.feed)
+        others = [c for c in self.spec.columns if c not in keys]
+        latest = reduce(DataFrame.unionByName, steps).groupBy(*keys).agg(F.max_by(F.struct(*others), "lake_step").alias("row"))
+        return latest.select(*keys, "row.*").select(*self.spec.columns)
+
     def _split(self, df: DataFrame, buckets: int) -> DataFrame:
         """The rows with the column that says in which folder each lies."""
         if self.spec.buckets:
             return df.withColumn(BUCKET, bucket_of(self.spec.buckets, buckets))
+        if self.spec.feed and CHANGED not in df.columns:
+            df = df.withColumn(CHANGED, F.lit(True))
         return df.withColumn(DAY, utc_date(F.col(self.spec.day_of))) if self.spec.day_of else df
 
     @property
@@ -174,7 +205,7 @@ class LakeTable:
         """Even files: folders share or split tasks by size, rows lie in cluster order."""
         by = [self._folder] if self._folder else list(self.spec.cluster)
         even = df.hint("rebalance", *by) if by else df
-        order = [*([self._folder] if self._folder else []), *self.spec.cluster]
+        order = [*([self._folder] if self._folder else []), *([CHANGED] if self.spec.feed else []), *self.spec.cluster]
         return even.sortWithinPartitions(*order) if order else even
 
     def _stage(self, df: DataFrame, buckets: int = FIRST_BUCKETS) -> dict[str, list[str]]:
@@ -184,7 +215,7 @@ class LakeTable:
         if self._folder is None:
             writer.parquet(f"{self._data}/{version}")
             return {WHOLE: [version]}
-        writer.partitionBy(self._folder).parquet(f"{self._data}/{version}")
+        writer.partitionBy(self._folder, *([CHANGED] if self.spec.feed else [])).parquet(f"{self._data}/{version}")
         prefix = f"{self._folder}="
         names = [n for n in list_names(self.spark, f"{self._data}/{version}") if n.startswith(prefix)]
         return {n.removeprefix(prefix): [f"{version}/{n}"] for n in names}
@@ -232,10 +263,12 @@ class LakeTable:
         """Replace the table, or just the partitions found in ``df``.
 
         ``df`` may read this very table: its folders stay. Rows without a day of a
-        partitioned table fail the write like any missing required column.
+        partitioned table fail the write like any missing required column. For a table
+        with a feed ``df`` may say which rows have changed; otherwise all have.
         """
         old = self.manifest()
-        checked = self._checked(df.select(*self.spec.columns))
+        told = [CHANGED] if self.spec.feed and CHANGED in df.columns else []
+        checked = self._checked(df.select(*self.spec.columns, *told))
         if self.spec.buckets:
             staged, rows, buckets = self._stage_grown(checked, old.buckets)
             return self._switch(old, staged, marks, buckets=buckets, rows=rows)
