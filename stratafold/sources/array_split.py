@@ -57,30 +57,33 @@ def _running(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return local.join(offsets, ["file", "block"]).withColumn(name, F.col(name) + F.col("offset")).drop("offset")
 
 
-def elements(parts: DataFrame) -> DataFrame:
+def elements(parts: DataFrame, stage: Staging) -> DataFrame:
     """file, number, ended, text: each element with the separator before it, and what follows the last.
 
-    A text too large to put together is NULL.
+    ``parts`` is a written table. The prefix sums run over its counts alone, each
+    written once; the texts are moved when it is known what belongs together. A text too
+    large to put together is NULL.
     """
-    quoted = _running(parts, "quotes_before", F.col("quotes"))
-    inside = F.col("quotes_before") % 2
+    place = ["file", "block", "at"]
+    counts = parts.select(*place, "quotes", "outer", "inner", (F.octet_length("value") + 1).cast("long").alias("bytes"))
+    quoted = stage.write(_running(counts, "quotes_before", F.col("quotes")), "quotes")
     # the brace that ends a segment counts unless it lies in a string
     closing = (F.col("quotes_before") + F.col("quotes")) % 2 == 0
-    change = F.when(inside == 0, F.col("outer")).otherwise(F.col("inner")) - closing.cast("long")
-    marked = quoted.select("file", "block", "at", "value", closing.alias("closing"), change.alias("change"))
-    deep = _running(marked, "depth", F.col("change"))
+    change = F.when(F.col("quotes_before") % 2 == 0, F.col("outer")).otherwise(F.col("inner")) - closing.cast("long")
+    marked = quoted.select(*place, "bytes", closing.alias("closing"), change.alias("change"))
+    deep = stage.write(_running(marked, "depth", F.col("change")), "depths")
     ends = (F.col("closing") & (F.col("depth") + F.col("change") == 1)).cast("long")
-    ended = deep.select("file", "block", "at", "value", ends.alias("ends"))
-    placed = _running(ended, "number", F.col("ends"))
-    sizes = placed.groupBy("file", "number").agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.max("ends").alias("ends"))
-    large = sizes.where(F.col("bytes") > MAX_ELEMENT)
-    small = placed.join(large.select("file", "number"), ["file", "number"], "left_anti")
+    ended = deep.select(*place, "bytes", ends.alias("ends"))
+    placed = stage.write(_running(ended, "number", F.col("ends")), "numbers")
+    sizes = placed.groupBy("file", "number").agg(F.sum("bytes").alias("bytes"), (F.max("ends") == 1).alias("ended"))
+    large = sizes.where(F.col("bytes") > MAX_ELEMENT).select("file", "number", "ended")
+    small = placed.join(large, ["file", "number"], "left_anti").join(parts.select(*place, "value"), place)
     joined = small.groupBy("file", "number").agg(
-        F.max("ends").alias("ends"), F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("parts")
+        (F.max("ends") == 1).alias("ended"), F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("parts")
     )
     text = F.array_join(F.col("parts")["value"], "}")
-    whole = joined.select("file", "number", (F.col("ends") == 1).alias("ended"), F.when(F.col("ends") == 1, F.concat(text, F.lit("}"))).otherwise(text).alias("text"))
-    return whole.unionByName(large.select("file", "number", (F.col("ends") == 1).alias("ended"), F.lit(None).cast("string").alias("text")))
+    whole = joined.select("file", "number", "ended", F.when(F.col("ended"), F.concat(text, F.lit("}"))).otherwise(text).alias("text"))
+    return whole.unionByName(large.withColumn("text", F.lit(None).cast("string")))
 
 
 def _judged(found: DataFrame, fields: Mapping[str, str]) -> DataFrame:
@@ -115,7 +118,7 @@ def read_split_items(spark: SparkSession, files: Sequence[str], fields: Mapping[
     A file fails for the same reasons, and for an element beyond ``MAX_ELEMENT``.
     """
     parts = stage.write(segments(spark, files), "segments")
-    judged = _judged(stage.write(elements(parts), "elements"), fields)
+    judged = _judged(stage.write(elements(parts, stage), "elements"), fields)
     # the first reason in the order in which a whole file is judged
     rank = F.when(F.col("fault") == NO_ARRAY, 0).when(F.col("fault") == TOO_LARGE, 1).when(F.col("fault") == MALFORMED, 2).when(F.col("fault").isNotNull(), 3)
     by_file = judged.groupBy("file").agg(
