@@ -34,9 +34,13 @@ class SourceSize:
 
 def text_size(source: DataFrame) -> Column:
     """Aggregate: bytes in all text columns. The other columns have a fixed width."""
-    texts = [f.name for f in source.schema.fields if isinstance(f.dataType, T.StringType)]
-    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts], F.lit(0))
-    return F.coalesce(F.sum(width), F.lit(0)).cast("bigint")
+    return F.coalesce(F.sum(text_bytes(source.schema)), F.lit(0)).cast("bigint")
+
+
+def text_bytes(schema: T.StructType) -> Column:
+    """Bytes in a row's text columns."""
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts], F.lit(0))
 
 
 def measure(source: DataFrame, day: str | None) -> SourceSize:

@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratafold import fixed_values as fv
 from stratafold.functions.paths import canonical_path, part, path_parts
-from stratafold.operators.normalise import good_rows
+from stratafold.operators.commit import text_bytes
+from stratafold.operators.normalise import BAD, GOOD
 
 FILE_KEY = ("gcs_path", "fecha_archivo")
 
@@ -30,33 +32,45 @@ def unfinished(ledger: DataFrame, kind: str, before: dt.date) -> DataFrame:
     )
 
 
-def file_outcomes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per file: good and bad rows, the error that fails it, its next status.
+def load_counters(schema: StructType) -> dict[str, Column]:
+    """What a load counts of its rows while it writes them: bad rows, and the bytes of text of the good ones.
+
+    ``schema``: the columns that good rows bring into a table.
+    """
+    width = text_bytes(schema) + F.octet_length("gcs_path")
+    return {"bad": F.count_if(F.expr(BAD)), "text": F.sum(F.when(F.expr(GOOD), width))}
+
+
+def file_outcomes(rows: DataFrame, keys: Sequence[str], day: str | None = None) -> DataFrame:
+    """Per file: its good rows and their days in column ``day``, the error that fails it, its next status.
 
     A file with two good rows for one key fails, since its merge would be
-    ambiguous; the other files go on.
+    ambiguous; the other files go on. The rows are read once: rows of one key are
+    counted where they lie, then keys are summed up by file. Rows without a good
+    item share one empty key per file and shrink before the shuffle.
     """
-    good = F.col("has_item") & F.col("row_error").isNull()
-    base = rows.groupBy(*FILE_KEY, "account_id", "platform").agg(
-        F.count_if(good).alias("n_good"),
-        F.count_if(F.col("has_item") & F.col("row_error").isNotNull()).alias("n_bad"),
-        F.min("file_error").alias("file_error"),
-    )
-    repeated = (
-        good_rows(rows)
-        .groupBy("gcs_path", *keys)
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-        .select("gcs_path")
-        .distinct()
-        .withColumn("repeats", F.lit(True))
+    if day and day not in keys:
+        raise ValueError(f"the key {keys} does not hold the day {day}")
+    good = F.expr(GOOD)
+    names = {k: f"key_{i}" for i, k in enumerate(keys)}
+    per_file = (
+        rows.select(
+            *FILE_KEY, "account_id", "platform", "file_error", good.alias("good"),
+            *[F.when(good, F.col(k)).alias(name) for k, name in names.items()],
+        )
+        .groupBy(*FILE_KEY, "account_id", "platform", *names.values())
+        .agg(F.count_if("good").alias("n"), F.min("file_error").alias("file_error"))
+        .groupBy(*FILE_KEY, "account_id", "platform")
+        .agg(
+            F.sum("n").alias("n_good"), F.max("n").alias("most"), F.min("file_error").alias("file_error"),
+            F.collect_set(names[day] if day else F.lit(None).cast("date")).alias("days"),
+        )
     )
-    error = F.coalesce("file_error", F.when(F.col("repeats"), F.lit("more than one row for a key")))
+    error = F.coalesce("file_error", F.when(F.col("most") > 1, F.lit("more than one row for a key")))
     return (
-        base.join(repeated, "gcs_path", "left")
-        .withColumn("error", error)
+        per_file.withColumn("error", error)
         .withColumn("status", F.when(F.col("error").isNull(), fv.LEDGER_DONE).otherwise(fv.LEDGER_FAILED))
-        .drop("file_error", "repeats")
+        .drop("file_error", "most")
     )
 
 

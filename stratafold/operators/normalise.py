@@ -29,6 +29,8 @@ HASHED = (
     "account_id", "campaign_id", "impressions", "clicks", "spend", "date_information",
     "purchases", "value_purchases", "platform",
 )
+GOOD = "has_item AND row_error IS NULL"
+BAD = "has_item AND row_error IS NOT NULL"
 TRAIL = ("gcs_path", "fecha_archivo", "item_id", "row_error", "file_error", "has_item")
 
 
@@ -128,8 +130,8 @@ def fail_unsupported(files: DataFrame, spec: TableSpec, *left_out: str) -> DataF
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
-    return rows.where("has_item AND row_error IS NULL")
+    return rows.where(GOOD)
 
 
 def bad_rows(rows: DataFrame) -> DataFrame:
-    return rows.where("has_item AND row_error IS NOT NULL")
+    return rows.where(BAD)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from stratafold import schemas
 from stratafold.session import delete_path, scratch_path
@@ -78,12 +78,28 @@ class Staging:
 
     def write_all(self, frames: Iterable[DataFrame], label: str) -> DataFrame | None:
         """Frames of one schema as one table, one written after the other; None if there are none."""
+        return self.write_counted(frames, label, {})[0]
+
+    def write_counted(
+        self, frames: Iterable[DataFrame], label: str, counters: Mapping[str, Column]
+    ) -> tuple[DataFrame | None, dict[str, int]]:
+        """The same table, and counters that the write itself has observed, summed over the frames.
+
+        ``counters``: aggregates that add up, over all rows. They are taken above the last
+        shuffle, where Spark counts every partition once however often a task is repeated.
+        """
         path, schema = scratch_path(self.spark, label), None
         self.paths.append(path)
+        totals = dict.fromkeys(counters, 0)
         for df in frames:
-            df.write.mode("append").parquet(path)
             schema = df.schema
-        return self.spark.read.schema(schema).parquet(path) if schema else None
+            if not counters:
+                df.write.mode("append").parquet(path)
+                continue
+            seen = Observation()
+            df.observe(seen, *[c.alias(name) for name, c in counters.items()]).write.mode("append").parquet(path)
+            totals = {name: n + (seen.get[name] or 0) for name, n in totals.items()}
+        return (self.spark.read.schema(schema).parquet(path) if schema else None), totals
 
     def drop(self) -> None:
         while self.paths:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,7 @@ from stratafold.operators import rules
 from stratafold.operators.casts import cast_to
 from stratafold.operators.commit import Outcome, SourceSize, commit, source_days, text_size
 from stratafold.operators.error_log import account_errors, log_once
-from stratafold.operators.ledger import FILE_KEY, file_outcomes, not_yet_loaded, unfinished
+from stratafold.operators.ledger import FILE_KEY, file_outcomes, load_counters, not_yet_loaded, unfinished
 from stratafold.operators.merge import LATEST, MergeRule
 from stratafold.operators.normalise import (
     Normaliser, bad_rows, fail_unsupported, good_rows, normalise_campaigns, normalise_insights, normaliser_for,
@@ -147,8 +147,7 @@ def load_files(
 def load_due(lake: Lake, job: LoadJob, due: DataFrame, run_ts: dt.datetime) -> LoadOutcome:
     """Load the listed files, whatever the ledger says of them."""
     with staging(lake.spark) as stage:
-        rows = stage.write_all(_rows_of(lake, job, stage.write(due, "due"), stage), "rows")
-        return LoadOutcome() if rows is None else _apply(lake, job, rows, stage, run_ts)
+        return _apply(lake, job, _rows_of(lake, job, stage.write(due, "due"), stage), stage, run_ts)
 
 
 def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, stage: Staging) -> Iterator[DataFrame]:
@@ -189,15 +188,21 @@ def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, run_ts: dt.datetime) ->
     with staging(lake.spark) as stage:
         dated = rows.where(F.col("fecha_archivo").isNotNull())
         fresh = not_yet_loaded(dated, lake.ledger.read(source_days(dated, "fecha_archivo")))
-        return _apply(lake, job, stage.write(fresh, "rows"), stage, run_ts)
+        return _apply(lake, job, [fresh], stage, run_ts)
 
 
-def _apply(lake: Lake, job: LoadJob, rows: DataFrame, stage: Staging, run_ts: dt.datetime) -> LoadOutcome:
-    """Data first, ledger last: a run that dies in between is simply repeated."""
-    outcomes = stage.write(file_outcomes(rows, job.keys), "outcomes")
+def _apply(lake: Lake, job: LoadJob, frames: Iterable[DataFrame], stage: Staging, run_ts: dt.datetime) -> LoadOutcome:
+    """Data first, ledger last: a run that dies in between is simply repeated.
+
+    The rows are counted while they are written and read once for their files'
+    outcomes; the upsert and the log read what is left to do for them.
+    """
+    rows, counted = stage.write_counted(frames, "rows", load_counters(job.spec.schema))
+    if rows is None:
+        return LoadOutcome()
+    outcomes = stage.write(file_outcomes(rows, job.keys, job.spec.partition), "outcomes")
     totals = outcomes.groupBy("fecha_archivo", "status").agg(
-        F.count("*").alias("files"), F.sum("n_bad").alias("bad"), F.sum("n_good").alias("good"),
-        text_size(outcomes).alias("text"),
+        F.count("*").alias("files"), F.sum("n_good").alias("good"), text_size(outcomes).alias("text")
     ).collect()
     if not totals:
         return LoadOutcome()
@@ -212,20 +217,29 @@ def _apply(lake: Lake, job: LoadJob, rows: DataFrame, stage: Staging, run_ts: dt
 
     failed = outcomes.where(F.col("error").isNotNull())
     upsert = Outcome()
-    if sum(r["good"] for r in totals):
+    loaded = sum(r["good"] for r in totals if r["status"] == fv.LEDGER_DONE)
+    if loaded:
         loadable = good_rows(rows)
         if fv.LEDGER_FAILED in files:
             loadable = loadable.join(failed.select("gcs_path"), "gcs_path", "left_anti")
         source = cast_to(loadable, job.spec, job.stamp, extra=FILE_ORDER)
-        upsert = commit(lake.table(job.spec), source, job.rule(run_ts))
+        # the text of failed files is counted too: a bound, on the safe side of a broadcast
+        within = SourceSize(loaded, counted["text"], _loaded_days(outcomes))
+        upsert = commit(lake.table(job.spec), source, job.rule(run_ts), size=within)
 
-    if fv.LEDGER_FAILED in files or sum(r["bad"] for r in totals):
+    if fv.LEDGER_FAILED in files or counted["bad"]:
         log_once(lake.errors, _errors(job, rows, failed), run_ts)
     finished = outcomes.select(*FILE_KEY, "status", "error")
     commit(lake.ledger, finished, rules.finished_load(), compare=False, size=size)
     return LoadOutcome(files, upsert)
 
 
+def _loaded_days(outcomes: DataFrame) -> tuple[dt.date, ...]:
+    """The days with a row to load: one value per day."""
+    done = outcomes.where(F.col("status") == fv.LEDGER_DONE)
+    return tuple(source_days(done.select(F.explode("days").alias("day")), "day"))
+
+
 def _errors(job: LoadJob, rows: DataFrame, failed: DataFrame) -> DataFrame:
     file = F.col("gcs_path")
     per_file = account_errors(failed, job.process, "FileError", F.col("error"), file=file)
