@@ -214,6 +214,11 @@ class Index:
         """What one occurrence of each word adds to the product with each item's part, through the latent space."""
         return (self.idf[:, None] * self.basis @ self.latent.T).astype(np.float32)
 
+    @cached_property
+    def most(self) -> np.ndarray:
+        """The largest of a word's shares, 0 if it adds to no product; a little more, against rounding."""
+        return self.shares.max(axis=1, initial=0.0).astype(float) * (1 + 1e-5)
+
 
 def fit(docs: DataFrame, items: list[Item], rule: LeakRule) -> Index:
     spark = docs.sparkSession
@@ -259,8 +264,9 @@ def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple
     inside = rows >= 0
     square = np.where(inside, index.idf[np.where(inside, rows, 0)] ** 2, 0.0)
     whole = np.where(inside, square, index.unknown**2)
+    bound = np.where(inside, index.most[np.where(inside, rows, 0)], 0.0)
     cells = np.arange(0, len(words), rule.step)
-    sums = [np.concatenate([[0.0], np.cumsum(np.add.reduceat(v, cells))]) for v in (square, whole)]
+    sums = [np.concatenate([[0.0], np.cumsum(np.add.reduceat(v, cells))]) for v in (square, whole, bound)]
     block, margin = WORDS_AT_ONCE // rule.step, max(rule.spans) // rule.step
     for low in range(0, len(cells), block):
         high = min(len(cells), low + block)
@@ -269,9 +275,10 @@ def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple
             per = span // rule.step
             first = np.arange(low, min(high, max(1, len(cells) - per + 1)))
             last = np.minimum(first + per, len(cells))
-            inner, total = (s[last] - s[first] for s in sums)
-            # by Cauchy and Schwarz no cosine exceeds the share of the norm that lies in known words
-            good = inner >= rule.cosine**2 * total
+            inner, total, most = (s[last] - s[first] for s in sums)
+            # by Cauchy and Schwarz no cosine exceeds the share of the norm that lies in known words,
+            # and no product with one item the sum of every word's largest share
+            good = (inner >= rule.cosine**2 * total) & (most + 1e-6 >= rule.cosine * np.sqrt(total))
             chosen.append((span, first[good], last[good], total[good]))
         if not any(len(first) for _, first, _, _ in chosen):
             continue
