@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.llm.shared import Stages, column, small_batches
@@ -107,6 +107,12 @@ class Lookup:
         return rows
 
 
+def plain_lowered(text: Column) -> Column:
+    """What ``lowered`` gives; texts of ASCII alone hold nothing that it sets apart."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.when(F.octet_length(whole) == F.char_length(whole), F.lower(whole).cast("binary")).otherwise(lowered(whole))
+
+
 def document_frequencies(docs: DataFrame, known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
     """In how many documents each known word stands, over all documents, and their number."""
     spark = docs.sparkSession
@@ -125,7 +131,7 @@ def document_frequencies(docs: DataFrame, known: np.ndarray, rule: LeakRule) ->
         words, numbers = np.append(some, -1), np.append(counts[some], total)
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(numbers, pa.int64())], ["word", "n"])
 
-    rows = docs.select(lowered(F.col("text")).alias("text")).mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(plain_lowered(F.col("text")).alias("text")).mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     out, total = np.zeros(len(known), np.int64), 0
     for r in rows:  # one per word of the items' block
         if r["word"] < 0:
@@ -380,7 +386,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule | None = None) -
                 arrays = zip(*rows) if rows else ([] for _ in names)
                 yield pa.RecordBatch.from_arrays([pa.array(list(a), k) for a, k in zip(arrays, kinds)], names)
 
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered(F.col("text")).alias("text"))
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_lowered(F.col("text")).alias("text"))
         out = out.unionByName(texts.mapInArrow(searched, schema))
     return out
 
@@ -399,5 +405,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rule: LeakRule | No
         def clean(texts: pd.Series) -> pd.Series:
             return pd.Series([not find_leaks(t, index.value, rule) for t in texts], dtype=bool)
 
-        kept = kept.where(clean(lowered(F.col("text"))))
+        kept = kept.where(clean(plain_lowered(F.col("text"))))
     return kept
