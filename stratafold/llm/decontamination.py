@@ -113,25 +113,39 @@ def plain_lowered(text: Column) -> Column:
     return F.when(F.octet_length(whole) == F.char_length(whole), F.lower(whole).cast("binary")).otherwise(lowered(whole))
 
 
-def document_frequencies(docs: DataFrame, known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
+def word_rows(docs: DataFrame) -> DataFrame:
+    """doc_id and the hashes of all words of each text, in their order, eight bytes a word."""
+    small_batches(docs.sparkSession)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = pa.array([word_hashes(t)[0].tobytes() for t in column(batch, "text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), words], ["doc_id", "words"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_lowered(F.col("text")).alias("text"))
+    return texts.mapInArrow(split, "doc_id long, words binary")
+
+
+def document_frequencies(words: DataFrame, known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
     """In how many documents each known word stands, over all documents, and their number."""
-    spark = docs.sparkSession
-    small_batches(spark)
+    spark = words.sparkSession
     lookup = spark.sparkContext.broadcast(Lookup(known, rule.tables))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = lookup.value, 0
         counts = np.zeros(len(own.known), np.int64)
         for batch in batches:
-            for text in column(batch, "text"):
-                rows = own.rows(word_hashes(text)[0])
-                counts[np.unique(rows[rows >= 0])] += 1
+            for data in column(batch, "words"):
+                rows = own.rows(np.frombuffer(data, np.uint64))
+                here = np.zeros(len(counts), bool)
+                here[rows[rows >= 0]] = True
+                counts += here
                 total += 1
         some = np.flatnonzero(counts)
-        words, numbers = np.append(some, -1), np.append(counts[some], total)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(numbers, pa.int64())], ["word", "n"])
+        numbers = np.append(counts[some], total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()), pa.array(numbers, pa.int64())], ["word", "n"])
 
-    rows = docs.select(plain_lowered(F.col("text")).alias("text")).mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = words.select("words").mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     out, total = np.zeros(len(known), np.int64), 0
     for r in rows:  # one per word of the items' block
         if r["word"] < 0:
@@ -226,11 +240,12 @@ class Index:
         return self.shares.max(axis=1, initial=0.0).astype(float) * (1 + 1e-5)
 
 
-def fit(docs: DataFrame, items: list[Item], rule: LeakRule) -> Index:
+def fit(docs: DataFrame, items: list[Item], rule: LeakRule, words: DataFrame | None = None) -> Index:
+    """``words``: the documents' ``word_rows``, if they have been written."""
     spark = docs.sparkSession
     known = np.unique(np.concatenate([i.words for i in items])) if items else np.empty(0, np.uint64)
     lookup = Lookup(known, rule.tables)
-    seen, total = document_frequencies(docs, known, rule)
+    seen, total = document_frequencies(word_rows(docs) if words is None else words, known, rule)
     idf = np.log((1 + total) / (1 + seen)) + 0.1
     unknown = math.log(1 + total) + 0.1
     parts, owner = cut_items(items, rule)
@@ -313,7 +328,11 @@ def _passages(words: np.ndarray, index: Index, rule: LeakRule) -> Iterator[tuple
 
 def find_leaks(data: bytes, index: Index, rule: LeakRule) -> list[tuple[int, float, float, float]]:
     """(item_id, cosine, share of the item in order, share of the answer) of items found in a lower-cased text."""
-    words = word_hashes(data)[0]
+    return find_in_words(word_hashes(data)[0], index, rule)
+
+
+def find_in_words(words: np.ndarray, index: Index, rule: LeakRule) -> list[tuple[int, float, float, float]]:
+    """The same for a text's word hashes."""
     if not len(words):
         return []
     candidates: dict[int, list[tuple[int, int, float]]] = {}
@@ -367,7 +386,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule | None = None) -
     Empty and null texts hold nothing; items without a word or an id are not looked
     for, and an empty benchmark finds nothing. Repeated documents are each searched;
     a repeated item counts once, items of equal text are all reported. Rows of
-    documents without an id are reported with a null.
+    documents without an id are reported with a null. Texts are split once, into a
+    written table of word hashes that every block of items reads.
     """
     rule = rule or LeakRule()
     spark = docs.sparkSession
@@ -377,17 +397,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule | None = None) -
     names = ["doc_id", "item_id", "cosine", "in_order", "answer"]
     out = spark.createDataFrame([], schema)
     small_batches(spark)
+    words = None
     for items in _blocks(benchmark, rule, stages):
-        index = spark.sparkContext.broadcast(fit(docs, items, rule))
+        words = stages.write(word_rows(docs), "words") if words is None else words
+        index = spark.sparkContext.broadcast(fit(docs, items, rule, words))
 
         def searched(batches: Iterator[pa.RecordBatch], index: Broadcast = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(d, *hit) for d, t in zip(column(batch, "doc_id"), column(batch, "text")) for hit in find_leaks(t, index.value, rule)]
+                texts = [np.frombuffer(w, np.uint64) for w in column(batch, "words")]
+                rows = [(d, *hit) for d, t in zip(column(batch, "doc_id"), texts) for hit in find_in_words(t, index.value, rule)]
                 arrays = zip(*rows) if rows else ([] for _ in names)
                 yield pa.RecordBatch.from_arrays([pa.array(list(a), k) for a, k in zip(arrays, kinds)], names)
 
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_lowered(F.col("text")).alias("text"))
-        out = out.unionByName(texts.mapInArrow(searched, schema))
+        out = out.unionByName(words.mapInArrow(searched, schema))
     return out
 
 
