@@ -247,20 +247,29 @@ def suffix_order(data: np.ndarray, left: np.ndarray, number: np.ndarray) -> tupl
     # an end sorts before any byte, ends of equal rests by number
     ends = int(number.max(initial=0)) + 1
     tail = np.where(left < 8, left * ends + number, 8 * ends)
-    order = np.lexsort((tail, words))
+    order = np.argsort(words)
+    # of equal words only those near an end have an order yet
+    alike = words[order[1:]] == words[order[:-1]]
+    group = np.cumsum(np.concatenate([[True], ~alike])) - 1
+    near = np.bincount(group, weights=left[order] < 8) > 0
+    again = np.flatnonzero(near[group])
+    some = order[again]
+    order[again] = some[np.lexsort((tail[some], words[some]))]
     new = np.ones(size, bool)
     new[1:] = (words[order[1:]] != words[order[:-1]]) | (tail[order[1:]] != tail[order[:-1]])
     rank = np.empty(size, np.int64)
     rank[order] = np.cumsum(new)
     ranks, width = [(8, rank)], 8
     while rank[order[-1]] < size:
-        further = np.zeros(size, np.int64)
-        further[: size - width] = rank[width:]
-        further[left <= width] = (number - ends)[left <= width]
-        key = rank * (size + ends + 1) + further
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new[1:] = sorted_key[1:] != sorted_key[:-1]
+        # suffixes that are alone with their rank have found their place
+        alone = new & np.append(new[1:], True)
+        open_at = np.flatnonzero(~alone)
+        some = order[open_at]
+        further = np.where(left[some] > width, rank[np.minimum(some + width, size - 1)], number[some] - ends)
+        key = rank[some] * (size + ends + 1) + further
+        by = np.argsort(key)
+        order[open_at], key = some[by], key[by]
+        new[open_at[1:]] = key[1:] != key[:-1]
         rank = np.empty(size, np.int64)
         rank[order] = np.cumsum(new)
         width *= 2
@@ -326,15 +335,12 @@ def _stretches(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _resolve(contexts: DataFrame, rule: RepeatRule) -> DataFrame:
     """Stretches (doc, at, length) of the contexts' windows that also start earlier, anchor by anchor."""
 
-    def indexed(rows: list[dict]) -> pa.RecordBatch:
-        rows.sort(key=lambda r: (r["anchor"], r["doc"], r["at"] >> 32))
+    def indexed(parts: list[bytes], docs: np.ndarray, ats: np.ndarray) -> pa.RecordBatch:
         # one collection for all anchors: equal windows of different anchors are equal too
-        parts = [r["data"] for r in rows]
         sizes = np.array([len(p) for p in parts])
-        owner = np.repeat(np.arange(len(rows)), sizes)
+        owner = np.repeat(np.arange(len(parts)), sizes)
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        doc = np.array([r["doc"] for r in rows], np.int64)[owner]
-        place = np.array([r["at"] >> 32 for r in rows], np.int64)[owner] + inner
+        doc, place = docs[owner], (ats >> 32)[owner] + inner
         by = np.lexsort((place, doc))
         fresh = np.ones(len(by), bool)
         fresh[1:] = (doc[by[1:]] != doc[by[:-1]]) | (place[by[1:]] != place[by[:-1]])
@@ -342,22 +348,30 @@ def _resolve(contexts: DataFrame, rule: RepeatRule) -> DataFrame:
         keys[by] = np.cumsum(fresh)
         begins, stops = _stretches(repeated_windows(parts, keys, rule.least))
         # the last windows of a context start before its end, so no stretch runs into the next
-        marks = np.array([r["at"] & 0xFFFFFFFF for r in rows], np.int64)[owner]
-        at = place[begins] << 32 | marks[begins]
+        at = place[begins] << 32 | (ats & 0xFFFFFFFF)[owner[begins]]
         return _interval_batch(doc[begins], at, stops - begins + rule.least - 1)
 
     def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
+        """Contexts in lots of whole anchors; an anchor's rows stand together."""
+        parts, docs, ats, size, last = [], [], [], 0, None
         for batch in batches:
-            for row in batch.to_pylist():
-                if size >= rule.index_bytes and row["anchor"] != last:
-                    yield indexed(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row["data"])
-                last = row["anchor"]
-        if held:
-            yield indexed(held)
+            anchor, doc, at = (batch.column(n).to_numpy() for n in ("anchor", "doc", "at"))
+            data = column(batch, "data")
+            if not data:
+                continue
+            begin = 0
+            for end in [*(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist(), len(data)]:
+                if size >= rule.index_bytes and anchor[begin] != last:
+                    yield indexed(parts, np.concatenate(docs), np.concatenate(ats))
+                    parts, docs, ats, size = [], [], [], 0
+                last = anchor[begin]
+                parts += data[begin:end]
+                docs.append(doc[begin:end])
+                ats.append(at[begin:end])
+                size += sum(map(len, data[begin:end]))
+                begin = end
+        if parts:
+            yield indexed(parts, np.concatenate(docs), np.concatenate(ats))
 
     rows = contexts.select("anchor", "doc", "at", "data").repartition("anchor").sortWithinPartitions("anchor")
     return rows.mapInArrow(resolved, "doc long, at long, length int")
@@ -392,18 +406,25 @@ def _contexts(docs: DataFrame, open_anchors: DataFrame, rule: RepeatRule) -> Dat
     joined = docs.join(listed.hint("shuffle_hash"), ["doc", "mark"]).select("doc", "mark", "data", "places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["anchor", "hot", "doc", "at", "data"]
         for batch in batches:
-            for row in batch.to_pylist():
-                rows = {"anchor": [], "hot": [], "doc": [], "at": [], "data": []}
-                for p in row["places"]:
-                    begin = max(0, p["place"] - rule.reach)
-                    rows["anchor"].append(p["anchor"])
-                    rows["hot"].append(p["hot"])
-                    rows["doc"].append(row["doc"])
-                    rows["at"].append(begin << 32 | row["mark"])
-                    rows["data"].append(row["data"][begin : p["place"] + rule.least])
-                kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], list(rows))
+            lists = batch.column("places")
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            flat = lists.flatten()
+            anchor, hot, place = (flat.field(n) for n in ("anchor", "hot", "place"))
+            begins = np.maximum(0, place.to_numpy() - rule.reach)
+            stops = (place.to_numpy() + rule.least).tolist()
+            first = 0
+            # a document at a time, so that a batch of long ones stays small
+            for doc, mark, data, last in zip(column(batch, "doc"), column(batch, "mark"), column(batch, "data"), ends.tolist()):
+                some = begins[first:last]
+                parts = [data[low:high] for low, high in zip(some.tolist(), stops[first:last])]
+                arrays = [
+                    anchor.slice(first, last - first), hot.slice(first, last - first), pa.array(np.full(len(some), doc), pa.int64()),
+                    pa.array(some << 32 | mark, pa.int64()), pa.array(parts, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+                first = last
 
     return joined.mapInArrow(cut, "anchor long, hot boolean, doc long, at long, data binary")
 
