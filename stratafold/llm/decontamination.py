@@ -12,7 +12,7 @@ Items are worked on in blocks of bounded size, each a pass over the documents.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -126,17 +126,29 @@ def word_rows(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(split, "doc_id long, words binary")
 
 
-def document_frequencies(words: DataFrame, known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
+def document_frequencies(docs: DataFrame, known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
     """In how many documents each known word stands, over all documents, and their number."""
-    spark = words.sparkSession
+    small_batches(docs.sparkSession)
+    texts = docs.select(lowered(F.col("text")).alias("text"))
+    return _frequencies(texts, lambda text: word_hashes(text)[0], known, rule)
+
+
+def hashed_frequencies(words: DataFrame, known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
+    """The same from ``word_rows``."""
+    return _frequencies(words.select("words"), lambda data: np.frombuffer(data, np.uint64), known, rule)
+
+
+def _frequencies(frame: DataFrame, read: Callable[[bytes], np.ndarray], known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
+    spark = frame.sparkSession
+    name = frame.columns[0]
     lookup = spark.sparkContext.broadcast(Lookup(known, rule.tables))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = lookup.value, 0
         counts = np.zeros(len(own.known), np.int64)
         for batch in batches:
-            for data in column(batch, "words"):
-                rows = own.rows(np.frombuffer(data, np.uint64))
+            for data in column(batch, name):
+                rows = own.rows(read(data))
                 here = np.zeros(len(counts), bool)
                 here[rows[rows >= 0]] = True
                 counts += here
@@ -145,7 +157,7 @@ def document_frequencies(words: DataFrame, known: np.ndarray, rule: LeakRule) ->
         numbers = np.append(counts[some], total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()), pa.array(numbers, pa.int64())], ["word", "n"])
 
-    rows = words.select("words").mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = frame.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     out, total = np.zeros(len(known), np.int64), 0
     for r in rows:  # one per word of the items' block
         if r["word"] < 0:
@@ -245,7 +257,7 @@ def fit(docs: DataFrame, items: list[Item], rule: LeakRule, words: DataFrame | N
     spark = docs.sparkSession
     known = np.unique(np.concatenate([i.words for i in items])) if items else np.empty(0, np.uint64)
     lookup = Lookup(known, rule.tables)
-    seen, total = document_frequencies(word_rows(docs) if words is None else words, known, rule)
+    seen, total = hashed_frequencies(word_rows(docs) if words is None else words, known, rule)
     idf = np.log((1 + total) / (1 + seen)) + 0.1
     unknown = math.log(1 + total) + 0.1
     parts, owner = cut_items(items, rule)
