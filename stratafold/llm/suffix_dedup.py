@@ -257,8 +257,9 @@ def suffix_order(data: np.ndarray, left: np.ndarray, number: np.ndarray) -> tupl
     order[again] = some[np.lexsort((tail[some], words[some]))]
     new = np.ones(size, bool)
     new[1:] = (words[order[1:]] != words[order[:-1]]) | (tail[order[1:]] != tail[order[:-1]])
-    rank = np.empty(size, np.int64)
-    rank[order] = np.cumsum(new)
+    order = order.astype(np.int32)
+    rank = np.empty(size, np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32)
     ranks, width = [(8, rank)], 8
     while rank[order[-1]] < size:
         # suffixes that are alone with their rank have found their place
@@ -266,12 +267,12 @@ def suffix_order(data: np.ndarray, left: np.ndarray, number: np.ndarray) -> tupl
         open_at = np.flatnonzero(~alone)
         some = order[open_at]
         further = np.where(left[some] > width, rank[np.minimum(some + width, size - 1)], number[some] - ends)
-        key = rank[some] * (size + ends + 1) + further
+        key = rank[some].astype(np.int64) * (size + ends + 1) + further
         by = np.argsort(key)
         order[open_at], key = some[by], key[by]
         new[open_at[1:]] = key[1:] != key[:-1]
-        rank = np.empty(size, np.int64)
-        rank[order] = np.cumsum(new)
+        rank = np.empty(size, np.int32)
+        rank[order] = np.cumsum(new, dtype=np.int32)
         width *= 2
         ranks.append((width, rank))
     return order, ranks
@@ -320,10 +321,9 @@ def repeated_windows(contexts: list[bytes], keys: np.ndarray, least: int) -> np.
     if not len(starts) or starts[0] != 0:
         starts = np.concatenate([[0], starts])
     earliest = np.minimum.reduceat(keys[order], starts)
-    group = np.searchsorted(starts, np.arange(len(order)), side="right") - 1
     out = np.zeros(len(data), bool)
     valid = left[order] >= least
-    out[order] = valid & (keys[order] > earliest[group])
+    out[order] = valid & (keys[order] > np.repeat(earliest, np.diff(starts, append=len(order))))
     return out
 
 
@@ -341,11 +341,8 @@ def _resolve(contexts: DataFrame, rule: RepeatRule) -> DataFrame:
         owner = np.repeat(np.arange(len(parts)), sizes)
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         doc, place = docs[owner], (ats >> 32)[owner] + inner
-        by = np.lexsort((place, doc))
-        fresh = np.ones(len(by), bool)
-        fresh[1:] = (doc[by[1:]] != doc[by[:-1]]) | (place[by[1:]] != place[by[:-1]])
-        keys = np.empty(len(by), np.int64)
-        keys[by] = np.cumsum(fresh)
+        # the order of (document, place): numbers of the documents, which leave room for every place
+        keys = np.unique(docs, return_inverse=True)[1][owner] * (int(place.max(initial=0)) + 1) + place
         begins, stops = _stretches(repeated_windows(parts, keys, rule.least))
         # the last windows of a context start before its end, so no stretch runs into the next
         at = place[begins] << 32 | (ats & 0xFFFFFFFF)[owner[begins]]
