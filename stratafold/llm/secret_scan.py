@@ -2,14 +2,17 @@
 
 All of it is DataFrame code. Positions come from the texts between the matches
 (``split``) and the matches themselves (``regexp_extract_all``): their lengths
-in code points add up to the starts.
+in code points add up to the starts, block by block, so that the work is in
+proportion to the text however many matches it has.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,11 @@ ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 )
 MICRO = 1_000_000
+# The characters of candidates.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+# Arrays and texts are gone through in blocks of so many entries, candidates in blocks of so many windows.
+RUN = 64
+WINDOWS = 1024
 
 
 @dataclass(frozen=True)
@@ -55,6 +63,36 @@ class EntropyRule:
         return round(self.window * (math.log2(self.window) - bits) * MICRO)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """What ``join`` makes of 0 and all values before each one.
+
+    An array that grows by one value is copied each time, so it grows within short
+    blocks, and once more over the blocks.
+    """
+    empty = F.expr("CAST(array() AS array<int>)")
+
+    def listed(some: Column, start: Column) -> Column:
+        step = lambda s, x: F.struct(join(s["at"], x).alias("at"), F.concat(s["found"], F.array(s["at"])).alias("found"))
+        return F.aggregate(some, F.struct(start.alias("at"), empty.alias("found")), step, lambda s: s["found"])
+
+    def whole(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), join))
+        return F.flatten(F.zip_with(blocks, listed(totals, F.lit(0)), listed))
+
+    return _let(_let(values, lambda v: _blocks(v, RUN, RUN)), whole)
+
+
+def _blocks(values: Column, step: int, width: int) -> Column:
+    """``width`` values from every ``step``-th on; the last block may be empty."""
+    numbers = F.sequence(F.lit(0), (F.size(values) / step).cast("int"))
+    return F.transform(numbers, lambda b: F.slice(values, b * step + 1, width))
+
+
 def _matches(text: Column, pattern: str, group: int, possible: Column | None) -> Column:
     """Start, end, match and group of each match, leftmost first."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -62,14 +100,14 @@ def _matches(text: Column, pattern: str, group: int, possible: Column | None) ->
     gaps = F.transform(F.split(text, pattern, -1), lambda s: F.length(s))
     paired = F.filter(F.arrays_zip(gaps.alias("gap"), whole.alias("match"), part.alias("part")), lambda x: x["match"].isNotNull())
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
+    def placed(x: Column, at: Column) -> Column:
+        start = at + x["gap"]
         end = start + F.length(x["match"])
-        found = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["part"].alias("part"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
+        return F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["part"].alias("part"))
 
+    steps = lambda found: F.transform(found, lambda x: x["gap"] + F.length(x["match"]))
+    listed = _let(paired, lambda found: F.zip_with(found, _running(steps(found), add), placed))
     empty = F.expr("CAST(array() AS array<struct<start:int,end:int,match:string,part:string>>)")
-    listed = F.aggregate(paired, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda s: s["found"])
     some = F.regexp_like(text, F.lit(pattern))
     return F.when(some if possible is None else possible & some, listed).otherwise(empty)
 
@@ -79,25 +117,31 @@ def _spans(matches: Column, kind: str) -> Column:
     return F.transform(matches, lambda m: F.struct(m["start"].alias("start"), number.alias("kind"), m["end"].alias("end")))
 
 
-def _hot_windows(candidate: Column, rule: EntropyRule) -> Column:
-    """Merged spans of a candidate's hot windows, by counts that follow the window.
+def _hot_windows(block: Column, rule: EntropyRule) -> Column:
+    """Merged spans of a block's hot windows, by counts that follow the window.
 
     One character enters and one leaves at each step; only their two counts change,
-    and with them the sum of c log2 c, from which the entropy follows.
+    and with them the sum of c log2 c, from which the entropy follows. The counts
+    lie side by side in a few integers, so that a change is one addition.
     """
     size = rule.window
+    bits = size.bit_length()
+    each = 63 // bits
+    words = [f"counts{i}" for i in range(-(-len(ALPHABET) // each))]
     weight = literal_array(rule.weights())
-    codes, is_hex = candidate["codes"], candidate["is_hex"]
+    slots, is_hex = block["slots"], block["is_hex"]
     limit = F.when(is_hex, F.lit(rule.most(rule.hex_bits))).otherwise(F.lit(rule.most(rule.mixed_bits)))
     kind = F.when(is_hex, F.lit(KINDS.index("entropy_hex"))).otherwise(F.lit(KINDS.index("entropy_mixed")))
     steps = F.transform(
-        codes,
-        lambda c, i: F.struct(i.alias("i"), c.alias("new"), F.when(i >= size, F.get(codes, i - size)).otherwise(-1).alias("old")),
+        slots,
+        lambda c, i: F.struct(i.alias("i"), c.alias("new"), F.when(i >= size, F.get(slots, i - size)).otherwise(-1).alias("old")),
     )
+    shift = lambda slot: slot % each * bits
+    one = lambda slot: F.call_function("shiftleft", F.lit(1).cast("long"), shift(slot))
 
     def seen(s: Column, upto: Column) -> list[Column]:
         """The open stretch and the closed ones after the window that ends before ``upto``."""
-        start = candidate["start"] + upto - size
+        start = block["start"] + upto - size
         hot = (upto >= size) & (s["total"] <= limit)
         joins = s["end"] >= start
         begin = F.when(hot & ~joins, start).otherwise(s["begin"])
@@ -105,23 +149,28 @@ def _hot_windows(candidate: Column, rule: EntropyRule) -> Column:
         done = F.when(hot & ~joins & (s["end"] >= 0), F.concat(s["done"], F.array(_span(s["begin"], kind, s["end"])))).otherwise(s["done"])
         return [begin.alias("begin"), end.alias("end"), done.alias("done")]
 
+    def count(s: Column, slot: Column) -> Column:
+        word = reduce(lambda other, i: F.when(F.floor(slot / each) == i, s[words[i]]).otherwise(other), range(len(words)), F.lit(0).cast("long"))
+        return F.call_function("shiftright", word, shift(slot)).bitwiseAND((1 << bits) - 1).cast("int")
+
     def step(s: Column, x: Column) -> Column:
-        into, out = F.get(s["counts"], x["new"]), F.get(s["counts"], x["old"])
+        new, old = x["new"], x["old"]
+        into, out = count(s, new), count(s, old)
         grown = F.get(weight, into + 1) - F.get(weight, into)
-        shrunk = F.when(x["old"] >= 0, F.get(weight, out - 1) - F.get(weight, out)).otherwise(0)
-        total = s["total"] + F.when(x["new"] == x["old"], 0).otherwise(grown + shrunk)
-        one = lambda same: F.when(same, 1).otherwise(0)
-        counts = F.transform(s["counts"], lambda n, k: n + one(k == x["new"]) - one(k == x["old"]))
-        return F.struct(counts.alias("counts"), total.alias("total"), *seen(s, x["i"]))
+        shrunk = F.when(old >= 0, F.get(weight, out - 1) - F.get(weight, out)).otherwise(0)
+        total = s["total"] + F.when(new == old, 0).otherwise(grown + shrunk)
+        change = lambda slot, i: F.when((slot >= i * each) & (slot < (i + 1) * each), one(slot)).otherwise(F.lit(0).cast("long"))
+        counts = [(s[word] + change(new, i) - change(old, i)).alias(word) for i, word in enumerate(words)]
+        return F.struct(*counts, total.alias("total"), *seen(s, x["i"]))
 
     empty = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int>>)")
     first = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0).alias("total"),
+        *[F.lit(0).cast("long").alias(word) for word in words], F.lit(0).alias("total"),
         F.lit(-1).alias("begin"), F.lit(-1).alias("end"), empty.alias("done"),
     )
 
     def finish(s: Column) -> Column:
-        begin, end, done = seen(s, F.size(codes))
+        begin, end, done = seen(s, F.size(slots))
         return F.when(end >= 0, F.concat(done, F.array(_span(begin, kind, end)))).otherwise(done)
 
     return F.aggregate(steps, first, step, finish)
@@ -141,32 +190,55 @@ def _not_allowed(m: Column, rule: EntropyRule) -> Column:
     taken = F.transform(F.regexp_extract_all(m["match"], F.lit(word), F.lit(0)), lambda s: F.length(s))
     pieces = F.split(m["match"], word, -1)
 
-    def step(s: Column, x: Column) -> Column:
-        found = F.when(F.length(x["piece"]) >= rule.window, F.concat(s["found"], F.array(part(s["at"], x["piece"])))).otherwise(s["found"])
-        return F.struct((s["at"] + F.length(x["piece"]) + F.coalesce(x["taken"], F.lit(0))).alias("at"), found.alias("found"))
+    sized = F.zip_with(pieces, taken, lambda s, n: F.struct(s.alias("piece"), (F.length(s) + F.coalesce(n, F.lit(0))).alias("size")))
+
+    def placed(parts: Column) -> Column:
+        before = _running(F.transform(parts, lambda x: x["size"]), add)
+        return F.zip_with(parts, before, lambda x, at: part(m["start"] + at, x["piece"]))
 
-    empty = F.expr("CAST(array() AS array<struct<start:int,match:string>>)")
-    start = F.struct(m["start"].alias("at"), empty.alias("found"))
-    cut = F.aggregate(F.arrays_zip(pieces.alias("piece"), taken.alias("taken")), start, step, lambda s: s["found"])
+    cut = F.filter(_let(sized, placed), lambda x: F.length(x["match"]) >= rule.window)
     some = reduce(lambda a, b: a | b, [F.regexp_like(m["match"], F.lit(pattern)) for pattern in rule.allowed])
     return F.when(some, cut).otherwise(whole)
 
 
 def _entropy_spans(text: Column, rule: EntropyRule) -> Column:
-    pattern = f"[A-Za-z0-9+/_=-]{{{rule.window},}}"
+    pattern = f"[{ALPHABET}]{{{rule.window},}}"
     found = _matches(text, pattern, 0, F.regexp_like(text, F.lit("[0-9]")))
     digit = lambda m: F.regexp_like(m["match"], F.lit("[0-9]"))
     candidates = F.filter(F.flatten(F.transform(F.filter(found, digit), lambda m: _not_allowed(m, rule))), digit)
-    # what the windows look at again and again is computed once per candidate
-    opened = F.transform(
-        candidates,
-        lambda m: F.struct(
-            m["start"].alias("start"),
-            F.transform(F.split(m["match"], ""), lambda c: F.ascii(c)).alias("codes"),
-            F.regexp_like(m["match"], F.lit("^[0-9a-fA-F]+$")).alias("is_hex"),
-        ),
+    alphabet = literal_array([ALPHABET.find(chr(c)) for c in range(128)])
+
+    def opened(m: Column) -> Column:
+        """A candidate in blocks; the windows of a block start in it and end in the next one at most."""
+        is_hex = F.regexp_like(m["match"], F.lit("^[0-9a-fA-F]+$"))
+        slots = F.transform(F.split(m["match"], ""), lambda c: F.get(alphabet, F.ascii(c)))
+        of = lambda block, b: F.struct((m["start"] + b * WINDOWS).alias("start"), block.alias("slots"), is_hex.alias("is_hex"))
+        return _let(slots, lambda s: F.transform(_blocks(s, WINDOWS, WINDOWS + rule.window - 1), of))
+
+    # what the windows look at again and again is computed once per block
+    blocks = F.flatten(F.transform(candidates, opened))
+    return _let(F.flatten(F.transform(blocks, lambda block: _hot_windows(block, rule))), _touching)
+
+
+def _touching(spans: Column) -> Column:
+    """Spans in order, those that the ends of blocks have parted in one piece again."""
+    first = F.filter(spans, lambda x, i: F.coalesce(x["start"] > F.get(spans, i - 1)["end"], F.lit(True)))
+    last = F.filter(spans, lambda x, i: F.coalesce(F.get(spans, i + 1)["start"] > x["end"], F.lit(True)))
+    return F.zip_with(first, last, lambda a, b: _span(a["start"], a["kind"], b["end"]))
+
+
+def _all_spans(text: Column, rule: EntropyRule) -> Column:
+    assigned = F.filter(
+        _matches(text, ASSIGN, 1, F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))),
+        lambda m: F.length(m["part"]) >= ASSIGN_LEAST,
     )
-    return F.flatten(F.transform(opened, lambda m: _hot_windows(m, rule)))
+    everything = F.concat(
+        _spans(assigned, "assign"),
+        _spans(_matches(text, ACCESS, 0, F.contains(text, F.lit("AKIA"))), "access"),
+        _spans(_matches(text, HEX, 0, None), "hex"),
+        _entropy_spans(text, rule),
+    )
+    return F.array_sort(everything)
 
 
 def with_spans(docs: DataFrame, rule: EntropyRule | None = None, text: str = "text", into: str = "secret_spans") -> DataFrame:
@@ -176,19 +248,7 @@ def with_spans(docs: DataFrame, rule: EntropyRule | None = None, text: str = "te
     of fewer than 8 characters after a keyword are dropped after matching, so they
     still use up their text.
     """
-    rule = rule or EntropyRule()
-    whole = F.coalesce(F.col(text), F.lit(""))
-    assigned = F.filter(
-        _matches(whole, ASSIGN, 1, F.contains(whole, F.lit(":")) | F.contains(whole, F.lit("="))),
-        lambda m: F.length(m["part"]) >= ASSIGN_LEAST,
-    )
-    everything = F.concat(
-        _spans(assigned, "assign"),
-        _spans(_matches(whole, ACCESS, 0, F.contains(whole, F.lit("AKIA"))), "access"),
-        _spans(_matches(whole, HEX, 0, None), "hex"),
-        _entropy_spans(whole, rule),
-    )
-    return docs.withColumn(into, F.array_sort(everything))
+    return docs.withColumn(into, _all_spans(F.coalesce(F.col(text), F.lit("")), rule or EntropyRule()))
 
 
 def _joined(spans: Column) -> Column:
@@ -220,21 +280,35 @@ def scan_secrets(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
 def redact_secrets(docs: DataFrame, rule: EntropyRule | None = None, mask: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced by ``mask`` and ``n_chars`` counted anew.
 
-    Overlapping spans are masked once. A null text stays null.
+    Overlapping spans are masked once. A null text stays null. No column is added on
+    the way, so other columns may have any names.
     """
-    found = with_spans(docs, rule, into="__spans")
     text = F.col("text")
 
-    def step(s: Column, x: Column) -> Column:
-        # a span that starts inside the last one only moves its end
-        fresh = x["start"] >= s["at"]
-        kept = F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mask))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(fresh, kept).otherwise(s["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate("__spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text) - s["at"])))
-    changed = F.when(F.size("__spans") > 0, masked).otherwise(text)
-    out = found.withColumn("text", changed).drop("__spans")
+    def masked(spans: Column, pieces: Column) -> Column:
+        before = _running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        # a span that starts inside the ones before only moves their end
+        gaps = F.zip_with(spans, before, lambda s, at: F.struct(at.alias("begin"), s["start"].alias("end")))
+        kept = F.transform(F.filter(gaps, lambda g: g["end"] >= g["begin"]), lambda g: _cut(pieces, g["begin"], g["end"]))
+        rest = _cut(pieces, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text))
+        return F.array_join(F.concat(kept, F.array(rest)), mask)
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{RUN}}}"), F.lit(0))
+    spans = _all_spans(F.coalesce(text, F.lit("")), rule or EntropyRule())
+    changed = _let(spans, lambda s: F.when(F.size(s) > 0, _let(pieces, lambda p: masked(s, p))).otherwise(text))
+    out = docs.withColumn("text", changed)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
+
+
+def _cut(pieces: Column, begin: Column, end: Column) -> Column:
+    """The characters from ``begin`` to before ``end`` of a text in pieces of equal length."""
+    first, last = (F.floor(at / RUN).cast("int") for at in (begin, end))
+    piece = lambda i: F.coalesce(F.get(pieces, i), F.lit(""))
+    across = F.concat(
+        F.substring(piece(first), begin % RUN + 1, F.lit(RUN)),
+        F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substring(piece(last), F.lit(1), end % RUN),
+    )
+    return F.when(first == last, F.substring(piece(first), begin % RUN + 1, end - begin)).otherwise(across)

@@ -81,3 +81,52 @@ def test_redaction(docs_of):
 def test_no_python_in_the_plan(sample):
     plan = scan_secrets(sample)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def masked(text):
+    out, at = "", 0
+    for start, end in sorted((int(a), int(b)) for _, a, b in (s.split(":") for s in brute(text)[4].split(",") if s)):
+        if start >= at:
+            out += text[at:start] + "[SECRET]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def full_of_matches(seed, n):
+    """Words beyond ASCII, and secrets of every kind, some within others."""
+    pick = random.Random(seed)
+    key = lambda letters, k: "".join(pick.choice(letters) for _ in range(k))
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    kinds = [
+        lambda: "token=" + key(mixed, pick.randrange(4, 60)),
+        lambda: "AKIA" + key("ABCDEFGH01234567", pick.randrange(10, 30)),
+        lambda: key("0123456789abcdef", pick.randrange(30, 50)),
+        lambda: key(mixed, pick.randrange(20, 90)),
+        lambda: "é𝄞\n" * pick.randrange(1, 40),
+    ]
+    return " ".join(pick.choice(kinds)() for _ in range(n))
+
+
+def test_texts_full_of_matches(docs_of):
+    pick = random.Random(3)
+    stripes = "".join(pick.choice("abcdefgh01234567XYZ+/_-JKLMN") if i // 40 % 2 else "a1"[i % 2] for i in range(9_000))
+    texts = [full_of_matches(seed, n) for seed, n in ((1, 1), (2, 63), (3, 64), (4, 65), (5, 4_000))] + [stripes, "Q" * 63 + stripes[:2_000]]
+    assert found(docs_of(texts)) == {i: brute(t) for i, t in enumerate(texts)}
+    rows = {r["doc_id"]: r["text"] for r in redact_secrets(docs_of(texts)).collect()}
+    assert rows == {i: masked(t) for i, t in enumerate(texts)}
+
+
+def test_names_of_other_columns(spark):
+    names = ["__spans", "spans", "secret_spans", "found", "at"]
+    docs = spark.createDataFrame([(1, "token=abcdefgh", *names)], ["doc_id", "text", *names])
+    row = redact_secrets(docs).first()
+    assert row["text"] == "[SECRET]" and [row[n] for n in names] == names
+    assert scan_secrets(docs).first()["n_assign"] == 1
+
+
+def test_the_longest_window_a_count_holds(docs_of):
+    texts = ["a1" * 40 + "".join(f"{i}bC/" for i in range(60)), "z0" + "z" * 200]
+    for size in (8, 31, 32, 40):
+        rule = EntropyRule(window=size, mixed_bits=2.5, allowed=())
+        rows = {r["doc_id"]: r["spans"] for r in scan_secrets(docs_of(texts), rule).collect()}
+        assert rows == {i: brute(t, rule)[4] for i, t in enumerate(texts)}
