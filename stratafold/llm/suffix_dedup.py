@@ -240,10 +240,12 @@ def suffix_order(data: np.ndarray, left: np.ndarray, number: np.ndarray) -> tupl
     by the context's ``number``, as if each had a sign of its own.
     """
     size = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.zeros(size, np.uint64)
-    for i in range(8):
-        words = words << np.uint64(8) | np.where(left > i, padded[i : i + size], 0).astype(np.uint64)
+    words = np.concatenate([data, np.zeros(7, np.uint8)]).astype(np.uint64)
+    for width in (1, 2, 4):
+        words = words[:-width] << np.uint64(8 * width) | words[width:]
+    short = np.flatnonzero(left < 8)
+    beyond = (8 * (8 - left[short])).astype(np.uint64)
+    words[short] = words[short] >> beyond << beyond
     # an end sorts before any byte, ends of equal rests by number
     ends = int(number.max(initial=0)) + 1
     tail = np.where(left < 8, left * ends + number, 8 * ends)
