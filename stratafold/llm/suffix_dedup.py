@@ -34,12 +34,13 @@ NO_ID = -(1 << 63)
 @dataclass(frozen=True)
 class RepeatRule:
     """``hot``: anchors with more contexts are compared window by window through the shuffle.
-    ``index_bytes``: contexts of several anchors are indexed together up to this size."""
+    ``index_bytes``: contexts of several anchors are indexed together up to this size,
+    which keeps the arrays of an index within a core's cache."""
 
     least: int = 100
     gram: int = 32
     hot: int = 20_000
-    index_bytes: int = 1 << 20
+    index_bytes: int = 1 << 16
 
     @property
     def reach(self) -> int:
