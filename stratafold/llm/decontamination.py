@@ -129,7 +129,7 @@ def word_rows(docs: DataFrame) -> DataFrame:
 def document_frequencies(docs: DataFrame, known: np.ndarray, rule: LeakRule) -> tuple[np.ndarray, int]:
     """In how many documents each known word stands, over all documents, and their number."""
     small_batches(docs.sparkSession)
-    texts = docs.select(lowered(F.col("text")).alias("text"))
+    texts = docs.select(plain_lowered(F.col("text")).alias("text"))
     return _frequencies(texts, lambda text: word_hashes(text)[0], known, rule)
 
 

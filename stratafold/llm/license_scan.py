@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratafold.llm.decontamination import Lookup, document_frequencies
+from stratafold.llm.decontamination import Lookup, document_frequencies, plain_lowered
 from stratafold.llm.shared import Stages, column, small_batches
-from stratafold.llm.words import lowered, word_hashes
+from stratafold.llm.words import word_hashes
 
 # Short notices of common licences and the first words of their texts.
 TEMPLATES = (
@@ -129,7 +129,7 @@ def own_licenses(files: DataFrame, rule: LicenseRule) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["file_id", "path", "license", "cosine", "share"])
 
     schema = "file_id long, path string, license string, cosine double, share double"
-    return files.select("file_id", "path", lowered(F.col("text")).alias("text")).mapInArrow(matched, schema)
+    return files.select("file_id", "path", plain_lowered(F.col("text")).alias("text")).mapInArrow(matched, schema)
 
 
 def parent(path: Column) -> Column:

@@ -6,8 +6,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from stratafold.llm.decontamination import LeakRule, _item_rows, drop_contaminated, fit, leaks, read_item
-from stratafold.llm.license_scan import TEMPLATES, LicenseRule, documents_as_files, scan_licenses
+from stratafold.llm.decontamination import LeakRule, _item_rows, drop_contaminated, fit, leaks, plain_lowered, read_item
+from stratafold.llm.license_scan import TEMPLATES, LicenseRule, documents_as_files, own_licenses, scan_licenses
+from stratafold.llm.words import lowered
 
 SF = "/root/testdata/sf0.001"
 
@@ -170,3 +171,15 @@ def test_latent_space_keeps_the_items(spark, block):
     # cosines between items in the latent space are those of the whole matrix, up to the lost energy
     assert abs(index.latent @ index.latent.T - dense @ dense.T).max() <= 0.06
     assert docs.select(F.col("doc_id")).count() > 0
+
+
+def test_ascii_files_are_lowered_without_patterns(spark):
+    """Both passes over the files; texts beyond ASCII take the patterns and match as before."""
+    texts = ["Released under the MIT License.", "Released under the MIT。License．", "Réserved for others", "猫\nReleased under the MIT License.", None, ""]
+    files = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in enumerate(texts)], "file_id long, path string, text string")
+    for frame in (own_licenses(files, LicenseRule()), files.select(plain_lowered(F.col("text")))):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "octet_length" in plan, "the patterns run over ASCII texts too"
+    both = files.select(plain_lowered(F.col("text")).alias("plain"), lowered(F.col("text")).alias("all")).collect()
+    assert all(r["plain"] == r["all"] for r in both)
+    assert {r["file_id"]: r["license"] for r in own_licenses(files, LicenseRule()).collect()} == {0: "MIT", 1: "MIT", 2: None, 3: "MIT", 4: None, 5: None}
