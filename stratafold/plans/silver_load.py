@@ -175,32 +175,42 @@ def _rows_of(lake: Lake, job: LoadJob, due: DataFrame, stage: Staging) -> Iterat
                 yield normalise(read.withColumn("platform", F.lit(platform)))
 
 
-def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, run_ts: dt.datetime) -> LoadOutcome:
-    """Normalised rows of any files: those already loaded are left out.
+def load_rows(lake: Lake, job: LoadJob, rows: DataFrame, counted: Mapping[str, int], run_ts: dt.datetime) -> LoadOutcome:
+    """Written rows of any files, with their counters: those already loaded are left out.
 
+    The rows are read once to see which files they are of, and not written again.
     A file in a folder whose day cannot be read has no place in the ledger; it is
     logged and left alone.
     """
-    homeless = rows.where(F.col("fecha_archivo").isNull()).select("gcs_path", "account_id", "platform").distinct()
-    if not homeless.isEmpty():
-        reason = account_errors(homeless, job.process, "FileError", F.lit("the folder's day cannot be read"), file=F.col("gcs_path"))
-        log_once(lake.errors, reason, run_ts)
     with staging(lake.spark) as stage:
-        dated = rows.where(F.col("fecha_archivo").isNotNull())
-        fresh = not_yet_loaded(dated, lake.ledger.read(source_days(dated, "fecha_archivo")))
-        return _apply(lake, job, [fresh], stage, run_ts)
+        files = stage.write(file_outcomes(rows, job.keys, job.spec.partition), "files")
+        homeless = files.where(F.col("fecha_archivo").isNull()).select("gcs_path", "account_id", "platform").distinct()
+        if not homeless.isEmpty():
+            reason = account_errors(homeless, job.process, "FileError", F.lit("the folder's day cannot be read"), file=F.col("gcs_path"))
+            log_once(lake.errors, reason, run_ts)
+        dated = files.where(F.col("fecha_archivo").isNotNull())
+        outcomes = stage.write(not_yet_loaded(dated, lake.ledger.read(source_days(dated, "fecha_archivo"))), "outcomes")
+        if outcomes.count() < files.count():
+            # the counters of all rows are a bound of those that are left
+            rows = rows.join(outcomes.select(*FILE_KEY), list(FILE_KEY), "left_semi")
+        return _load(lake, job, rows, counted, outcomes, run_ts)
 
 
 def _apply(lake: Lake, job: LoadJob, frames: Iterable[DataFrame], stage: Staging, run_ts: dt.datetime) -> LoadOutcome:
-    """Data first, ledger last: a run that dies in between is simply repeated.
-
-    The rows are counted while they are written and read once for their files'
+    """The rows are counted while they are written and read once for their files'
     outcomes; the upsert and the log read what is left to do for them.
     """
     rows, counted = stage.write_counted(frames, "rows", load_counters(job.spec.schema))
     if rows is None:
         return LoadOutcome()
     outcomes = stage.write(file_outcomes(rows, job.keys, job.spec.partition), "outcomes")
+    return _load(lake, job, rows, counted, outcomes, run_ts)
+
+
+def _load(
+    lake: Lake, job: LoadJob, rows: DataFrame, counted: Mapping[str, int], outcomes: DataFrame, run_ts: dt.datetime
+) -> LoadOutcome:
+    """Data first, ledger last: a run that dies in between is simply repeated."""
     totals = outcomes.groupBy("fecha_archivo", "status").agg(
         F.count("*").alias("files"), F.sum("n_good").alias("good"), text_size(outcomes).alias("text")
     ).collect()

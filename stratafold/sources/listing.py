@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
 from stratafold.functions import paths
-from stratafold.session import glob_matches
+from stratafold.session import glob_matches, share_listing
 from stratafold.sources.array_files import file_system
 
 # Two layouts of the same content. "array": one JSON array per file. "lines":
@@ -50,6 +50,7 @@ def list_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
     found = [g for g in ([globs] if isinstance(globs, str) else globs) if glob_matches(spark, g)]
     if not found:
         return spark.createDataFrame([], FILE_COLUMNS)
+    share_listing(spark)
     listed = spark.read.format("binaryFile").load(found).withColumn("uri", F.col("_metadata.file_path"))
     return _described(listed, paths.uri_parts(F.col("uri")))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratafold import fixed_values as fv
 from stratafold.functions import paths
+from stratafold.session import share_listing
 from stratafold.sources.array_files import write_array_files
 from stratafold.sources.listing import ARRAY, LINES
 
@@ -53,6 +54,7 @@ def read_items(
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if streaming else spark.read
     reader = reader.format("text").option("wholetext", str(layout == ARRAY).lower())
     # a stream takes one folder or glob, a batch read any number of paths
+    share_listing(spark)
     lines = reader.load(files if isinstance(files, str) or streaming else list(files))
     parts = F.col("parts")
     named = lines.select(paths.uri_parts(F.col("_metadata.file_path")).alias("parts"), "value").select(

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stratafold import fixed_values as fv
 from stratafold.functions.paths import part, path_parts
 from stratafold.operators.commit import source_days
-from stratafold.operators.ledger import FILE_KEY
+from stratafold.operators.ledger import FILE_KEY, load_counters
 from stratafold.operators.normalise import normaliser_for
 from stratafold.plans.lake import Lake, staging
 from stratafold.plans.silver_load import LoadJob, insight_load, listed_files, load_due, load_rows
@@ -48,8 +48,8 @@ def stream_files(
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         with staging(lake.spark) as stage:
-            rows = stage.write(normalise(batch), "stream-rows")
-            load_rows(lake, job, rows, run_ts)
+            rows, counted = stage.write_counted([normalise(batch)], "stream-rows", load_counters(job.spec.schema))
+            load_rows(lake, job, rows, counted, run_ts)
 
     return (
         items.writeStream.foreachBatch(apply)

@@ -4,9 +4,12 @@ import datetime as dt
 import json
 
 from stratafold.operators.ledger import account_days
-from stratafold.plans.lake import Lake
+from stratafold.plans.lake import Lake, Staging
 from stratafold.plans.silver_load import campaign_load, load_insights
+from stratafold.schemas import INSIGHT_FIELDS
+from stratafold.session import LISTING_TASKS
 from stratafold.sources.listing import LINES
+from stratafold.sources.raw_files import read_items
 from stratafold.streaming.silver_stream import stream_files
 
 DAY, TS = dt.date(2026, 1, 10), dt.datetime(2026, 1, 10, 6)
@@ -95,3 +98,39 @@ def test_no_row_is_lost_between_batches(spark, lake, rows_of, tmp_path):
     assert load_insights(lake, DAY, TS, layout=LINES).files == {"completado": 1}
     assert lake.insights.read().count() == 25
     assert [(r["status"], r["files"]) for r in account_days(lake.ledger.read()).collect()] == [("completado", 5)]
+
+
+def most_tasks(spark, group):
+    """Tasks of the largest stage among a group's jobs."""
+    seen = spark.sparkContext.statusTracker()
+    stages = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup(group) for s in seen.getJobInfo(j).stageIds]
+    return max((s.numTasks for s in stages if s), default=0)
+
+
+def test_many_files_are_listed_by_few_tasks_and_written_once(spark, lake, rows_of, tmp_path, monkeypatch):
+    few = max(32, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.unset(LISTING_TASKS)
+    names = []
+    for account in range(2 * few):
+        folder = tmp_path / f"raw/source=meta/tipo=insights/fecha={DAY}/id={account}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.txt").write_text(json.dumps(insight(f"c{account}")))
+        names.append(str(folder / "part-0.txt"))
+    spark.sparkContext.setJobGroup("named files", "listed for a batch read")
+    assert read_items(spark, names, INSIGHT_FIELDS, LINES).count() == len(names)
+    assert most_tasks(spark, "named files") <= few
+
+    written = []
+    write = Staging.write_counted
+    monkeypatch.setattr(Staging, "write_counted", lambda self, frames, label, counters: written.append(label) or write(self, frames, label, counters))
+    query = run(lake, str(tmp_path / "one"), layout=LINES)
+    assert 0 < most_tasks(spark, str(query.runId)) <= few
+    assert lake.insights.read().count() == len(names) and "rows" not in written and written.count("stream-rows") == 1
+
+    # of files offered again only the new one's rows are loaded
+    before = {r["campaign_id"]: r["updated_at"] for r in rows_of(lake.insights.read())}
+    (tmp_path / f"raw/source=meta/tipo=insights/fecha={DAY}/id=0/part-0.txt").write_text(json.dumps(insight("c0", clicks="9")))
+    (tmp_path / f"raw/source=meta/tipo=insights/fecha={DAY}/id=0/part-1.txt").write_text(json.dumps(insight("new")))
+    run(lake, str(tmp_path / "two"), dt.datetime(2026, 1, 11), layout=LINES)
+    after = {r["campaign_id"]: r["updated_at"] for r in rows_of(lake.insights.read())}
+    assert set(after) == {*before, "new"} and all(after[c] == t for c, t in before.items())
