@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.llm.components import components
-from stratafold.llm.shared import Stages, encoded_texts, id_and_text, small_batches
+from stratafold.llm.shared import Stages, encoded_texts, id_and_text, small_batches, sorted_join
 
 SEED = 42
 BLOCK = 1 << 20
@@ -146,7 +146,7 @@ def _star_links(distinct: DataFrame, rule: SimHashRule, stages: Stages) -> DataF
     """Link every fingerprint of a bucket to the bucket's least, where they are near."""
     keyed = distinct.select("fp", _index_keys(rule).alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("fp").alias("hub"))
-    near = keyed.join(hubs, "key").where((F.col("fp") != F.col("hub")) & _within_ring("fp", "hub", rule))
+    near = sorted_join(keyed).join(hubs, "key").where((F.col("fp") != F.col("hub")) & _within_ring("fp", "hub", rule))
     return near.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
 
 
@@ -161,14 +161,14 @@ def _cross_links(labelled: DataFrame, rule: SimHashRule, stages: Stages) -> Data
     sizes = index.groupBy("key", "comp").agg(F.count("*").alias("n"))
     keys = sizes.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     probes = labelled.select(F.col("fp").alias("probe"), F.col("comp").alias("probe_comp"), _probe_keys(rule).alias("key"))
-    live = probes.join(keys, "key").where("lo <> probe_comp OR hi <> probe_comp")
+    live = sorted_join(probes).join(keys, "key").where("lo <> probe_comp OR hi <> probe_comp")
     live = stages.write(live.select("key", "probe", "probe_comp", "main"), "probes")
     wanted = live.groupBy("key").agg(F.first("main").alias("main"))
-    met = stages.write(index.join(wanted, "key"), "met").select("key", "fp", "comp", "main")
+    met = stages.write(sorted_join(index).join(wanted, "key"), "met").select("key", "fp", "comp", "main")
     rest = met.where("comp <> main").drop("main")
     main = met.where("comp = main").drop("main")
     differ = F.col("comp") != F.col("probe_comp")
-    pairs = [live.join(rest, "key"), live.where("probe_comp <> main").join(main, "key")]
+    pairs = [sorted_join(live).join(rest, "key"), sorted_join(live.where("probe_comp <> main")).join(main, "key")]
     near = [p.where(differ & _within_ring("fp", "probe", rule)).select(F.col("comp").alias("a"), F.col("probe_comp").alias("b")) for p in pairs]
     return near[0].unionByName(near[1]).distinct()
 
@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, rule: SimHashRule | None = None) -> DataFra
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     ids = named.join(least, "label").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return hashed.join(ids, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return sorted_join(hashed).join(ids, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, rule: SimHashRule | None = None) -> DataFrame:
