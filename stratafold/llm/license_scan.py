@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.llm.decontamination import Lookup, document_frequencies, plain_lowered
-from stratafold.llm.shared import Stages, column, small_batches
+from stratafold.llm.shared import Stages, column, small_batches, sorted_join
 from stratafold.llm.words import word_hashes
 
 # Short notices of common licences and the first words of their texts.
@@ -42,6 +42,9 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Licensed directories of so many bytes at most are broadcast; a row has some 64 beside its path.
+BROADCAST_BYTES = 4 << 20
+ROW_BYTES = 64
 FILE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z0-9]+)?$"
 
 
@@ -156,11 +159,15 @@ def scan_licenses(files: DataFrame, rule: LicenseRule | None = None) -> DataFram
     telling = (F.col("share") >= rule.file_share) | F.regexp_like("path", F.lit(FILE_NAMES))
     stands = own.where(F.col("license").isNotNull() & F.col("dir").isNotNull() & telling)
     stands = stands.groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("cosine")).alias("cosine"), "license")).alias("best"))
+    stands = stages.write(stands, "stands")
+    size = stands.agg(F.sum(F.octet_length("above") + ROW_BYTES)).first()[0] or 0
     steps = F.split("dir", "/")
     climb = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
     dirs = own.where("dir IS NOT NULL").select("dir").distinct()
     ancestors = dirs.select("dir", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), climb))).alias("above"))
-    nearest = ancestors.join(stands, "above").groupBy("dir")
+    # the ancestors of all directories are the larger side, though Spark takes them to be as few as the directories
+    met = ancestors.join(F.broadcast(stands), "above") if size <= BROADCAST_BYTES else sorted_join(ancestors).join(stands, "above")
+    nearest = met.groupBy("dir")
     nearest = nearest.agg(F.max_by(F.struct(F.col("above").alias("license_dir"), F.col("best.license").alias("given")), F.length("above")).alias("near"))
     joined = own.join(nearest, "dir", "left")
     has = F.col("license").isNotNull()

@@ -1,18 +1,18 @@
-import re
+import pytest
 
+from stratafold.llm import license_scan
 from stratafold.llm.shared import Stages
 from stratafold.llm.simhash_dedup import near_duplicates
 
 
-def below_broadcasts(plan):
-    """The lines of a plan that stand below a broadcast."""
-    depth, found = None, []
+def broadcast_explodes(plan):
+    """Broadcasts of rows that are exploded and not summed up since."""
+    found, below = [], False
     for line in plan.splitlines():
-        at = len(re.match(r"[\s:+-]*", line).group())
-        if depth is not None and at > depth:
-            found.append(line)
-        else:
-            depth = at if "BroadcastExchange" in line else None
+        node = line.lstrip(" :+-*()0123456789")
+        if below and node.startswith("Generate"):
+            found.append(node)
+        below = node.startswith("BroadcastExchange") or below and node.startswith(("Project", "Filter", "Sort"))
     return found
 
 
@@ -29,6 +29,24 @@ def test_exploded_keys_are_never_broadcast(spark, sample, monkeypatch):
     out = near_duplicates(sample)
     plans.append(out._jdf.queryExecution().executedPlan().toString())
     assert any("Generate explode" in p for p in plans)
-    assert not [line for p in plans for line in below_broadcasts(p) if "Generate" in line]
+    assert not [node for p in plans for node in broadcast_explodes(p)]
     # nor the fingerprints of all documents, whose copies take next to nothing on disk
     assert "SortMergeJoin [fp" in next(line for line in plans[-1].splitlines() if "Join " in line)
+
+
+@pytest.mark.parametrize("most", [4 << 20, 0])
+def test_ancestors_are_never_broadcast(spark, monkeypatch, most):
+    monkeypatch.setattr(license_scan, "BROADCAST_BYTES", most, raising=False)
+    mit = "Released under the MIT License."
+    rows = [(1, "a/LICENSE", mit), (2, "a/b/c/x.py", "words"), (3, "d/y.py", "words"), (4, "a/b/LICENSE", "Licensed under CC BY 4.0."), (5, "a/z.py", None)]
+    out = license_scan.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, text string"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and not broadcast_explodes(plan)
+    found = {r["file_id"]: (r["license"], r["origin"], r["license_dir"]) for r in out.collect()}
+    assert found == {
+        1: ("MIT", "own", None),
+        2: ("CC-BY-4.0", "inherited", "a/b"),
+        3: (None, "none", None),
+        4: ("CC-BY-4.0", "own", None),
+        5: ("MIT", "inherited", "a"),
+    }
