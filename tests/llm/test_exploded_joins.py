@@ -1,6 +1,6 @@
 import pytest
 
-from stratafold.llm import license_scan
+from stratafold.llm import license_scan, word_model
 from stratafold.llm.shared import Stages
 from stratafold.llm.simhash_dedup import near_duplicates
 
@@ -50,3 +50,17 @@ def test_ancestors_are_never_broadcast(spark, monkeypatch, most):
         4: ("CC-BY-4.0", "own", None),
         5: ("MIT", "inherited", "a"),
     }
+
+
+def test_tables_of_the_model_are_never_broadcast(spark, docs_of, monkeypatch):
+    """Their size grows with the trusted text, and on disk they take a fraction of it."""
+    plans, write = {}, Stages.at
+
+    def noted(self, df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, label)
+
+    monkeypatch.setattr(Stages, "at", noted)
+    model = word_model.fit(docs_of(["the cat sat on the mat. The cat sat", "a dog sat on the mat, a dog!"]), Stages(spark), 2)
+    plans["entries"] = [model.entries._jdf.queryExecution().executedPlan().toString()]
+    assert len(plans["chances"]) == 3 and not [p for label in ("chances", "entries") for p in plans[label] if "BroadcastHashJoin" in p]
