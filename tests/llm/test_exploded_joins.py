@@ -1,6 +1,7 @@
 import pytest
 
 from stratafold.llm import license_scan, word_model
+from stratafold.llm.quality_classifier import classify
 from stratafold.llm.shared import Stages
 from stratafold.llm.simhash_dedup import near_duplicates
 
@@ -64,3 +65,18 @@ def test_tables_of_the_model_are_never_broadcast(spark, docs_of, monkeypatch):
     model = word_model.fit(docs_of(["the cat sat on the mat. The cat sat", "a dog sat on the mat, a dog!"]), Stages(spark), 2)
     plans["entries"] = [model.entries._jdf.queryExecution().executedPlan().toString()]
     assert len(plans["chances"]) == 3 and not [p for label in ("chances", "entries") for p in plans[label] if "BroadcastHashJoin" in p]
+
+
+def test_trusted_text_is_counted_in_parts_of_its_own_size(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(word_model, "PART_BYTES", 1 << 10)
+    monkeypatch.setattr(word_model, "PARTS", 4)
+    asked, trigrams = [], word_model.trigrams
+    monkeypatch.setattr(word_model, "trigrams", lambda texts, parts, part: asked.append((parts, part)) or trigrams(texts, parts, part))
+    docs = docs_of([f"some plain words stand here and there w{i % 7} " * 3 for i in range(80)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(16)], "doc_id long, quality int, toxic int")
+    few = {r["doc_id"]: (r["keep"], r["perplexity"]) for r in classify(docs, labels).collect()}
+    assert asked == [(1, 0), *((4, i) for i in range(4))]
+    monkeypatch.setattr(word_model, "PARTS", 1)
+    one = {r["doc_id"]: (r["keep"], r["perplexity"]) for r in classify(docs, labels).collect()}
+    assert {i: k for i, (k, _) in few.items()} == {i: k for i, (k, _) in one.items()}
+    assert [few[i][1] for i in range(80)] == pytest.approx([one[i][1] for i in range(80)])
